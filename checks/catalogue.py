@@ -2,31 +2,78 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.bronze_sql import BRONZE
 from checks.compose import with_blocks
+from checks.analytics_sql import ANALYTICS, ANALYTICS_QUERIES
 from checks.silver_sql import GOLD, SILVER
-from tallyhouse.operators import dimensions, sales
-from tallyhouse.plans.medallion import Gold, Silver
-from tallyhouse.session import configure
+from tallyhouse.operators import analytics, dimensions, sales
+from tallyhouse.plans.medallion import SILVER_MODELS, gold_over, silver_over
+from tallyhouse.plans.refresh import refresh_gold
+from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources.testbed import Testbed
+from tallyhouse.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BLOCKS = {**BRONZE, **SILVER, **GOLD}
+BLOCKS = {**BRONZE, **SILVER, **GOLD, **ANALYTICS}
+
+# The demo window: 60 days including both ends.
+SPAN = analytics.resolve_range("1998-01-01", "1998-03-01")
+
+# Gold marts written by this process, by application and folder of test files.
+_written: dict[tuple[str, str], Warehouse] = {}
+
 
 
 class Layers:
-    """All layers over one folder of test files, lazily."""
+    """All layers over one folder of test files: lazy ones, and the written gold marts."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
+        self.folder = folder
         self.bronze = Testbed(self.spark, folder)
-        self.silver = Silver(self.bronze)
-        self.gold = Gold(self.silver)
+        self.silver = silver_over(self.bronze)
+        self.gold = gold_over(self.silver)
+
+    def bronze_table(self, name: str) -> DataFrame:
+        return self.bronze.table(name)
+
+    def silver_table(self, name: str) -> DataFrame:
+        return self.silver.table(name)
+
+    def gold_table(self, name: str) -> DataFrame:
+        return self.gold.table(name)
+
+    @property
+    def marts(self) -> Warehouse:
+        """A warehouse in the shared folder with the gold marts of these files."""
+        application = self.spark.sparkContext.applicationId
+        key = (application, self.folder)
+        if key not in _written:
+            qualifier = f"t{uuid.uuid4().hex[:12]}_"
+            warehouse = Warehouse(
+                self.spark, f"{shared_folder(self.spark)}/tallyhouse-{application}", qualifier
+            )
+            refresh_gold(warehouse, silver=self.silver)
+            _written[key] = warehouse
+        return _written[key]
+
+    @property
+    def daily(self) -> DataFrame:
+        return self.marts.table("gold", "mart_daily_sales")
+
+    @property
+    def products(self) -> DataFrame:
+        return self.marts.table("gold", "mart_product_sales")
+
+    @property
+    def days(self) -> DataFrame:
+        return analytics.product_days(self.products, SPAN)
 
 
 def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
@@ -38,44 +85,71 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
         found[name] = (frame, sql)
 
     for table in Testbed.TABLES:
-        add(f"bronze_{table}", lambda x, t=table: x.bronze.table(t), f"select * from b_{table}")
+        add(f"bronze_{table}", lambda x, t=table: x.bronze_table(t), f"select * from b_{table}")
 
-    for table in Silver.TABLES:
+    for table in SILVER_MODELS:
         block = "s_" + table.split("_", 1)[1]
-        add(f"silver_{table}", lambda x, t=table: x.silver.table(t), f"select * from {block}")
+        add(f"silver_{table}", lambda x, t=table: x.silver_table(t), f"select * from {block}")
     add(
         "silver_product_enrichment",
         lambda x: dimensions.enriched_products(
-            x.silver.dim_products,
-            x.bronze.brands,
-            x.silver.dim_categories,
-            x.bronze.product_categories,
+            x.silver_table("dim_products"),
+            x.bronze_table("brands"),
+            x.silver_table("dim_categories"),
+            x.bronze_table("product_categories"),
         ),
         "select * from s_enriched_products",
     )
     add(
         "silver_category_paths",
-        lambda x: dimensions.category_paths(x.silver.dim_categories),
+        lambda x: dimensions.category_paths(x.silver_table("dim_categories")),
         "select * from s_category_paths",
     )
 
-    add("gold_order_refunds", lambda x: sales.order_refunds(x.silver.fct_refunds),
+    add("gold_order_refunds", lambda x: sales.order_refunds(x.silver_table("fct_refunds")),
         "select * from g_order_refunds")
     add("gold_daily_orders",
-        lambda x: sales.daily_orders(x.silver.fct_orders, x.silver.fct_refunds),
+        lambda x: sales.daily_orders(x.silver_table("fct_orders"), x.silver_table("fct_refunds")),
         "select * from g_daily_orders")
-    add("gold_daily_reviews", lambda x: sales.daily_reviews(x.silver.fct_reviews),
+    add("gold_daily_reviews", lambda x: sales.daily_reviews(x.silver_table("fct_reviews")),
         "select * from g_daily_reviews")
-    add("gold_mart_daily_sales", lambda x: x.gold.mart_daily_sales, "select * from g_daily")
+    add("gold_mart_daily_sales", lambda x: x.gold_table("mart_daily_sales"), "select * from g_daily")
     add("gold_order_line_totals",
-        lambda x: sales.order_line_totals(x.silver.fct_order_items.where("is_revenue_order")),
+        lambda x: sales.order_line_totals(x.silver_table("fct_order_items").where("is_revenue_order")),
         "select distinct order_id, cast(order_lines_cents as bigint) as order_lines_cents from g_lines")
     add("gold_line_refunds",
-        lambda x: sales.line_refunds(x.silver.fct_order_items, x.silver.fct_refunds),
+        lambda x: sales.line_refunds(x.silver_table("fct_order_items"), x.silver_table("fct_refunds")),
         "select order_item_id, order_id, order_date, product_id, variant_id, line_total_cents,"
         " order_refund_cents, cast(order_lines_cents as bigint) as order_lines_cents, refund_cents"
         " from g_lines where order_refund_cents > 0")
-    add("gold_mart_product_sales", lambda x: x.gold.mart_product_sales, "select * from g_product")
+    add("gold_mart_product_sales", lambda x: x.gold_table("mart_product_sales"), "select * from g_product")
+
+    def on_gold(name: str, frame: Callable[[Layers], DataFrame]) -> None:
+        add(f"analytics_{name}", frame, ANALYTICS_QUERIES[name])
+
+    on_gold("product_days", lambda x: x.days)
+    on_gold("summary_totals", lambda x: analytics.summary_totals(x.days, x.daily, SPAN))
+    on_gold("summary", lambda x: analytics.summary(x.days, x.daily, SPAN))
+    on_gold("revenue_over_time", lambda x: analytics.revenue_over_time(x.days, x.daily, SPAN))
+    on_gold("top_products", lambda x: analytics.top_products(x.days, 15))
+    on_gold("portfolio_ranks", lambda x: analytics.portfolio_ranks(x.days))
+    on_gold("portfolio_buckets", lambda x: analytics.portfolio_buckets(x.days))
+    on_gold("portfolio_concentration", lambda x: analytics.portfolio_concentration(x.days))
+    on_gold("refund_summary", lambda x: analytics.refund_summary(x.days, x.daily, SPAN))
+    on_gold("refunds_over_time", lambda x: analytics.refunds_over_time(x.days, x.daily, SPAN))
+    on_gold("refunds_by_product", lambda x: analytics.refunds_by_product(x.days, 15))
+    on_gold(
+        "revenue_chart",
+        lambda x: analytics.revenue_chart(analytics.revenue_over_time(x.days, x.daily, SPAN)),
+    )
+    on_gold(
+        "top_products_chart",
+        lambda x: analytics.top_products_chart(analytics.top_products(x.days, 15)),
+    )
+    on_gold(
+        "refunds_chart",
+        lambda x: analytics.refunds_chart(analytics.refunds_by_product(x.days, 15)),
+    )
     return found
 
 

@@ -1,12 +1,13 @@
-"""The whole pipeline as lazy frames: bronze in, silver and gold out.
+"""The pipeline's tables, what each reads, and lazy access to all of them.
 
 A frame is only built when asked for, and Spark only computes what the final
-query needs of it. Written layers come from ``sources.warehouse``.
+query needs of it. ``plans.refresh`` writes the same tables layer by layer.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -15,121 +16,76 @@ from tallyhouse.operators import dimensions, facts, sales
 
 
 class Tables(Protocol):
-    def table(self, name: str) -> DataFrame: ...
-
+    """Anything that hands out tables by name."""
 
-class Silver:
-    """Silver entities over any provider of bronze tables."""
+    def table(self, name: str) -> DataFrame: ...
 
-    TABLES = [
-        "dim_categories", "dim_customers", "dim_dates", "dim_products", "dim_variants",
-        "dim_payment_methods", "dim_warehouses",
-        "fct_orders", "fct_order_items", "fct_payments", "fct_refunds", "fct_shipments",
-        "fct_carts", "fct_inventory", "fct_reviews", "fct_returns",
-    ]
 
-    def __init__(self, bronze: Tables):
-        self.bronze = bronze
+@dataclass(frozen=True)
+class Model:
+    """A table, the function that makes it, and that function's arguments in order."""
+
+    make: Callable[..., DataFrame]
+    below: tuple[str, ...] = ()  # tables of the layer below
+    beside: tuple[str, ...] = ()  # tables of the same layer, listed earlier
+    month_of: str | None = None  # date column whose month partitions the written table
+
+
+SILVER_MODELS = {
+    "dim_categories": Model(dimensions.categories, ("categories",)),
+    "dim_customers": Model(dimensions.customers, ("customers", "customer_addresses")),
+    "dim_dates": Model(dimensions.dates, ("orders",)),
+    "dim_products": Model(dimensions.products, ("products",)),
+    "dim_variants": Model(dimensions.variants, ("product_variants",), ("dim_products",)),
+    "dim_payment_methods": Model(dimensions.payment_methods, ("payment_methods",)),
+    "dim_warehouses": Model(dimensions.warehouses, ("warehouses",)),
+    "fct_orders": Model(facts.orders, ("orders",), month_of="order_date"),
+    "fct_order_items": Model(
+        facts.order_items, ("order_items",), ("fct_orders", "dim_variants"), month_of="order_date"
+    ),
+    "fct_payments": Model(facts.payments, ("payments",), ("fct_orders",), month_of="order_date"),
+    "fct_refunds": Model(facts.refunds, ("refunds",), ("fct_payments",), month_of="order_date"),
+    "fct_shipments": Model(facts.shipments, ("shipments",), ("fct_orders",), month_of="order_date"),
+    "fct_carts": Model(facts.carts, ("carts", "cart_items"), ("fct_orders",), month_of="cart_date"),
+    "fct_inventory": Model(facts.inventory, ("inventory_levels",)),
+    "fct_reviews": Model(facts.reviews, ("product_reviews",), month_of="review_date"),
+    "fct_returns": Model(facts.returns, ("returns",), ("fct_orders",), month_of="order_date"),
+}
+
+GOLD_MODELS = {
+    "mart_daily_sales": Model(sales.mart_daily_sales, ("fct_orders", "fct_refunds", "fct_reviews")),
+    "mart_product_sales": Model(
+        sales.mart_product_sales, ("fct_order_items", "fct_refunds"), month_of="order_date"
+    ),
+}
+
+
+class Layer:
+    """Tables of one layer: the written one where there is one, else the lazy one."""
+
+    def __init__(self, models: dict[str, Model], below: Tables):
+        self.models = models
+        self.below = below
+        self._known: dict[str, DataFrame] = {}
+
+    def build(self, name: str) -> DataFrame:
+        model = self.models[name]
+        inputs = [self.below.table(source) for source in model.below]
+        return model.make(*inputs, *[self.table(sibling) for sibling in model.beside])
 
     def table(self, name: str) -> DataFrame:
-        if name not in self.TABLES:
-            raise KeyError(name)
-        return getattr(self, name)
-
-    @cached_property
-    def dim_categories(self) -> DataFrame:
-        return dimensions.categories(self.bronze.table("categories"))
-
-    @cached_property
-    def dim_customers(self) -> DataFrame:
-        return dimensions.customers(
-            self.bronze.table("customers"), self.bronze.table("customer_addresses")
-        )
-
-    @cached_property
-    def dim_dates(self) -> DataFrame:
-        return dimensions.dates(self.bronze.table("orders"))
-
-    @cached_property
-    def dim_products(self) -> DataFrame:
-        return dimensions.products(self.bronze.table("products"))
-
-    @cached_property
-    def dim_variants(self) -> DataFrame:
-        return dimensions.variants(self.bronze.table("product_variants"), self.dim_products)
-
-    @cached_property
-    def dim_payment_methods(self) -> DataFrame:
-        return dimensions.payment_methods(self.bronze.table("payment_methods"))
-
-    @cached_property
-    def dim_warehouses(self) -> DataFrame:
-        return dimensions.warehouses(self.bronze.table("warehouses"))
+        if name not in self._known:
+            self._known[name] = self.build(name)
+        return self._known[name]
 
-    @cached_property
-    def fct_orders(self) -> DataFrame:
-        return facts.orders(self.bronze.table("orders"))
+    def use_written(self, name: str, frame: DataFrame) -> None:
+        """From here on, hand out and build upon the written table."""
+        self._known[name] = frame
 
-    @cached_property
-    def fct_order_items(self) -> DataFrame:
-        return facts.order_items(
-            self.bronze.table("order_items"), self.fct_orders, self.dim_variants
-        )
 
-    @cached_property
-    def fct_payments(self) -> DataFrame:
-        return facts.payments(self.bronze.table("payments"), self.fct_orders)
+def silver_over(bronze: Tables) -> Layer:
+    return Layer(SILVER_MODELS, bronze)
 
-    @cached_property
-    def fct_refunds(self) -> DataFrame:
-        return facts.refunds(self.bronze.table("refunds"), self.fct_payments)
 
-    @cached_property
-    def fct_shipments(self) -> DataFrame:
-        return facts.shipments(self.bronze.table("shipments"), self.fct_orders)
-
-    @cached_property
-    def fct_carts(self) -> DataFrame:
-        return facts.carts(
-            self.bronze.table("carts"), self.bronze.table("cart_items"), self.fct_orders
-        )
-
-    @cached_property
-    def fct_inventory(self) -> DataFrame:
-        return facts.inventory(self.bronze.table("inventory_levels"))
-
-    @cached_property
-    def fct_reviews(self) -> DataFrame:
-        return facts.reviews(self.bronze.table("product_reviews"))
-
-    @cached_property
-    def fct_returns(self) -> DataFrame:
-        return facts.returns(self.bronze.table("returns"), self.fct_orders)
-
-
-class Gold:
-    """The two core marts over any provider of silver tables."""
-
-    TABLES = ["mart_daily_sales", "mart_product_sales"]
-
-    def __init__(self, silver: Tables):
-        self.silver = silver
-
-    def table(self, name: str) -> DataFrame:
-        if name not in self.TABLES:
-            raise KeyError(name)
-        return getattr(self, name)
-
-    @cached_property
-    def mart_daily_sales(self) -> DataFrame:
-        return sales.mart_daily_sales(
-            self.silver.table("fct_orders"),
-            self.silver.table("fct_refunds"),
-            self.silver.table("fct_reviews"),
-        )
-
-    @cached_property
-    def mart_product_sales(self) -> DataFrame:
-        return sales.mart_product_sales(
-            self.silver.table("fct_order_items"), self.silver.table("fct_refunds")
-        )
+def gold_over(silver: Tables) -> Layer:
+    return Layer(GOLD_MODELS, silver)
