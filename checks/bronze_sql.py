@@ -210,7 +210,8 @@ from (
 """
 
 BRONZE["b_payments"] = """
-select id, id as order_id, least(digit, 4) as payment_method_id, total as amount_cents,
+select id, id as order_id, least(digit, 4) as payment_method_id,
+       total + case when id % 307 = 0 then 5 else 0 end as amount_cents,
        case when id % 211 = 0 then 'chargeback' when id % 89 = 0 then ' Succeeded'
             when id % 53 = 0 then 'failed' when status in ('pending', 'refunded') then status
             else 'succeeded' end as status,

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks.bronze_sql import BRONZE
 from checks.compose import with_blocks
 from checks.analytics_sql import ANALYTICS, ANALYTICS_QUERIES
+from checks.marts_sql import LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES
 from checks.silver_sql import GOLD, SILVER
-from tallyhouse.operators import analytics, dimensions, sales
+from tallyhouse.operators import analytics, dimensions, lookups, marts, quality, sales
+from tallyhouse.plans import paths, quality_suite
+from tallyhouse.plans.incremental import refresh_months, touched_months
 from tallyhouse.plans.medallion import SILVER_MODELS, gold_over, silver_over
 from tallyhouse.plans.refresh import refresh_gold
 from tallyhouse.session import configure, shared_folder
+from tallyhouse.sources.access import json_rows, query_with_parameters
 from tallyhouse.sources.testbed import Testbed
 from tallyhouse.sources.warehouse import Warehouse
 
@@ -49,20 +55,64 @@ class Layers:
     def gold_table(self, name: str) -> DataFrame:
         return self.gold.table(name)
 
+    def new_warehouse(self) -> Warehouse:
+        application = self.spark.sparkContext.applicationId
+        return Warehouse(
+            self.spark,
+            f"{shared_folder(self.spark)}/tallyhouse-{application}",
+            f"t{uuid.uuid4().hex[:12]}_",
+        )
+
     @property
     def marts(self) -> Warehouse:
         """A warehouse in the shared folder with the gold marts of these files."""
-        application = self.spark.sparkContext.applicationId
-        key = (application, self.folder)
+        key = (self.spark.sparkContext.applicationId, self.folder)
         if key not in _written:
-            qualifier = f"t{uuid.uuid4().hex[:12]}_"
-            warehouse = Warehouse(
-                self.spark, f"{shared_folder(self.spark)}/tallyhouse-{application}", qualifier
-            )
+            warehouse = self.new_warehouse()
             refresh_gold(warehouse, silver=self.silver)
             _written[key] = warehouse
         return _written[key]
 
+    @property
+    def enriched_products(self) -> DataFrame:
+        return dimensions.enriched_products(
+            self.silver_table("dim_products"),
+            self.bronze_table("brands"),
+            self.silver_table("dim_categories"),
+            self.bronze_table("product_categories"),
+        )
+
+    def requests(self, layer: str) -> paths.Requests:
+        """The benchmark requests from lazy silver over bronze, written silver, or gold."""
+        if layer == "gold":
+            return paths.from_gold(self.marts.layer("gold"), SPAN, 15)
+        if layer == "silver":
+            return paths.from_silver(self.written_silver.layer("silver"), SPAN, 15)
+        return paths.from_silver(self.silver, SPAN, 15)
+
+    @property
+    def written_silver(self) -> Warehouse:
+        """A warehouse with the silver tables the benchmark requests read."""
+        key = (self.spark.sparkContext.applicationId, self.folder + "#silver")
+        if key not in _written:
+            warehouse = self.new_warehouse()
+            warehouse.create_databases()
+            for name in ("fct_orders", "fct_order_items", "fct_refunds", "fct_reviews"):
+                model = SILVER_MODELS[name]
+                warehouse.replace("silver", name, self.silver.build(name), model.month_of)
+            _written[key] = warehouse
+        return _written[key]
+
+    def incremental(self, name: str) -> DataFrame:
+        """The mart written up to 1999, then brought up to date month by month."""
+        warehouse = self.new_warehouse()
+        warehouse.create_databases()
+        late = F.col("order_date") >= dt.date(2000, 1, 1)
+        warehouse.replace("gold", name, self.gold_table(name).where(~late), "order_date")
+        changed = self.silver_table("fct_orders").where(late)
+        refresh_months(warehouse, self.silver, touched_months(changed), [name])
+        return warehouse.table("gold", name)
+
     @property
     def daily(self) -> DataFrame:
         return self.marts.table("gold", "mart_daily_sales")
@@ -90,16 +140,8 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
     for table in SILVER_MODELS:
         block = "s_" + table.split("_", 1)[1]
         add(f"silver_{table}", lambda x, t=table: x.silver_table(t), f"select * from {block}")
-    add(
-        "silver_product_enrichment",
-        lambda x: dimensions.enriched_products(
-            x.silver_table("dim_products"),
-            x.bronze_table("brands"),
-            x.silver_table("dim_categories"),
-            x.bronze_table("product_categories"),
-        ),
-        "select * from s_enriched_products",
-    )
+    add("silver_product_enrichment", lambda x: x.enriched_products,
+        "select * from s_enriched_products")
     add(
         "silver_category_paths",
         lambda x: dimensions.category_paths(x.silver_table("dim_categories")),
@@ -150,6 +192,231 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
         "refunds_chart",
         lambda x: analytics.refunds_chart(analytics.refunds_by_product(x.days, 15)),
     )
+
+    def mart(name: str, frame: Callable[[Layers], DataFrame]) -> None:
+        add(f"mart_{name}", frame, MART_QUERIES[f"mart_{name}"])
+
+    def ltv(x: Layers) -> DataFrame:
+        return marts.customer_ltv(x.silver_table("fct_orders"))
+
+    def variant_sales(x: Layers) -> DataFrame:
+        return marts.variant_sales(
+            x.silver_table("fct_order_items"), x.silver_table("fct_refunds")
+        )
+
+    mart("orders_by_status", lambda x: marts.orders_by_status(x.silver_table("fct_orders")))
+    mart(
+        "orders_by_status_stacked",
+        lambda x: marts.orders_by_status_stacked(
+            x.silver_table("fct_orders"), quality_suite.ORDER_STATUSES
+        ),
+    )
+    mart("variant_sales", variant_sales)
+    mart("top_skus", lambda x: marts.top_skus(variant_sales(x), SPAN, 10))
+    mart("category_sales", lambda x: marts.category_sales(x.products, x.enriched_products))
+    mart("brand_sales", lambda x: marts.brand_sales(x.products, x.enriched_products))
+    mart(
+        "product_sales_with_names",
+        lambda x: marts.product_sales_with_names(
+            x.products.drop("order_month"), x.enriched_products
+        ),
+    )
+    mart(
+        "slow_movers",
+        lambda x: marts.slow_movers(x.silver_table("dim_products"), x.products, SPAN.end),
+    )
+    mart("customer_activity", lambda x: marts.customer_activity(x.silver_table("fct_orders")))
+    mart("customer_cohorts", lambda x: marts.customer_cohorts(x.silver_table("fct_orders")))
+    mart("customer_ltv", ltv)
+    mart("top_customers", lambda x: marts.top_customers(ltv(x), 20))
+    mart("orders_per_customer", lambda x: marts.orders_per_customer(ltv(x)))
+    mart(
+        "geo_sales",
+        lambda x: marts.geo_sales(x.silver_table("fct_orders"), x.silver_table("dim_customers")),
+    )
+    mart("funnel_daily", lambda x: marts.funnel_daily(x.silver_table("fct_carts")))
+    mart(
+        "promo_performance",
+        lambda x: marts.promo_performance(
+            x.bronze_table("coupons"),
+            x.bronze_table("coupon_redemptions"),
+            x.silver_table("fct_orders"),
+        ),
+    )
+    mart("rating_distribution", lambda x: marts.rating_distribution(x.silver_table("fct_reviews")))
+    mart("rating_by_week", lambda x: marts.rating_by_week(x.silver_table("fct_reviews")))
+    mart(
+        "payment_mix",
+        lambda x: marts.payment_mix(
+            x.silver_table("fct_payments"), x.silver_table("dim_payment_methods")
+        ),
+    )
+    mart("payment_success", lambda x: marts.payment_success(x.silver_table("fct_payments")))
+    mart("fulfillment", lambda x: marts.fulfillment(x.silver_table("fct_shipments"), 168))
+    mart(
+        "stockouts",
+        lambda x: marts.stockouts(
+            x.silver_table("fct_inventory"),
+            x.silver_table("dim_variants"),
+            x.silver_table("dim_warehouses"),
+        ),
+    )
+    mart(
+        "stock_by_warehouse",
+        lambda x: marts.stock_by_warehouse(
+            x.silver_table("fct_inventory"), x.silver_table("dim_warehouses")
+        ),
+    )
+    mart(
+        "return_rate_by_category",
+        lambda x: marts.return_rate_by_category(
+            x.bronze_table("return_items"), x.silver_table("fct_order_items"), x.enriched_products
+        ),
+    )
+    mart("refunds_by_day", lambda x: marts.refunds_by_day(x.silver_table("fct_refunds")))
+    mart("return_reasons", lambda x: marts.return_reasons(x.silver_table("fct_returns")))
+    mart("daily_sales_by_week", lambda x: marts.daily_sales_by(x.daily, "WEEK"))
+    mart("daily_sales_by_month", lambda x: marts.daily_sales_by(x.daily, "MONTH"))
+    mart("product_sales_by_month", lambda x: marts.product_sales_by(x.products, "MONTH"))
+    mart("overview", lambda x: marts.overview(x.daily))
+
+    def lookup(name: str, frame: Callable[[Layers], DataFrame]) -> None:
+        add(name, frame, LOOKUP_QUERIES[name])
+
+    def refund_candidates(x: Layers) -> DataFrame:
+        return lookups.refund_candidates(
+            x.bronze_table("orders"), x.bronze_table("order_items"), x.bronze_table("payments")
+        )
+
+    def review_candidates(x: Layers) -> DataFrame:
+        return lookups.review_candidates(
+            x.bronze_table("orders"),
+            x.bronze_table("order_items"),
+            x.bronze_table("product_variants"),
+            x.bronze_table("products"),
+        )
+
+    def completeness(x: Layers) -> DataFrame:
+        counted = ["products", "product_variants", "warehouses", "inventory_levels", "orders"]
+        counted += ["order_items", "payments", "shipments", "returns", "product_reviews"]
+        orders = F.col("orders")
+        return lookups.completeness(
+            {name: x.bronze_table(name) for name in counted},
+            {
+                "product_variants": F.col("products") * 3,
+                "inventory_levels": F.col("product_variants") * F.col("warehouses"),
+                "order_items": orders * 4,
+                "payments": orders,
+                "shipments": F.round(orders * 0.9),
+                "returns": F.round(orders * 0.08),
+                "product_reviews": F.round(orders * 0.35),
+            },
+        )
+
+    lookup(
+        "lookup_missing_stock_rows",
+        lambda x: lookups.missing_stock_rows(
+            x.bronze_table("warehouses"),
+            x.bronze_table("product_variants"),
+            x.bronze_table("inventory_levels"),
+        ),
+    )
+    lookup("lookup_refund_candidates", refund_candidates)
+    lookup(
+        "lookup_refund_sample",
+        lambda x: lookups.random_rows(refund_candidates(x), "order_item_id", 500, seed=7),
+    )
+    lookup("lookup_review_candidates", review_candidates)
+    lookup(
+        "lookup_review_sample",
+        lambda x: lookups.random_rows(review_candidates(x), "order_item_id", 500, seed=7),
+    )
+    lookup(
+        "lookup_variants",
+        lambda x: lookups.variant_lookup(
+            x.bronze_table("product_variants"), x.bronze_table("products")
+        ),
+    )
+    lookup(
+        "lookup_leaf_categories", lambda x: lookups.leaf_categories(x.bronze_table("categories"))
+    )
+    lookup("lookup_active_coupons", lambda x: lookups.active_coupons(x.bronze_table("coupons")))
+    lookup("lookup_completeness", completeness)
+    lookup("lookup_product_slugs", lambda x: lookups.product_slugs(x.bronze_table("products")))
+    lookup(
+        "lookup_addresses_by_customer",
+        # As text, since result comparison has no list type.
+        lambda x: lookups.addresses_by_customer(x.bronze_table("customer_addresses")).withColumn(
+            "address_ids", F.array_join(F.col("address_ids").cast("array<string>"), ",")
+        ),
+    )
+    lookup(
+        "sql_with_parameters",
+        lambda x: query_with_parameters(
+            x.spark,
+            f"""
+            select product_id, sum(gross_revenue_cents) as gross_revenue_cents
+            from {x.marts.full_name("gold", "mart_product_sales")}
+            where order_date between cast(? as date) and cast(? as date)
+            group by product_id order by gross_revenue_cents desc, product_id limit ?
+            """,
+            ["1998-01-01", "1998-03-01", 12],
+        ),
+    )
+    lookup(
+        "json_rows",
+        lambda x: json_rows(
+            x.daily.select(
+                "order_date",
+                "order_count",
+                "gmv_cents",
+                "review_count",
+                F.lit(None).cast("string").alias("note"),
+            )
+        ),
+    )
+    lookup("incremental_product_sales", lambda x: x.incremental("mart_product_sales"))
+    lookup("incremental_daily_sales", lambda x: x.incremental("mart_daily_sales"))
+
+    def check(name: str, frame: Callable[[Layers], DataFrame]) -> None:
+        add(f"dq_{name}", frame, QUALITY_QUERIES[f"dq_{name}"])
+
+    check("unique", lambda x: quality_suite.uniqueness(x.silver, x.marts.layer("gold")))
+    check("not_null", lambda x: quality_suite.required(x.silver, x.marts.layer("gold")))
+    check("relationships", lambda x: quality_suite.foreign_keys(x.bronze, x.silver))
+    check("accepted_values", lambda x: quality_suite.enumerations(x.silver))
+    check("rating_range", lambda x: quality_suite.rating_range(x.bronze))
+    check("composite_keys", lambda x: quality_suite.composite_keys(x.bronze))
+    check("natural_keys", lambda x: quality_suite.natural_keys(x.bronze))
+    check("soft_rules", lambda x: quality_suite.soft_rules(x.bronze))
+    check("dropped_rows", lambda x: quality_suite.dropped_rows(x.bronze))
+    check(
+        "reconciliation",
+        lambda x: paths.reconciliation(
+            x.requests("bronze"), x.requests("silver"), x.requests("gold")
+        ),
+    )
+    check("order_totals", lambda x: quality.order_total_mismatches(x.bronze_table("orders")))
+    check(
+        "payment_amounts",
+        lambda x: quality.payment_mismatches(x.bronze_table("payments"), x.bronze_table("orders")),
+    )
+    check(
+        "coupon_amounts",
+        lambda x: quality.coupon_mismatches(
+            x.bronze_table("coupon_redemptions"),
+            x.bronze_table("coupons"),
+            x.bronze_table("orders"),
+        ),
+    )
+
+    for layer in ("bronze", "silver", "gold"):
+        for request in ("summary", "revenue_over_time", "top_products"):
+            add(
+                f"path_{layer}_{request}",
+                lambda x, l=layer, r=request: getattr(x.requests(l), r),
+                ANALYTICS_QUERIES[request],
+            )
     return found
 
 

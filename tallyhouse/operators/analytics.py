@@ -95,13 +95,12 @@ def product_days(mart_product_sales: DataFrame, span: DateRange) -> DataFrame:
 # -- summary ------------------------------------------------------------------
 
 
-def _daily_totals(mart_daily_sales: DataFrame, span: DateRange) -> Column:
-    """Order and review totals of the range as one struct value."""
+def _review_totals(mart_daily_sales: DataFrame, span: DateRange) -> Column:
+    """Orders, reviews and their mean rating in the range as one struct value."""
     rated = F.sum(F.col("avg_rating") * F.col("review_count"))
     totals = within(mart_daily_sales, span).agg(
         F.struct(
             total("order_count").alias("order_count"),
-            total("refunded_order_count").alias("refunded_order_count"),
             total("review_count").alias("review_count"),
             ratio(rated, F.sum("review_count"), None).alias("avg_rating"),
         ).alias("daily")
@@ -118,7 +117,7 @@ def summary_totals(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange
             *[total(column).alias(column) for column in summed],
             F.count_distinct("product_id").alias("product_count"),
         )
-        .withColumn("daily", _daily_totals(mart_daily_sales, span))
+        .withColumn("daily", _review_totals(mart_daily_sales, span))
         .select(
             *summed,
             "daily.order_count",
@@ -242,17 +241,17 @@ def refunds_by_product(days: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def refund_summary(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> DataFrame:
+    refunded_orders = within(mart_daily_sales, span).agg(
+        total("refunded_order_count").alias("refunded_order_count")
+    )
     return (
         days.agg(
             total("refund_cents").alias("refund_cents"),
             total("gross_revenue_cents").alias("gross_revenue_cents"),
         )
-        .withColumn("daily", _daily_totals(mart_daily_sales, span))
-        .select(
-            "refund_cents",
-            "gross_revenue_cents",
-            "daily.refunded_order_count",
-            half_up(ratio("refund_cents", "gross_revenue_cents", 0.0), 4).alias("refund_rate"),
+        .withColumn("refunded_order_count", refunded_orders.scalar())
+        .withColumn(
+            "refund_rate", half_up(ratio("refund_cents", "gross_revenue_cents", 0.0), 4)
         )
     )
 

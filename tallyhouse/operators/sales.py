@@ -67,6 +67,18 @@ def daily_reviews(fct_reviews: DataFrame) -> DataFrame:
     )
 
 
+def daily_counts(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
+    """Revenue orders and reviews per day, for requests that need no more of a day."""
+    orders = (
+        fct_orders.where("is_revenue_order")
+        .groupBy("order_date")
+        .agg(F.count("*").alias("order_count"))
+    )
+    return orders.join(daily_reviews(fct_reviews), "order_date", "left").na.fill(
+        0, ["review_count"]
+    )
+
+
 def mart_daily_sales(
     fct_orders: DataFrame, fct_refunds: DataFrame, fct_reviews: DataFrame
 ) -> DataFrame:

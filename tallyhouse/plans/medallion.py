@@ -53,7 +53,9 @@ SILVER_MODELS = {
 }
 
 GOLD_MODELS = {
-    "mart_daily_sales": Model(sales.mart_daily_sales, ("fct_orders", "fct_refunds", "fct_reviews")),
+    "mart_daily_sales": Model(
+        sales.mart_daily_sales, ("fct_orders", "fct_refunds", "fct_reviews"), month_of="order_date"
+    ),
     "mart_product_sales": Model(
         sales.mart_product_sales, ("fct_order_items", "fct_refunds"), month_of="order_date"
     ),

@@ -444,7 +444,7 @@ class Testbed:
             "id",
             "id as order_id",
             "least(digit, 4L) as payment_method_id",
-            "total as amount_cents",
+            "case when id % 307 = 0 then total + 5 else total end as amount_cents",
             "case when id % 211 = 0 then 'chargeback' when id % 89 = 0 then ' Succeeded'"
             " when id % 53 = 0 then 'failed' when status = 'pending' then 'pending'"
             " when status = 'refunded' then 'refunded' else 'succeeded' end as status",

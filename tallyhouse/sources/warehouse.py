@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,19 +72,34 @@ class Warehouse:
             self.spark.sql(f"msck repair table {target}")
         return self.table(layer, name)
 
-    def replace_months(self, layer: str, name: str, frame: DataFrame, month_of: str) -> DataFrame:
-        """Replace only the months that ``frame`` has rows for; other months stay as they are."""
+    def replace_months(
+        self,
+        layer: str,
+        name: str,
+        frame: DataFrame,
+        month_of: str,
+        months: Iterable[dt.date],
+    ) -> DataFrame:
+        """Replace the given months by the rows of ``frame``; others stay as they are.
+
+        The rows are staged first: they may come from the table itself, and the
+        staged folder tells which of the months have no rows any more.
+        """
         month = MONTH[month_of]
         target = self.full_name(layer, name)
-        columns = self.spark.table(target).columns
-        (
-            with_month(frame, month_of)
-            .select(columns)
-            .hint("rebalance", month)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(target)
-        )
+        staged = f"{self.root}/{self.database(layer)}/{name}/staged-{uuid.uuid4().hex}"
+        frame = with_month(frame, month_of).where(F.col(month).isin(list(months)))
+        frame.hint("rebalance", month).write.partitionBy(month).parquet(staged)
+        # The declared schema also covers a staged folder without any row.
+        rows = self.spark.read.schema(frame.schema).parquet(staged)
+        filled = {row[0] for row in rows.select(month).distinct().collect()}
+        rows.select(self.spark.table(target).columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(target)
+        for empty in sorted(set(months) - filled):
+            self.spark.sql(
+                f"alter table {target} drop if exists partition ({month} = date '{empty}')"
+            )
         self.spark.catalog.refreshTable(target)
         return self.table(layer, name)
 
