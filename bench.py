@@ -63,14 +63,14 @@ def main() -> None:
     bronze, silver, gold = (warehouse.layer(name) for name in ("bronze", "silver", "gold"))
     # Frames are built anew for every run, as a request would do.
     makers = {
-        "bronze": lambda: paths.from_silver(silver_over(bronze), span, 15),
-        "silver": lambda: paths.from_silver(silver, span, 15),
-        "gold": lambda: paths.from_gold(gold, span, 15),
+        "bronze": lambda: paths.SilverRequests(silver_over(bronze), span, 15),
+        "silver": lambda: paths.SilverRequests(silver, span, 15),
+        "gold": lambda: paths.GoldRequests(gold, span, 15),
     }
     for layer, make in makers.items():
         for request in REQUESTS:
             seconds[f"{layer}_{request}"] = median_of(
-                lambda: getattr(make(), request).collect()
+                lambda: getattr(make(), request)().collect()
             )
         seconds[f"{layer}_bundle"] = sum(seconds[f"{layer}_{request}"] for request in REQUESTS)
 

@@ -85,10 +85,10 @@ class Layers:
     def requests(self, layer: str) -> paths.Requests:
         """The benchmark requests from lazy silver over bronze, written silver, or gold."""
         if layer == "gold":
-            return paths.from_gold(self.marts.layer("gold"), SPAN, 15)
+            return paths.GoldRequests(self.marts.layer("gold"), SPAN, 15)
         if layer == "silver":
-            return paths.from_silver(self.written_silver.layer("silver"), SPAN, 15)
-        return paths.from_silver(self.silver, SPAN, 15)
+            return paths.SilverRequests(self.written_silver.layer("silver"), SPAN, 15)
+        return paths.SilverRequests(self.silver, SPAN, 15)
 
     @property
     def written_silver(self) -> Warehouse:
@@ -414,7 +414,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
         for request in ("summary", "revenue_over_time", "top_products"):
             add(
                 f"path_{layer}_{request}",
-                lambda x, l=layer, r=request: getattr(x.requests(l), r),
+                lambda x, l=layer, r=request: getattr(x.requests(l), r)(),
                 ANALYTICS_QUERIES[request],
             )
     return found

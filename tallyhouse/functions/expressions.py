@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,47 +50,69 @@ def hours_crossed(start: ColumnLike, end: ColumnLike) -> Column:
     return ((hour_number(end) - hour_number(start)) / 3600).cast("long")
 
 
-def half_up(value: ColumnLike, digits: int = 0) -> Column:
+# The numeric helpers below take and give SQL text, so that whole formulas reach
+# Spark as one expression; ``F.expr``, ``agg`` helpers and ``selectExpr`` use it.
+
+
+def half_up(value: str, digits: int = 0) -> str:
     """Round halves towards plus infinity, as a browser's Math.round does."""
+    if digits == 0:
+        return f"floor(({value}) + 0.5D)"
     scale = 10**digits
-    scaled = F.floor(_col(value).cast("double") * scale + F.lit(0.5))
-    return scaled if digits == 0 else scaled / F.lit(float(scale))
+    return f"floor(({value}) * {scale}D + 0.5D) / {scale}D"
 
 
-def ratio(numerator: ColumnLike, denominator: ColumnLike, empty: float | None) -> Column:
+def ratio(numerator: str, denominator: str, empty: str = "null") -> str:
     """numerator / denominator as double, ``empty`` unless the denominator is positive."""
-    below = _col(denominator)
-    return F.when(below > 0, _col(numerator).cast("double") / below).otherwise(
-        F.lit(empty).cast("double")
+    return (
+        f"case when {denominator} > 0 then double({numerator}) / {denominator}"
+        f" else double({empty}) end"
     )
 
 
-def allocated_share(amount: ColumnLike, part: ColumnLike, whole: ColumnLike) -> Column:
+def percent(part: str, whole: str) -> str:
+    """Part of the whole in percent, two digits; 0 unless the whole is positive."""
+    return half_up(f"({ratio(part, whole, '0')}) * 100", 2)
+
+
+def allocated_share(amount: str, part: str, whole: str) -> str:
     """The whole-cent share of ``amount`` for ``part`` of ``whole``.
 
     Each share is rounded on its own and nothing is rebalanced, so the shares
     of one amount may add up to a cent more or less.
     """
-    share = F.round(_col(amount) * (_col(part).cast("double") / _col(whole))).cast("long")
-    return F.when(_col(whole) > 0, share).otherwise(F.lit(0).cast("long"))
+    return (
+        f"case when {whole} > 0 then bigint(round({amount} * (double({part}) / {whole})))"
+        " else 0L end"
+    )
+
 
+def dollars(cents: str) -> str:
+    return half_up(f"{cents} / 100", 2)
 
-def total(value: ColumnLike) -> Column:
+
+def shortened(text: str, longest: int, kept: int) -> str:
+    """Chart label: ``kept`` characters and an ellipsis when longer than ``longest``."""
+    return (
+        f"case when char_length({text}) > {longest} then concat(left({text}, {kept}), '…')"
+        f" else {text} end"
+    )
+
+
+def total(value: str) -> str:
     """Sum that is 0 on no rows."""
-    return F.coalesce(F.sum(_col(value)), F.lit(0)).cast("long")
+    return f"bigint(coalesce(sum({value}), 0))"
 
 
-def count_if(condition: Column) -> Column:
-    return F.count_if(condition).cast("long")
+def mean_rating() -> str:
+    """Mean over reviews from rows that hold a mean and a count of reviews."""
+    return ratio("sum(avg_rating * review_count)", "sum(review_count)")
 
 
-def shortened(text: ColumnLike, longest: int, kept: int) -> Column:
-    """Chart label: ``kept`` characters and an ellipsis when longer than ``longest``."""
-    value = _col(text)
-    return F.when(
-        F.char_length(value) > longest, F.concat(F.substring(value, 1, kept), F.lit("…"))
-    ).otherwise(value)
+def totals(columns: Iterable[str]) -> list[Column]:
+    """``total`` of each column under its own name."""
+    return [F.expr(f"{total(column)} as {column}") for column in columns]
 
 
-def dollars(cents: ColumnLike) -> Column:
-    return half_up(_col(cents) / 100, 2)
+def count_if(condition: str, name: str) -> Column:
+    return F.expr(f"count_if({condition}) as {name}")

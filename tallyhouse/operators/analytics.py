@@ -14,7 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import count_if, dollars, half_up, ratio, shortened, total
+from tallyhouse.functions.expressions import (
+    dollars,
+    half_up,
+    mean_rating,
+    percent,
+    ratio,
+    shortened,
+    total,
+    totals,
+)
 from tallyhouse.operators.ranking import ranked
 
 # Request defaults and bounds.
@@ -27,6 +36,15 @@ LIMIT_BOUNDS = (5, 50)
 TIERS = [("top10", "Top 10 products", 10), ("next40", "Next 40 products", 50)]
 LONG_TAIL = ("longTail", "Long tail")
 
+SUMMARY_MEASURES = [
+    "gross_revenue_cents",
+    "net_revenue_cents",
+    "refund_cents",
+    "discount_cents",
+    "cogs_cents",
+    "units_sold",
+]
+
 PRODUCT_DAY_COLUMNS = [
     "order_date",
     "product_id",
@@ -81,11 +99,11 @@ def checked_limit(limit: int | None = None) -> int:
 
 def within(frame: DataFrame, span: DateRange) -> DataFrame:
     """Rows in the range, by month partition too where the table has one."""
+    rule = f"order_date between date '{span.start}' and date '{span.end}'"
     if "order_month" in frame.columns:
-        frame = frame.where(
-            F.col("order_month").between(span.start.replace(day=1), span.end.replace(day=1))
-        )
-    return frame.where(F.col("order_date").between(span.start, span.end))
+        first, last = span.start.replace(day=1), span.end.replace(day=1)
+        rule += f" and order_month between date '{first}' and date '{last}'"
+    return frame.where(rule)
 
 
 def product_days(mart_product_sales: DataFrame, span: DateRange) -> DataFrame:
@@ -95,53 +113,42 @@ def product_days(mart_product_sales: DataFrame, span: DateRange) -> DataFrame:
 # -- summary ------------------------------------------------------------------
 
 
-def _review_totals(mart_daily_sales: DataFrame, span: DateRange) -> Column:
-    """Orders, reviews and their mean rating in the range as one struct value."""
-    rated = F.sum(F.col("avg_rating") * F.col("review_count"))
-    totals = within(mart_daily_sales, span).agg(
-        F.struct(
-            total("order_count").alias("order_count"),
-            total("review_count").alias("review_count"),
-            ratio(rated, F.sum("review_count"), None).alias("avg_rating"),
-        ).alias("daily")
-    )
-    return totals.scalar()
+def _daily_value(mart_daily_sales: DataFrame, span: DateRange, value: str) -> Column:
+    """One value over the daily mart's rows in the range, as a scalar subquery."""
+    return within(mart_daily_sales, span).agg(F.expr(value)).scalar()
 
 
 def summary_totals(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> DataFrame:
     """One row of sums; zeros when the range is empty."""
-    summed = ["gross_revenue_cents", "net_revenue_cents", "refund_cents", "discount_cents"]
-    summed += ["cogs_cents", "units_sold"]
-    return (
-        days.agg(
-            *[total(column).alias(column) for column in summed],
-            F.count_distinct("product_id").alias("product_count"),
-        )
-        .withColumn("daily", _review_totals(mart_daily_sales, span))
-        .select(
-            *summed,
-            "daily.order_count",
-            F.lit(0).cast("long").alias("line_item_count"),
-            "product_count",
-            "daily.avg_rating",
-            "daily.review_count",
-        )
+    daily = _daily_value(
+        mart_daily_sales,
+        span,
+        f"struct({total('order_count')} as order_count, {total('review_count')} as review_count,"
+        f" {mean_rating()} as avg_rating)",
+    )
+    sums = days.agg(
+        *totals(SUMMARY_MEASURES), F.expr("count(distinct product_id) as product_count")
+    )
+    return sums.select("*", daily.alias("daily")).selectExpr(
+        *SUMMARY_MEASURES,
+        "product_count",
+        "daily.order_count",
+        "0L as line_item_count",
+        "daily.review_count",
+        "daily.avg_rating",
     )
 
 
-def _percent(part: Column | str, whole: Column | str) -> Column:
-    return half_up(ratio(part, whole, 0.0) * 100, 2)
-
-
-def with_key_figures(totals: DataFrame) -> DataFrame:
+def with_key_figures(sums: DataFrame) -> DataFrame:
     """Margin, average order value and rates on top of the sums."""
-    margin = F.col("gross_revenue_cents") - F.col("cogs_cents")
-    return (
-        totals.withColumn("gross_margin_cents", margin)
-        .withColumn("gross_margin_pct", _percent("gross_margin_cents", "gross_revenue_cents"))
-        .withColumn("aov_cents", half_up(ratio("gross_revenue_cents", "order_count", 0.0)))
-        .withColumn("refund_rate", half_up(ratio("refund_cents", "gross_revenue_cents", 0.0), 4))
-        .withColumn("avg_rating", half_up("avg_rating", 2))
+    margin = "gross_revenue_cents - cogs_cents"
+    return sums.selectExpr(
+        *[column for column in sums.columns if column != "avg_rating"],
+        f"{half_up('avg_rating', 2)} as avg_rating",
+        f"{margin} as gross_margin_cents",
+        f"{percent(margin, 'gross_revenue_cents')} as gross_margin_pct",
+        f"{half_up(ratio('gross_revenue_cents', 'order_count', '0'))} as aov_cents",
+        f"{half_up(ratio('refund_cents', 'gross_revenue_cents', '0'), 4)} as refund_rate",
     )
 
 
@@ -152,71 +159,63 @@ def summary(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> Da
 # -- series ---------------------------------------------------------------------
 
 
-def revenue_over_time(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> DataFrame:
-    """One row per day with product sales, in date order."""
-    summed = ["gross_revenue_cents", "net_revenue_cents", "refund_cents", "discount_cents"]
-    summed += ["units_sold"]
-    by_day = days.groupBy("order_date").agg(*[total(column).alias(column) for column in summed])
-    orders = within(mart_daily_sales, span).select("order_date", "order_count")
+def _by_day(
+    days: DataFrame, mart_daily_sales: DataFrame, span: DateRange, sums: list[str], counted: str
+) -> DataFrame:
+    """Sums per day with product sales and a count from the daily mart, in date order.
+
+    The result has at most one row per day of the range, so it is sorted in one
+    task rather than by a range shuffle with its sampling job.
+    """
+    by_day = days.groupBy("order_date").agg(*totals(sums))
+    counts = within(mart_daily_sales, span).select("order_date", counted)
     return (
-        by_day.join(orders, "order_date", "left")
-        .select(
-            F.col("order_date").alias("date"),
-            *summed,
-            F.coalesce("order_count", F.lit(0).cast("long")).alias("order_count"),
-        )
-        .orderBy("date")
+        by_day.join(counts, "order_date", "left")
+        .selectExpr("order_date as date", *sums, f"coalesce({counted}, 0L) as {counted}")
+        .coalesce(1)
+        .sortWithinPartitions("date")
     )
 
 
+def revenue_over_time(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> DataFrame:
+    sums = [column for column in SUMMARY_MEASURES if column != "cogs_cents"]
+    return _by_day(days, mart_daily_sales, span, sums, "order_count")
+
+
 def refunds_over_time(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> DataFrame:
-    """Refunded cents and orders per day with product sales, in date order."""
-    by_day = days.groupBy("order_date").agg(total("refund_cents").alias("refund_cents"))
-    orders = within(mart_daily_sales, span).select("order_date", "refunded_order_count")
-    return (
-        by_day.join(orders, "order_date", "left")
-        .select(
-            F.col("order_date").alias("date"),
-            "refund_cents",
-            F.coalesce("refunded_order_count", F.lit(0).cast("long")).alias(
-                "refunded_order_count"
-            ),
-        )
-        .orderBy("date")
-    )
+    return _by_day(days, mart_daily_sales, span, ["refund_cents"], "refunded_order_count")
 
 
 # -- products -------------------------------------------------------------------
 
 
-def product_totals(days: DataFrame) -> DataFrame:
-    """Sums per product; ``sku_count`` is that of the product's best day."""
-    summed = ["gross_revenue_cents", "net_revenue_cents", "refund_cents", "discount_cents"]
-    summed += ["cogs_cents", "units_sold", "order_count"]
-    return days.groupBy("product_id").agg(
-        F.max("product_name").alias("product_name"),
-        F.max("sku_count").alias("sku_count"),
-        *[total(column).alias(column) for column in summed],
-    )
+def _top(frame: DataFrame, money: str, rows: int) -> DataFrame:
+    """The rows with most money; equal amounts by product id."""
+    return frame.orderBy(F.col(money).desc(), F.col("product_id").asc()).limit(rows)
 
 
 def top_products(days: DataFrame, limit: int | None = None) -> DataFrame:
-    """The products with the highest gross revenue and their share of all revenue."""
-    all_gross = days.agg(total("gross_revenue_cents").alias("all_gross"))
-    best_first = [F.col("gross_revenue_cents").desc(), F.col("product_id").asc()]
-    margin = F.col("gross_revenue_cents") - F.col("cogs_cents")
+    """The products with the highest gross revenue and their share of all revenue.
+
+    ``sku_count`` is that of the product's best day.
+    """
+    per_product = days.groupBy("product_id").agg(
+        F.expr("max(product_name) as product_name"),
+        F.expr("max(sku_count) as sku_count"),
+        *totals([*SUMMARY_MEASURES, "order_count"]),
+    )
+    all_gross = days.agg(F.expr(total("gross_revenue_cents"))).scalar()
+    margin = "gross_revenue_cents - cogs_cents"
     return (
-        product_totals(days)
-        .orderBy(*best_first)
-        .limit(checked_limit(limit))
-        .withColumn("all_gross", all_gross.scalar())
-        .withColumn("gross_margin_cents", margin)
-        .withColumn("gross_margin_pct", _percent("gross_margin_cents", "gross_revenue_cents"))
-        .withColumn("revenue_share_pct", _percent("gross_revenue_cents", "all_gross"))
-        .withColumn(
-            "avg_unit_price_cents", half_up(ratio("gross_revenue_cents", "units_sold", 0.0))
+        _top(per_product, "gross_revenue_cents", checked_limit(limit))
+        .select("*", all_gross.alias("all_gross"))
+        .selectExpr(
+            *per_product.columns,
+            f"{margin} as gross_margin_cents",
+            f"{percent(margin, 'gross_revenue_cents')} as gross_margin_pct",
+            f"{percent('gross_revenue_cents', 'all_gross')} as revenue_share_pct",
+            f"{half_up(ratio('gross_revenue_cents', 'units_sold', '0'))} as avg_unit_price_cents",
         )
-        .drop("all_gross")
     )
 
 
@@ -224,34 +223,29 @@ def refunds_by_product(days: DataFrame, limit: int | None = None) -> DataFrame:
     """The products with the highest refunds; products without any do not count."""
     refunded = (
         days.groupBy("product_id")
-        .agg(
-            F.max("product_name").alias("product_name"),
-            total("refund_cents").alias("refund_cents"),
-            total("units_sold").alias("units_sold"),
-        )
+        .agg(F.expr("max(product_name) as product_name"), *totals(["refund_cents", "units_sold"]))
         .where("refund_cents > 0")
     )
-    all_refunds = refunded.agg(total("refund_cents").alias("all_refunds"))
+    all_refunds = refunded.agg(F.expr(total("refund_cents"))).scalar()
     return (
-        refunded.orderBy(F.col("refund_cents").desc(), F.col("product_id").asc())
-        .limit(checked_limit(limit))
-        .withColumn("refund_share_pct", _percent("refund_cents", all_refunds.scalar()))
-        .withColumn("refund_per_unit_cents", half_up(ratio("refund_cents", "units_sold", 0.0)))
+        _top(refunded, "refund_cents", checked_limit(limit))
+        .select("*", all_refunds.alias("all_refunds"))
+        .selectExpr(
+            *refunded.columns,
+            f"{percent('refund_cents', 'all_refunds')} as refund_share_pct",
+            f"{half_up(ratio('refund_cents', 'units_sold', '0'))} as refund_per_unit_cents",
+        )
     )
 
 
 def refund_summary(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange) -> DataFrame:
-    refunded_orders = within(mart_daily_sales, span).agg(
-        total("refunded_order_count").alias("refunded_order_count")
-    )
+    orders = _daily_value(mart_daily_sales, span, total("refunded_order_count"))
     return (
-        days.agg(
-            total("refund_cents").alias("refund_cents"),
-            total("gross_revenue_cents").alias("gross_revenue_cents"),
-        )
-        .withColumn("refunded_order_count", refunded_orders.scalar())
-        .withColumn(
-            "refund_rate", half_up(ratio("refund_cents", "gross_revenue_cents", 0.0), 4)
+        days.agg(*totals(["refund_cents", "gross_revenue_cents"]))
+        .select("*", orders.alias("refunded_order_count"))
+        .selectExpr(
+            "*",
+            f"{half_up(ratio('refund_cents', 'gross_revenue_cents', '0'), 4)} as refund_rate",
         )
     )
 
@@ -260,16 +254,17 @@ def refund_summary(days: DataFrame, mart_daily_sales: DataFrame, span: DateRange
 
 
 def _product_revenue(days: DataFrame) -> DataFrame:
-    return days.groupBy("product_id").agg(total("gross_revenue_cents").alias("gross_revenue_cents"))
+    return days.groupBy("product_id").agg(*totals(["gross_revenue_cents"]))
 
 
-def _revenue_totals(days: DataFrame) -> DataFrame:
+def _all_revenue(days: DataFrame) -> Column:
+    """Gross revenue and number of products of the range as one struct value."""
     return days.agg(
-        F.struct(
-            total("gross_revenue_cents").alias("gross"),
-            F.count_distinct("product_id").alias("products"),
-        ).alias("all")
-    )
+        F.expr(
+            f"struct({total('gross_revenue_cents')} as gross,"
+            " count(distinct product_id) as products)"
+        )
+    ).scalar()
 
 
 def portfolio_ranks(days: DataFrame) -> DataFrame:
@@ -277,82 +272,72 @@ def portfolio_ranks(days: DataFrame) -> DataFrame:
     by_revenue = [F.col("gross_revenue_cents").desc(), F.col("product_id").asc()]
     return (
         ranked(_product_revenue(days), *by_revenue, name="revenue_rank")
-        .withColumn("all", _revenue_totals(days).scalar())
-        .select(
+        .select("*", _all_revenue(days).alias("whole"))
+        .selectExpr(
             "product_id",
             "gross_revenue_cents",
             "revenue_rank",
-            F.col("all.gross").alias("total_gross"),
-            F.col("all.products").alias("product_count"),
-            ratio("gross_revenue_cents", "all.gross", 0.0).alias("share"),
+            "whole.gross as total_gross",
+            "whole.products as product_count",
+            f"{ratio('gross_revenue_cents', 'whole.gross', '0')} as share",
         )
     )
 
 
 def _leaders(days: DataFrame) -> DataFrame:
     """The products of the ranked tiers, numbered; no more rows than the last tier's rank."""
-    best_first = [F.col("gross_revenue_cents").desc(), F.col("product_id").asc()]
-    return (
-        _product_revenue(days)
-        .orderBy(*best_first)
-        .limit(TIERS[-1][2])
-        .withColumn("place", F.row_number().over(Window.orderBy(*best_first)))
-    )
+    place = Window.orderBy(F.col("gross_revenue_cents").desc(), F.col("product_id").asc())
+    best = _top(_product_revenue(days), "gross_revenue_cents", TIERS[-1][2])
+    return best.withColumn("place", F.row_number().over(place))
 
 
 def portfolio_buckets(days: DataFrame) -> DataFrame:
     """Always three rows. The long tail is what the ranked tiers leave of the totals."""
-    sums = []
-    above = 0
-    for tier, _, last in TIERS:
-        inside = F.col("place").between(above + 1, last)
-        money = F.when(inside, F.col("gross_revenue_cents"))
-        sums += [count_if(inside).alias(f"{tier}_n"), total(money).alias(f"{tier}_cents")]
-        above = last
-    row = _leaders(days).agg(*sums).withColumn("all", _revenue_totals(days).scalar())
-
-    def bucket(tier: str, label: str, products: Column, cents: Column) -> Column:
-        return F.struct(
-            F.lit(tier).alias("tier"),
-            F.lit(label).alias("label"),
-            products.alias("product_count"),
-            cents.alias("gross_revenue_cents"),
-            _percent(cents, "all.gross").alias("revenue_share_pct"),
+    sums, buckets, above = [], [], 0
+    rest_n, rest_cents = "whole.products", "whole.gross"
+
+    def bucket(tier: str, label: str, products: str, cents: str) -> str:
+        return (
+            f"struct('{tier}' as tier, '{label}' as label, {products} as product_count,"
+            f" {cents} as gross_revenue_cents,"
+            f" {percent(cents, 'whole.gross')} as revenue_share_pct)"
         )
 
-    buckets = [
-        bucket(tier, label, F.col(f"{tier}_n"), F.col(f"{tier}_cents")) for tier, label, _ in TIERS
-    ]
-    rest_n, rest_cents = F.col("all.products"), F.col("all.gross")
-    for tier, _, _ in TIERS:
-        rest_n, rest_cents = rest_n - F.col(f"{tier}_n"), rest_cents - F.col(f"{tier}_cents")
-    buckets.append(bucket(*LONG_TAIL, rest_n, rest_cents))
-    return row.select(F.explode(F.array(*buckets)).alias("bucket")).select("bucket.*")
+    for tier, label, last in TIERS:
+        inside = f"place > {above} and place <= {last}"
+        sums.append(F.expr(f"count_if({inside}) as {tier}_n"))
+        sums.append(F.expr(f"{total(f'if({inside}, gross_revenue_cents, 0)')} as {tier}_cents"))
+        buckets.append(bucket(tier, label, f"{tier}_n", f"{tier}_cents"))
+        rest_n, rest_cents = f"{rest_n} - {tier}_n", f"{rest_cents} - {tier}_cents"
+        above = last
+    buckets.append(bucket(*LONG_TAIL, rest_n, f"({rest_cents})"))
+    return (
+        _leaders(days)
+        .agg(*sums)
+        .select("*", _all_revenue(days).alias("whole"))
+        .selectExpr(f"inline(array({', '.join(buckets)}))")
+    )
 
 
 def portfolio_concentration(days: DataFrame) -> DataFrame:
     """Herfindahl index and the revenue share of the leading 10 and 50 products."""
-    revenue = _product_revenue(days)
-    all_gross = days.agg(total("gross_revenue_cents").alias("all_gross"))
-    share = ratio("gross_revenue_cents", all_gross.scalar(), 0.0)
-    leading = _leaders(days).agg(
-        F.struct(
-            *[
-                total(F.when(F.col("place") <= last, F.col("gross_revenue_cents"))).alias(
-                    f"top{last}"
-                )
-                for _, _, last in TIERS
-            ]
-        ).alias("leading")
+    leading = ", ".join(
+        f"{total(f'if(place <= {last}, gross_revenue_cents, 0)')} as top{last}"
+        for _, _, last in TIERS
     )
     return (
-        revenue.agg(F.coalesce(F.sum(share * share), F.lit(0.0)).alias("index"))
-        .withColumn("all_gross", all_gross.scalar())
-        .withColumn("leading", leading.scalar())
-        .select(
-            half_up("index", 4).alias("herfindahl_index"),
+        _product_revenue(days)
+        .select("*", days.agg(F.expr(total("gross_revenue_cents"))).scalar().alias("everything"))
+        .selectExpr(f"{ratio('gross_revenue_cents', 'everything', '0')} as share", "everything")
+        .agg(
+            F.expr("coalesce(sum(share * share), 0) as concentration"),
+            F.expr("max(everything) as everything"),
+        )
+        .select("*", _leaders(days).agg(F.expr(f"struct({leading})")).scalar().alias("leading"))
+        .selectExpr(
+            f"{half_up('concentration', 4)} as herfindahl_index",
             *[
-                _percent(f"leading.top{last}", "all_gross").alias(f"top{last}_revenue_share_pct")
+                f"{percent(f'leading.top{last}', 'everything')} as top{last}_revenue_share_pct"
                 for _, _, last in TIERS
             ],
         )
@@ -364,37 +349,37 @@ def portfolio_concentration(days: DataFrame) -> DataFrame:
 
 def revenue_chart(series: DataFrame) -> DataFrame:
     """The revenue series in dollars with a month-day label."""
-    return series.select(
+    return series.selectExpr(
         "date",
-        F.date_format("date", "MM-dd").alias("label"),
-        dollars("gross_revenue_cents").alias("gross"),
-        dollars("net_revenue_cents").alias("net"),
-        dollars("refund_cents").alias("refund"),
-        F.col("gross_revenue_cents").alias("gross_cents"),
-        F.col("net_revenue_cents").alias("net_cents"),
+        "date_format(date, 'MM-dd') as label",
+        f"{dollars('gross_revenue_cents')} as gross",
+        f"{dollars('net_revenue_cents')} as net",
+        f"{dollars('refund_cents')} as refund",
+        "gross_revenue_cents as gross_cents",
+        "net_revenue_cents as net_cents",
         "refund_cents",
     ).orderBy("date")
 
 
 def top_products_chart(top: DataFrame, bars: int = 10) -> DataFrame:
     """The leading bars, smallest first as a horizontal bar chart draws them."""
-    first = top.orderBy(F.col("gross_revenue_cents").desc(), F.col("product_id").asc()).limit(bars)
-    return first.orderBy(F.col("gross_revenue_cents").asc(), F.col("product_id").desc()).select(
-        shortened("product_name", 28, 26).alias("name"),
-        F.col("product_name").alias("full_name"),
-        dollars("gross_revenue_cents").alias("revenue"),
-        F.col("gross_revenue_cents").alias("revenue_cents"),
-        F.col("revenue_share_pct").alias("share"),
-        F.col("units_sold").alias("units"),
-        F.col("gross_margin_pct").alias("margin_pct"),
+    first = _top(top, "gross_revenue_cents", bars)
+    return first.orderBy(F.col("gross_revenue_cents").asc(), F.col("product_id").desc()).selectExpr(
+        f"{shortened('product_name', 28, 26)} as name",
+        "product_name as full_name",
+        f"{dollars('gross_revenue_cents')} as revenue",
+        "gross_revenue_cents as revenue_cents",
+        "revenue_share_pct as share",
+        "units_sold as units",
+        "gross_margin_pct as margin_pct",
     )
 
 
 def refunds_chart(refunded: DataFrame, bars: int = 8) -> DataFrame:
-    first = refunded.orderBy(F.col("refund_cents").desc(), F.col("product_id").asc()).limit(bars)
-    return first.orderBy(F.col("refund_cents").asc(), F.col("product_id").desc()).select(
-        shortened("product_name", 24, 22).alias("name"),
-        F.col("product_name").alias("full_name"),
-        dollars("refund_cents").alias("refund"),
-        F.col("refund_share_pct").alias("share"),
+    first = _top(refunded, "refund_cents", bars)
+    return first.orderBy(F.col("refund_cents").asc(), F.col("product_id").desc()).selectExpr(
+        f"{shortened('product_name', 24, 22)} as name",
+        "product_name as full_name",
+        f"{dollars('refund_cents')} as refund",
+        "refund_share_pct as share",
     )

@@ -130,9 +130,7 @@ def variants(source: DataFrame, dim_products: DataFrame) -> DataFrame:
         "cost_cents",
         "weight_grams",
         F.coalesce("is_active", F.lit(False)).alias("is_active"),
-        ratio(F.col("price_cents") - F.col("cost_cents"), "price_cents", None).alias(
-            "list_margin_pct"
-        ),
+        F.expr(ratio("price_cents - cost_cents", "price_cents")).alias("list_margin_pct"),
         "created_at",
         "updated_at",
     )

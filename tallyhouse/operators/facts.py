@@ -111,7 +111,7 @@ def order_items(source: DataFrame, fct_orders: DataFrame, dim_variants: DataFram
             "unit_cost_cents",
             "cogs_cents",
             "gross_margin_cents",
-            ratio("gross_margin_cents", "line_total_cents", None).alias("gross_margin_pct"),
+            F.expr(ratio("gross_margin_cents", "line_total_cents")).alias("gross_margin_pct"),
         )
     )
 

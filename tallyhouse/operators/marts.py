@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import count_if, ratio, total
+from tallyhouse.functions.expressions import count_if, mean_rating, ratio, total, totals
 from tallyhouse.operators import sales
 from tallyhouse.operators.analytics import DateRange, within
 
@@ -34,12 +34,7 @@ DAILY_MEASURES = [
 ]
 
 
-def _sums(columns: list[str]) -> list[Column]:
-    return [total(column).alias(column) for column in columns]
-
-
-def _margin() -> Column:
-    return ratio("gross_margin_cents", "gross_revenue_cents", None)
+MARGIN = ratio("gross_margin_cents", "gross_revenue_cents")
 
 
 # -- orders ---------------------------------------------------------------------
@@ -48,7 +43,7 @@ def _margin() -> Column:
 def orders_by_status(fct_orders: DataFrame) -> DataFrame:
     """Day x status: orders and their value."""
     return fct_orders.groupBy("order_date", "order_status").agg(
-        F.count("*").alias("order_count"), total("total_cents").alias("gmv_cents")
+        F.count("*").alias("order_count"), F.expr(total("total_cents")).alias("gmv_cents")
     )
 
 
@@ -66,23 +61,22 @@ def overview(mart_daily_sales: DataFrame, span: DateRange | None = None) -> Data
     """Key figures of the range (or of all days) in one row."""
     days = within(mart_daily_sales, span) if span else mart_daily_sales
     return (
-        days.agg(*_sums(["gmv_cents", "net_revenue_cents", "refund_cents", "order_count"]))
-        .withColumn("aov_cents", ratio("gmv_cents", "order_count", None))
-        .withColumn("refund_rate", ratio("refund_cents", "gmv_cents", 0.0))
+        days.agg(*totals(["gmv_cents", "net_revenue_cents", "refund_cents", "order_count"]))
+        .withColumn("aov_cents", F.expr(ratio("gmv_cents", "order_count")))
+        .withColumn("refund_rate", F.expr(ratio("refund_cents", "gmv_cents", "0")))
     )
 
 
 def daily_sales_by(mart_daily_sales: DataFrame, unit: str) -> DataFrame:
     """The daily mart by week, month, quarter or year; ratios anew from the sums."""
-    rated = F.sum(F.col("avg_rating") * F.col("review_count"))
     return (
         mart_daily_sales.groupBy(F.date_trunc(unit, "order_date").cast("date").alias("period_start"))
         .agg(
-            *_sums(DAILY_MEASURES),
-            ratio(rated, F.sum("review_count"), None).alias("avg_rating"),
+            *totals(DAILY_MEASURES),
+            F.expr(mean_rating()).alias("avg_rating"),
         )
-        .withColumn("aov_cents", ratio("gmv_cents", "order_count", None))
-        .withColumn("refund_rate", ratio("refund_cents", "gmv_cents", 0.0))
+        .withColumn("aov_cents", F.expr(ratio("gmv_cents", "order_count")))
+        .withColumn("refund_rate", F.expr(ratio("refund_cents", "gmv_cents", "0")))
     )
 
 
@@ -94,8 +88,8 @@ def product_sales_by(mart_product_sales: DataFrame, unit: str) -> DataFrame:
     period = F.date_trunc(unit, "order_date").cast("date").alias("period_start")
     return (
         mart_product_sales.groupBy(period, "product_id")
-        .agg(F.max("product_name").alias("product_name"), *_sums(PRODUCT_MEASURES))
-        .withColumn("gross_margin_pct", _margin())
+        .agg(F.max("product_name").alias("product_name"), *totals(PRODUCT_MEASURES))
+        .withColumn("gross_margin_pct", F.expr(MARGIN))
     )
 
 
@@ -115,7 +109,7 @@ def top_skus(mart_variant_sales: DataFrame, span: DateRange, limit: int) -> Data
     return (
         within(mart_variant_sales, span)
         .groupBy("variant_id")
-        .agg(F.max("sku").alias("sku"), *_sums(["units_sold", "gross_revenue_cents"]))
+        .agg(F.max("sku").alias("sku"), *totals(["units_sold", "gross_revenue_cents"]))
         .orderBy(F.col("units_sold").desc(), F.col("variant_id").asc())
         .limit(limit)
     )
@@ -129,8 +123,8 @@ def _by_attribute(
     return (
         mart_product_sales.join(attributes, "product_id")
         .groupBy("order_date", key)
-        .agg(F.max(label).alias(label), *_sums(PRODUCT_MEASURES))
-        .withColumn("gross_margin_pct", _margin())
+        .agg(F.max(label).alias(label), *totals(PRODUCT_MEASURES))
+        .withColumn("gross_margin_pct", F.expr(MARGIN))
     )
 
 
@@ -162,7 +156,7 @@ def slow_movers(
 ) -> DataFrame:
     """Active products by units sold in the last ``days`` days, fewest first."""
     recent = within(mart_product_sales, DateRange(as_of - dt.timedelta(days=days - 1), as_of))
-    sold = recent.groupBy("product_id").agg(*_sums(["units_sold", "gross_revenue_cents"]))
+    sold = recent.groupBy("product_id").agg(*totals(["units_sold", "gross_revenue_cents"]))
     slowest = (
         dim_products.where("is_active")
         .select("product_id", "product_name")
@@ -193,14 +187,13 @@ def _customer_spans(fct_orders: DataFrame, unit: str) -> DataFrame:
 
 def customer_activity(fct_orders: DataFrame) -> DataFrame:
     """Day: new and returning buyers, and first and repeat orders."""
-    is_new = F.col("span") == F.col("first_span")
     return (
         _customer_spans(fct_orders, "DAY")
         .groupBy(F.col("span").alias("order_date"))
         .agg(
-            count_if(is_new).alias("new_buyers"),
-            count_if(~is_new).alias("returning_buyers"),
-            total("orders").alias("order_count"),
+            count_if("span = first_span", "new_buyers"),
+            count_if("span > first_span", "returning_buyers"),
+            F.expr(total("orders")).alias("order_count"),
         )
         .withColumn("new_customer_orders", F.col("new_buyers"))
         .withColumn("returning_customer_orders", F.col("order_count") - F.col("new_buyers"))
@@ -218,7 +211,7 @@ def customer_cohorts(fct_orders: DataFrame) -> DataFrame:
         .groupBy(F.col("first_span").alias("cohort_month"), months.alias("period_number"))
         .agg(F.count("*").alias("active_customers"))
         .withColumn("cohort_size", size)
-        .withColumn("retention_pct", ratio("active_customers", "cohort_size", None) * 100)
+        .withColumn("retention_pct", F.expr(ratio("active_customers", "cohort_size")) * 100)
     )
 
 
@@ -228,7 +221,7 @@ def customer_ltv(fct_orders: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count("*").alias("order_count"),
-            total("total_cents").alias("ltv_cents"),
+            F.expr(total("total_cents")).alias("ltv_cents"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
         )
@@ -255,8 +248,8 @@ def geo_sales(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
         .groupBy("default_country_code", "default_state")
         .agg(
             F.count("*").alias("customers"),
-            total("order_count").alias("order_count"),
-            total("ltv_cents").alias("gmv_cents"),
+            *totals(["order_count"]),
+            F.expr(total("ltv_cents")).alias("gmv_cents"),
         )
     )
 
@@ -269,11 +262,11 @@ def funnel_daily(fct_carts: DataFrame) -> DataFrame:
         fct_carts.groupBy("cart_date")
         .agg(
             F.count("*").alias("carts_created"),
-            count_if(F.col("item_quantity") > 0).alias("carts_with_items"),
-            count_if(F.col("is_converted")).alias("orders"),
-            count_if(F.col("is_abandoned")).alias("abandoned_carts"),
+            count_if("item_quantity > 0", "carts_with_items"),
+            count_if("is_converted", "orders"),
+            count_if("is_abandoned", "abandoned_carts"),
         )
-        .withColumn("abandoned_rate", ratio("abandoned_carts", "carts_created", None))
+        .withColumn("abandoned_rate", F.expr(ratio("abandoned_carts", "carts_created")))
     )
 
 
@@ -291,8 +284,8 @@ def promo_performance(
         .groupBy("coupon_id")
         .agg(
             F.count("*").alias("redemptions"),
-            total("discount_cents").alias("discount_cents"),
-            total("total_cents").alias("influenced_gmv_cents"),
+            *totals(["discount_cents"]),
+            F.expr(total("total_cents")).alias("influenced_gmv_cents"),
         )
     )
     return (
@@ -320,8 +313,8 @@ def rating_by_week(fct_reviews: DataFrame) -> DataFrame:
 def payment_mix(fct_payments: DataFrame, dim_payment_methods: DataFrame) -> DataFrame:
     by_method = fct_payments.groupBy("payment_method_id").agg(
         F.count("*").alias("payment_count"),
-        count_if(F.col("is_succeeded")).alias("succeeded_count"),
-        total("amount_cents").alias("amount_cents"),
+        count_if("is_succeeded", "succeeded_count"),
+        *totals(["amount_cents"]),
     )
     return by_method.join(dim_payment_methods, "payment_method_id", "left")
 
@@ -331,9 +324,9 @@ def payment_success(fct_payments: DataFrame) -> DataFrame:
         fct_payments.groupBy("payment_date")
         .agg(
             F.count("*").alias("payment_count"),
-            count_if(F.col("is_succeeded")).alias("succeeded_count"),
+            count_if("is_succeeded", "succeeded_count"),
         )
-        .withColumn("success_rate", ratio("succeeded_count", "payment_count", None))
+        .withColumn("success_rate", F.expr(ratio("succeeded_count", "payment_count")))
     )
 
 
@@ -345,9 +338,9 @@ def fulfillment(fct_shipments: DataFrame, sla_hours: int) -> DataFrame:
             F.count("*").alias("shipment_count"),
             F.avg("hours_order_to_ship").alias("avg_hours_to_ship"),
             F.count("hours_order_to_deliver").alias("delivered_count"),
-            count_if(F.col("hours_order_to_deliver") <= sla_hours).alias("on_time_count"),
+            count_if(f"hours_order_to_deliver <= {int(sla_hours)}", "on_time_count"),
         )
-        .withColumn("on_time_pct", ratio("on_time_count", "delivered_count", None) * 100)
+        .withColumn("on_time_pct", F.expr(ratio("on_time_count", "delivered_count")) * 100)
     )
 
 
@@ -366,9 +359,9 @@ def stockouts(
 def stock_by_warehouse(fct_inventory: DataFrame, dim_warehouses: DataFrame) -> DataFrame:
     stock = fct_inventory.groupBy("warehouse_id").agg(
         F.count("*").alias("variants"),
-        *_sums(["quantity_on_hand", "quantity_reserved", "quantity_available"]),
-        count_if(F.col("is_stockout")).alias("stockout_variants"),
-        count_if(F.col("is_below_reorder_point")).alias("variants_to_reorder"),
+        *totals(["quantity_on_hand", "quantity_reserved", "quantity_available"]),
+        count_if("is_stockout", "stockout_variants"),
+        count_if("is_below_reorder_point", "variants_to_reorder"),
     )
     names = dim_warehouses.select("warehouse_id", "warehouse_code", "warehouse_name")
     return stock.join(names, "warehouse_id", "left")
@@ -389,9 +382,9 @@ def return_rate_by_category(
         return_items.select("order_item_id", F.col("quantity").alias("returned"))
         .join(lines.select("order_item_id", "product_id"), "order_item_id")
         .groupBy("product_id")
-        .agg(total("returned").alias("returned_units"))
+        .agg(F.expr(total("returned")).alias("returned_units"))
     )
-    sold = lines.groupBy("product_id").agg(total("quantity").alias("units_sold"))
+    sold = lines.groupBy("product_id").agg(F.expr(total("quantity")).alias("units_sold"))
     return (
         sold.join(back, "product_id", "left")
         .join(
@@ -401,9 +394,9 @@ def return_rate_by_category(
         .groupBy("primary_category_id")
         .agg(
             F.max("category_path").alias("category_path"),
-            *_sums(["units_sold", "returned_units"]),
+            *totals(["units_sold", "returned_units"]),
         )
-        .withColumn("return_rate", ratio("returned_units", "units_sold", None))
+        .withColumn("return_rate", F.expr(ratio("returned_units", "units_sold")))
     )
 
 
@@ -411,7 +404,7 @@ def refunds_by_day(fct_refunds: DataFrame) -> DataFrame:
     return (
         fct_refunds.where("is_completed")
         .groupBy("refund_date")
-        .agg(F.count("*").alias("refund_count"), total("refund_cents").alias("refund_cents"))
+        .agg(F.count("*").alias("refund_count"), *totals(["refund_cents"]))
     )
 
 

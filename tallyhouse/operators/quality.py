@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import count_if, total
+from tallyhouse.functions.expressions import count_if, totals
 
 ERROR, WARN = "error", "warn"
 
@@ -47,7 +47,7 @@ def unique(frame: DataFrame, table: str, *columns: str) -> DataFrame:
 
 def not_null(frame: DataFrame, table: str, *columns: str) -> DataFrame:
     """Failures: null values, one row per column, all columns in one pass."""
-    nulls = frame.agg(*[count_if(F.col(column).isNull()).alias(column) for column in columns])
+    nulls = frame.agg(*[count_if(f"{column} is null", column) for column in columns])
     per_column = F.array(
         *[
             F.struct(F.lit(column).alias("column_name"), F.col(column).alias("failures"))
@@ -71,7 +71,7 @@ def relationships(
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     known = parent.select(F.col(parent_column).alias(column))
     orphans = keys.join(known, column, "left_anti")
-    return _result(orphans.agg(total("n").alias("failures")), table, column, "relationships")
+    return _result(orphans.agg(*totals(["n"])), table, column, "relationships")
 
 
 def accepted_values(
@@ -87,13 +87,13 @@ def holds(
     frame: DataFrame, table: str, column: str, check: str, rule: Column, severity: str = ERROR
 ) -> DataFrame:
     """Failures: rows where the rule is false. Unknown (null) does not count."""
-    return _result(frame.agg(count_if(~rule).alias("failures")), table, column, check, severity)
+    return _result(frame.agg(F.count_if(~rule).alias("failures")), table, column, check, severity)
 
 
 def dropped(source: DataFrame, table: str, check: str, kept: Column) -> DataFrame:
     """Rows a silver filter leaves out, null conditions included."""
     out = ~F.coalesce(kept, F.lit(False))
-    return _result(source.agg(count_if(out).alias("failures")), table, "*", check, WARN)
+    return _result(source.agg(F.count_if(out).alias("failures")), table, "*", check, WARN)
 
 
 # -- arithmetic audits: the offending rows themselves ------------------------------

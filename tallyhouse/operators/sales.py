@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import allocated_share, count_if, ratio, total
+from tallyhouse.functions.expressions import (
+    allocated_share,
+    count_if,
+    ratio,
+    total,
+    totals,
+)
 
 # Line columns that simply add up, and their names in the marts.
 LINE_MEASURES = {
@@ -53,7 +59,7 @@ def daily_orders(fct_orders: DataFrame, fct_refunds: DataFrame) -> DataFrame:
         .groupBy("order_date")
         .agg(
             F.sum("refund_cents").alias("refund_cents"),
-            count_if(F.col("refund_cents") > 0).alias("refunded_order_count"),
+            count_if("refund_cents > 0", "refunded_order_count"),
         )
     )
     return money.join(returned, "order_date", "left").na.fill(
@@ -97,8 +103,8 @@ def mart_daily_sales(
             "discount_cents",
             "shipping_cents",
             "tax_cents",
-            ratio("gmv_cents", "order_count", None).alias("aov_cents"),
-            ratio("refund_cents", "gmv_cents", 0.0).alias("refund_rate"),
+            F.expr(ratio("gmv_cents", "order_count")).alias("aov_cents"),
+            F.expr(ratio("refund_cents", "gmv_cents", "0")).alias("refund_rate"),
             F.coalesce("review_count", F.lit(0).cast("long")).alias("review_count"),
             "avg_rating",
         )
@@ -129,9 +135,9 @@ def line_refunds(fct_order_items: DataFrame, fct_refunds: DataFrame) -> DataFram
         *lines.columns,
         "order_refund_cents",
         "order_lines_cents",
-        allocated_share("order_refund_cents", "line_total_cents", "order_lines_cents").alias(
-            "refund_cents"
-        ),
+        F.expr(
+            allocated_share("order_refund_cents", "line_total_cents", "order_lines_cents")
+        ).alias("refund_cents"),
     )
 
 
@@ -149,16 +155,19 @@ def sales_by(
     refund are never shuffled by order. ``distinct`` maps counted keys to the
     names of their counts; ``label`` is a column the grain determines.
     """
-    measures = [total(line).alias(mart) for line, mart in LINE_MEASURES.items()]
+    measures = [F.expr(f"{total(line)} as {mart}") for line, mart in LINE_MEASURES.items()]
     labels = [F.max(label).alias(label)] if label else []
     counts = [F.count_distinct(key).alias(name) for key, name in (distinct or {}).items()]
     sold = lines.groupBy(*grain).agg(*labels, *counts, *measures)
-    refunded = shares.groupBy(*grain).agg(total("refund_cents").alias("refund_cents"))
+    refunded = shares.groupBy(*grain).agg(*totals(["refund_cents"]))
     return (
         sold.join(refunded, list(grain), "left")
         .na.fill(0, ["refund_cents"])
-        .withColumn("net_revenue_cents", F.col("gross_revenue_cents") - F.col("refund_cents"))
-        .withColumn("gross_margin_pct", ratio("gross_margin_cents", "gross_revenue_cents", None))
+        .selectExpr(
+            "*",
+            "gross_revenue_cents - refund_cents as net_revenue_cents",
+            f"{ratio('gross_margin_cents', 'gross_revenue_cents')} as gross_margin_pct",
+        )
     )
 
 

@@ -44,6 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # No call-site capture per column expression: requests build their
+        # frames anew each time, and the capture costs more than the planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

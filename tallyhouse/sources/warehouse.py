@@ -56,7 +56,8 @@ class Warehouse:
         earlier runs stay until the storage's retention rule expires them.
 
         Month partitions are rebalanced before the write: Spark splits a month
-        that holds most rows over several tasks and merges tiny ones.
+        that holds most rows over several tasks and merges tiny ones. Tables
+        without months are written as they come, without a shuffle for it.
         """
         target = self.full_name(layer, name)
         folder = f"{self.root}/{self.database(layer)}/{name}/{uuid.uuid4().hex}"
@@ -65,7 +66,7 @@ class Warehouse:
             frame = with_month(frame, month_of).hint("rebalance", month)
             frame.write.partitionBy(month).parquet(folder)
         else:
-            frame.hint("rebalance").write.parquet(folder)
+            frame.write.parquet(folder)
         self.spark.sql(f"drop table if exists {target}")
         self.spark.sql(f"create table {target} using parquet location '{folder}'")
         if month_of:
