@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import slug
 from tallyhouse.operators.facts import REVENUE_STATUSES
+from tallyhouse.operators.joins import join_grouped
 
 # Payment states a refund can be paid from.
 REFUNDABLE_PAYMENTS = ("succeeded", "refunded")
@@ -162,8 +163,7 @@ def addresses_by_customer(addresses: DataFrame, page_size: int = _PAGE_SIZE) ->
     sizes = addresses.groupBy("customer_id").agg(F.count("*").alias("address_count"))
     pages = F.ceil(F.col("address_count") / page_size)
     return (
-        addresses.select("customer_id", "id")
-        .join(sizes, "customer_id")
+        join_grouped(addresses.select("customer_id", "id"), sizes, "customer_id")
         .groupBy("customer_id", F.pmod(F.xxhash64("id"), pages).cast("int").alias("page"))
         .agg(F.sort_array(F.collect_list("id")).alias("address_ids"))
     )

@@ -17,6 +17,7 @@ from tallyhouse.functions.expressions import (
     total,
     totals,
 )
+from tallyhouse.operators.joins import join_grouped
 
 # Line columns that simply add up, and their names in the marts.
 LINE_MEASURES = {
@@ -131,7 +132,7 @@ def line_refunds(fct_order_items: DataFrame, fct_refunds: DataFrame) -> DataFram
         "refund_cents", "order_refund_cents"
     )
     order_totals = order_line_totals(lines).join(refunded, "order_id")
-    return lines.join(order_totals, "order_id").select(
+    return join_grouped(lines, order_totals, "order_id").select(
         *lines.columns,
         "order_refund_cents",
         "order_lines_cents",
