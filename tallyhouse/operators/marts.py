@@ -108,8 +108,8 @@ def variant_sales(fct_order_items: DataFrame, fct_refunds: DataFrame) -> DataFra
 def top_skus(mart_variant_sales: DataFrame, span: DateRange, limit: int) -> DataFrame:
     return (
         within(mart_variant_sales, span)
-        .groupBy("variant_id")
-        .agg(F.max("sku").alias("sku"), *totals(["units_sold", "gross_revenue_cents"]))
+        .groupBy("variant_id", "sku")
+        .agg(*totals(["units_sold", "gross_revenue_cents"]))
         .orderBy(F.col("units_sold").desc(), F.col("variant_id").asc())
         .limit(limit)
     )
@@ -122,8 +122,8 @@ def _by_attribute(
     attributes = enriched_products.select("product_id", key, label)
     return (
         mart_product_sales.join(attributes, "product_id")
-        .groupBy("order_date", key)
-        .agg(F.max(label).alias(label), *totals(PRODUCT_MEASURES))
+        .groupBy("order_date", key, label)
+        .agg(*totals(PRODUCT_MEASURES))
         .withColumn("gross_margin_pct", F.expr(MARGIN))
     )
 
@@ -391,11 +391,8 @@ def return_rate_by_category(
             enriched_products.select("product_id", "primary_category_id", "category_path"),
             "product_id",
         )
-        .groupBy("primary_category_id")
-        .agg(
-            F.max("category_path").alias("category_path"),
-            *totals(["units_sold", "returned_units"]),
-        )
+        .groupBy("primary_category_id", "category_path")
+        .agg(*totals(["units_sold", "returned_units"]))
         .withColumn("return_rate", F.expr(ratio("returned_units", "units_sold")))
     )
 

@@ -154,12 +154,14 @@ def sales_by(
     The two sides are summed apart and meet at the grain: both sums are combined
     in the map tasks, both end up hashed by the grain, and lines without a
     refund are never shuffled by order. ``distinct`` maps counted keys to the
-    names of their counts; ``label`` is a column the grain determines.
+    names of their counts. ``label`` is a text the grain determines; it is
+    grouped by, since an aggregate of text would turn the hash aggregation into
+    a sort of all lines.
     """
     measures = [F.expr(f"{total(line)} as {mart}") for line, mart in LINE_MEASURES.items()]
-    labels = [F.max(label).alias(label)] if label else []
+    labels = [label] if label else []
     counts = [F.count_distinct(key).alias(name) for key, name in (distinct or {}).items()]
-    sold = lines.groupBy(*grain).agg(*labels, *counts, *measures)
+    sold = lines.groupBy(*grain, *labels).agg(*counts, *measures)
     refunded = shares.groupBy(*grain).agg(*totals(["refund_cents"]))
     return (
         sold.join(refunded, list(grain), "left")
