@@ -16,7 +16,11 @@ from checks.marts_sql import LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES
 from checks.silver_sql import GOLD, SILVER
 from tallyhouse.operators import analytics, dimensions, lookups, marts, quality, sales
 from tallyhouse.plans import paths, quality_suite
-from tallyhouse.plans.incremental import refresh_months, touched_months
+from tallyhouse.plans.incremental import (
+    refresh_months,
+    refresh_silver_months,
+    touched_months,
+)
 from tallyhouse.plans.medallion import SILVER_MODELS, gold_over, silver_over
 from tallyhouse.plans.refresh import refresh_gold
 from tallyhouse.session import configure, shared_folder
@@ -103,6 +107,16 @@ class Layers:
             _written[key] = warehouse
         return _written[key]
 
+    def incremental_fact(self, name: str) -> DataFrame:
+        """The fact written up to 1999, then brought up to date month by month."""
+        warehouse = self.new_warehouse()
+        warehouse.create_databases()
+        late = F.col("order_date") >= dt.date(2000, 1, 1)
+        warehouse.replace("silver", name, self.silver_table(name).where(~late), "order_date")
+        changed = self.silver_table("fct_orders").where(late)
+        refresh_silver_months(warehouse, self.bronze, touched_months(changed), [name])
+        return warehouse.table("silver", name)
+
     def incremental(self, name: str) -> DataFrame:
         """The mart written up to 1999, then brought up to date month by month."""
         warehouse = self.new_warehouse()
@@ -377,6 +391,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
     )
     lookup("incremental_product_sales", lambda x: x.incremental("mart_product_sales"))
     lookup("incremental_daily_sales", lambda x: x.incremental("mart_daily_sales"))
+    lookup("incremental_order_items", lambda x: x.incremental_fact("fct_order_items"))
 
     def check(name: str, frame: Callable[[Layers], DataFrame]) -> None:
         add(f"dq_{name}", frame, QUALITY_QUERIES[f"dq_{name}"])

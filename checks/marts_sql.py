@@ -256,6 +256,9 @@ from g_daily
 """,
     "incremental_product_sales": """
 select g_product.*, cast(date_trunc('month', order_date) as date) as order_month from g_product
+""",
+    "incremental_order_items": """
+select s_order_items.*, cast(date_trunc('month', order_date) as date) as order_month from s_order_items
 """,
     "incremental_daily_sales": """
 select g_daily.*, cast(date_trunc('month', order_date) as date) as order_month from g_daily

@@ -1,4 +1,4 @@
-"""Refreshing gold for some months instead of all of them."""
+"""Refreshing facts and marts for some months instead of all of them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.plans.medallion import GOLD_MODELS, Tables
+from tallyhouse.plans.medallion import GOLD_MODELS, SILVER_MODELS, Tables, silver_over
 from tallyhouse.sources.warehouse import MONTH, Warehouse
 
 
@@ -46,6 +46,67 @@ def refresh_months(
         warehouse.replace_months("gold", name, frame, model.month_of, wanted)
 
 
+# Facts that follow the month of their order, and the one of reviews.
+ORDER_FACTS = [
+    "fct_orders",
+    "fct_order_items",
+    "fct_payments",
+    "fct_refunds",
+    "fct_shipments",
+    "fct_returns",
+]
+REVIEW_FACTS = ["fct_reviews"]
+
+
+class _BronzeMonths:
+    """Bronze tables with orders and reviews cut to the given months.
+
+    The cut is a range on the instant itself, which reaches the scan. Lines,
+    payments and the like stay whole here: joining them to the orders that are
+    left cuts them.
+    """
+
+    INSTANTS = {"orders": "placed_at", "product_reviews": "created_at"}
+
+    def __init__(self, bronze: Tables, months: list[dt.date]):
+        self.bronze = bronze
+        self.months = months
+
+    def table(self, name: str) -> DataFrame:
+        frame = self.bronze.table(name)
+        if name not in self.INSTANTS:
+            return frame
+        instant = self.INSTANTS[name]
+        ranges = [
+            f"({instant} >= timestamp '{month}' and {instant} < timestamp '{_next(month)}')"
+            for month in self.months
+        ]
+        return frame.where(" or ".join(ranges))
+
+
+def _next(month: dt.date) -> dt.date:
+    return (month + dt.timedelta(days=32)).replace(day=1)
+
+
+def refresh_silver_months(
+    warehouse: Warehouse,
+    bronze: Tables,
+    months: Iterable[dt.date],
+    names: Iterable[str] = (*ORDER_FACTS, *REVIEW_FACTS),
+) -> None:
+    """Recompute the given months of facts. An order that moved touches both its months."""
+    wanted = sorted({month.replace(day=1) for month in months})
+    if not wanted:
+        return
+    layer = silver_over(_BronzeMonths(bronze, wanted))
+    for name in names:
+        if name not in ORDER_FACTS and name not in REVIEW_FACTS:
+            raise ValueError(f"{name} does not follow the month of orders or reviews")
+        warehouse.replace_months(
+            "silver", name, layer.build(name), SILVER_MODELS[name].month_of, wanted
+        )
+
+
 def touched_months(changes: DataFrame, date_column: str = "order_date") -> list[dt.date]:
     """Order months among changed rows: a short list, a calendar has few months."""
     months = changes.select(F.trunc(date_column, "MM").alias("month")).where("month is not null")

@@ -24,7 +24,6 @@ PLANNING = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,9 +95,8 @@ class Warehouse:
         # The declared schema also covers a staged folder without any row.
         rows = self.spark.read.schema(frame.schema).parquet(staged)
         filled = {row[0] for row in rows.select(month).distinct().collect()}
-        rows.select(self.spark.table(target).columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(target)
+        with self._only_written_partitions():
+            rows.select(self.spark.table(target).columns).write.mode("overwrite").insertInto(target)
         for empty in sorted(set(months) - filled):
             self.spark.sql(
                 f"alter table {target} drop if exists partition ({month} = date '{empty}')"
@@ -104,6 +104,19 @@ class Warehouse:
         self.spark.catalog.refreshTable(target)
         return self.table(layer, name)
 
+    @contextmanager
+    def _only_written_partitions(self) -> Iterator[None]:
+        """Overwrite only partitions that get rows. The writer option of the same
+        name has no effect on inserts into a table, so the session setting it is.
+        """
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(setting, before)
+
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.full_name(layer, name))
 

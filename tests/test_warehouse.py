@@ -8,8 +8,8 @@ import pytest
 from tallyhouse.operators import analytics
 from tallyhouse.operators.bronze import mirror
 from tallyhouse.plans import refresh
-from tallyhouse.plans.incremental import refresh_months, touched_months
-from tallyhouse.plans.medallion import silver_over
+from tallyhouse.plans.incremental import refresh_months, refresh_silver_months, touched_months
+from tallyhouse.plans.medallion import SILVER_MODELS, silver_over
 from tallyhouse.sources.access import json_rows, query_with_parameters
 from tallyhouse.sources.oltp import FileSource, JdbcSource, Split
 from tallyhouse.sources.schemas import BRONZE_SCHEMAS, BRONZE_TABLES, with_keys_as
@@ -84,6 +84,32 @@ def test_months_are_replaced_and_emptied(pipeline, spark, given):
         assert days and max(days) <= dt.date(1998, 2, 10) and min(days) >= february
 
 
+def test_fact_months_follow_the_source(pipeline, spark, given):
+    """One order leaves the source, another month is not touched."""
+    warehouse = Warehouse(spark, pipeline.root, "facts_")
+    warehouse.create_databases()
+    bronze, names = pipeline.layer("bronze"), ["fct_orders", "fct_order_items", "fct_reviews"]
+    for name in names:
+        model = SILVER_MODELS[name]
+        old = pipeline.table("silver", name).drop("order_month", "review_month")
+        warehouse.replace("silver", name, old, model.month_of)
+    january = pipeline.table("silver", "fct_orders").where("order_month = date '1998-01-01'")
+    gone = january.orderBy("order_id").first().order_id
+    needed = ["orders", "order_items", "product_variants", "products", "product_reviews"]
+    frames = {name: bronze.table(name) for name in needed}
+    frames["orders"] = frames["orders"].where(f"id <> {gone}")
+    refresh_silver_months(warehouse, given(**frames), [dt.date(1998, 1, 20)], names)
+    for name in names:
+        before, after = pipeline.table("silver", name), warehouse.table("silver", name)
+        if name != "fct_reviews":
+            before = before.where(f"order_id <> {gone}")
+        columns = before.columns
+        assert before.exceptAll(after.select(columns)).count() == 0, name
+        assert after.count() == before.count()
+    with pytest.raises(ValueError):
+        refresh_silver_months(warehouse, bronze, [dt.date(1998, 1, 1)], ["fct_carts"])
+
+
 def test_only_month_tables_can_be_refreshed_by_month(pipeline, monkeypatch):
     from tallyhouse.plans import incremental
     from tallyhouse.plans.medallion import Model
