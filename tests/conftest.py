@@ -12,6 +12,8 @@ from tallyhouse.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8)
+    # Month files of tiny tables are written by several tasks at once.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
     yield session
     session.stop()
 
