@@ -1,5 +1,3 @@
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import quality
