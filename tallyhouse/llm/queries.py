@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import packing, prefix_counts, robust_rules, simhash
+from tallyhouse.llm import forest, packing, prefix_counts, robust_rules, simhash, weak_labels
 from tallyhouse.llm.shared import read_table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_forest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return forest.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op3_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     counts = prefix_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), (1024,))
@@ -36,14 +41,20 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.classify(read_table(spark, folder, "documents"))
+
+
 def op9_robust_rules(spark: SparkSession, folder: str) -> DataFrame:
     return robust_rules.quality_rules(read_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_forest": op2_forest,
     "op3_prefix_counts": op3_prefix_counts,
     "op5_simhash": op5_simhash,
+    "op7_weak_labels": op7_weak_labels,
     "op9_robust_rules": op9_robust_rules,
 }
 
