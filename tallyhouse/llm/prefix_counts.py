@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.shared import slices, words_of
+from tallyhouse.llm.shared import byte_letters, slices, words_of
 
 # The split pattern of the vocabulary file, fixed.
 PIECE = regex.compile(
@@ -26,14 +26,6 @@ _LONG_ENDINGS = {"'re", "'ve", "'ll"}
 _STEP = np.dtype("=i2")
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabulary files write bytes: printable ones
-    stand for themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
-
-
 class PrefixCounts:
     """Token counts of all prefixes under a byte-level BPE file.
 
@@ -49,7 +41,7 @@ class PrefixCounts:
     def __init__(self, path: str, limit: int = 500_000):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
-        letters = _byte_letters()
+        letters = byte_letters()
         special = {t["content"] for t in data["added_tokens"]}
         self._ids = {
             bytes(letters[c] for c in piece): number

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import forest, packing, prefix_counts, robust_rules, simhash, weak_labels
+from tallyhouse.llm import (
+    attention_lm,
+    forest,
+    packing,
+    page_text,
+    piece_transducer,
+    prefix_counts,
+    robust_rules,
+    simhash,
+    weak_labels,
+)
 from tallyhouse.llm.shared import read_table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +44,10 @@ def op3_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.page_texts(read_table(spark, folder, "pages"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"))
     return found.select(
@@ -41,10 +55,26 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_piece_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    encoded = piece_transducer.encode(read_table(spark, folder, "documents"), model)
+    return piece_transducer.decode(encoded, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
 def op7_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     return weak_labels.classify(read_table(spark, folder, "documents"))
 
 
+def op8_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return attention_lm.score(read_table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op9_robust_rules(spark: SparkSession, folder: str) -> DataFrame:
     return robust_rules.quality_rules(read_table(spark, folder, "documents"))
 
@@ -53,8 +83,11 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_forest": op2_forest,
     "op3_prefix_counts": op3_prefix_counts,
+    "op4_page_text": op4_page_text,
     "op5_simhash": op5_simhash,
+    "op6_piece_transducer": op6_piece_transducer,
     "op7_weak_labels": op7_weak_labels,
+    "op8_attention_lm": op8_attention_lm,
     "op9_robust_rules": op9_robust_rules,
 }
 

@@ -43,6 +43,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabulary files write bytes: printable ones
+    stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
+
+
 class ByteBpe:
     """Ids of a byte-level BPE file, a cache of words in front of the library.
 
@@ -52,7 +60,7 @@ class ByteBpe:
     ``limit`` words, so memory stays bounded; results do not depend on it.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,9 +70,14 @@ class ByteBpe:
         self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, number in vocabulary.items():
             self._begins[number] = piece.startswith("Ġ")  # a space, as the format writes it
+        self._letters = byte_letters()
         self._limit = limit
         self._words: dict[str, bytes] = {}
 
+    def spelled(self, number: int) -> bytes:
+        """The bytes of an id."""
+        return bytes(self._letters[c] for c in self._library.id_to_token(number))
+
     def _whole(self, text: str) -> bytes:
         ids = self._library.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
