@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import (
     attention_lm,
     forest,
+    id_blocks,
     packing,
     page_text,
     piece_transducer,
@@ -79,6 +80,11 @@ def op9_robust_rules(spark: SparkSession, folder: str) -> DataFrame:
     return robust_rules.quality_rules(read_table(spark, folder, "documents"))
 
 
+def op10_id_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return id_blocks.placed(id_blocks.write_ids(docs, tokenizer_path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_forest": op2_forest,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op7_weak_labels": op7_weak_labels,
     "op8_attention_lm": op8_attention_lm,
     "op9_robust_rules": op9_robust_rules,
+    "op10_id_blocks": op10_id_blocks,
 }
 
 SQL: dict[str, str] = {}
