@@ -79,9 +79,10 @@ def with_statistics(docs: DataFrame, name: str = "rules") -> DataFrame:
             ),
         )
         .withColumn("__repeated", F.when(F.col("__sorted").isNotNull(), F.sort_array(repeated)))
+        # A row of one: what follows reads the statistics, and never derives them anew.
         .withColumn(
             name,
-            F.struct(
+            F.explode(F.array(F.struct(
                 count.cast("long").alias("n_words"),
                 F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
                 (F.length("__text") - F.length(F.regexp_replace("__text", r"[#*$%&|<>]+", "")))
@@ -90,7 +91,7 @@ def with_statistics(docs: DataFrame, name: str = "rules") -> DataFrame:
                 (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
                 F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
                 F.size("__lines").cast("long").alias("n_lines"),
-            ),
+            ))),
         )
         .drop("__text", "__words", "__lines", "__hashes", "__sorted", "__repeated")
     )
