@@ -359,10 +359,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
     lookup("lookup_product_slugs", lambda x: lookups.product_slugs(x.bronze_table("products")))
     lookup(
         "lookup_addresses_by_customer",
-        # As text, since result comparison has no list type.
-        lambda x: lookups.addresses_by_customer(x.bronze_table("customer_addresses")).withColumn(
-            "address_ids", F.array_join(F.col("address_ids").cast("array<string>"), ",")
-        ),
+        lambda x: lookups.addresses_by_customer(x.bronze_table("customer_addresses")),
     )
     lookup(
         "sql_with_parameters",

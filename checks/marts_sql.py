@@ -35,7 +35,10 @@ select order_date, count(*) filter (where order_status = 'pending') as pending,
        count(*) filter (where order_status = 'paid') as paid,
        count(*) filter (where order_status = 'fulfilled') as fulfilled,
        count(*) filter (where order_status = 'cancelled') as cancelled,
-       count(*) filter (where order_status = 'refunded') as refunded
+       count(*) filter (where order_status = 'refunded') as refunded,
+       count(*) filter (where coalesce(order_status, '') not in
+           ('pending', 'paid', 'fulfilled', 'cancelled', 'refunded')) as other,
+       count(*) as order_count
 from s_orders group by order_date
 """,
     "mart_variant_sales": f"""
@@ -50,11 +53,11 @@ group by variant_id order by units_sold desc, variant_id limit 10
 """,
     "mart_category_sales": f"""
 select order_date, primary_category_id, min(category_path) as category_path, {_SUMS}
-from g_product join s_enriched_products using (product_id) group by order_date, primary_category_id
+from g_product left join s_enriched_products using (product_id) group by order_date, primary_category_id
 """,
     "mart_brand_sales": f"""
 select order_date, brand_id, min(brand_name) as brand_name, {_SUMS}
-from g_product join s_enriched_products using (product_id) group by order_date, brand_id
+from g_product left join s_enriched_products using (product_id) group by order_date, brand_id
 """,
     "mart_product_sales_with_names": """
 select g_product.*, brand_name, category_name, category_path
@@ -168,7 +171,7 @@ from s_inventory left join s_warehouses using (warehouse_id) group by warehouse_
 select primary_category_id, min(category_path) as category_path, cast(sum(quantity) as bigint) as units_sold,
        cast(ifnull(sum(returned), 0) as bigint) as returned_units,
        cast(ifnull(sum(returned), 0) as double) / sum(quantity) as return_rate
-from g_lines join s_enriched_products using (product_id)
+from g_lines left join s_enriched_products using (product_id)
 left join (select order_item_id, sum(quantity) as returned from b_return_items group by all) using (order_item_id)
 group by primary_category_id
 """,
@@ -210,8 +213,19 @@ where v.product_id in (select id from b_products)
 
 LOOKUP_QUERIES = {
     "lookup_missing_stock_rows": """
-select w.id as warehouse_id, v.id as variant_id from b_warehouses w, b_product_variants v
-where (w.id, v.id) not in (select (warehouse_id, variant_id) from b_inventory_levels)
+select side, id, expected_rows, present_rows, expected_rows - present_rows as missing_rows
+from (
+    with pairs as (
+        select distinct variant_id, warehouse_id from b_inventory_levels
+        where variant_id in (select id from b_product_variants) and warehouse_id in (select id from b_warehouses)
+    )
+    select 'variant' as side, cast(v.id as varchar) as id, (select count(*) from b_warehouses) as expected_rows,
+           count(pairs.warehouse_id) as present_rows
+    from b_product_variants v left join pairs on pairs.variant_id = v.id group by v.id
+    union all
+    select 'warehouse', cast(w.id as varchar), (select count(*) from b_product_variants), count(pairs.variant_id)
+    from b_warehouses w left join pairs on pairs.warehouse_id = w.id group by w.id
+)
 """,
     "lookup_refund_candidates": _CANDIDATES,
     "lookup_refund_sample": f"select * from ({_CANDIDATES}) order by md5(order_item_id || '|7'), order_item_id limit 500",
@@ -241,9 +255,7 @@ from (
     "lookup_product_slugs": """
 select id as product_id, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') as name_slug from b_products
 """,
-    "lookup_addresses_by_customer": """
-select customer_id, cast(0 as integer) as page, string_agg(cast(id as varchar), ',' order by id) as address_ids from b_customer_addresses group by customer_id
-""",
+    "lookup_addresses_by_customer": "select customer_id, id as address_id from b_customer_addresses",
     "sql_with_parameters": """
 select product_id, cast(sum(gross_revenue_cents) as bigint) as gross_revenue_cents
 from g_product where order_date between date '1998-01-01' and date '1998-03-01'

@@ -164,15 +164,15 @@ def _by_day(
 ) -> DataFrame:
     """Sums per day with product sales and a count from the daily mart, in date order.
 
-    The result has at most one row per day of the range, so it is sorted in one
-    task rather than by a range shuffle with its sampling job.
+    The result has at most one row per day of the range, so it is gathered and sorted
+    in one task, behind the aggregation and the join.
     """
     by_day = days.groupBy("order_date").agg(*totals(sums))
     counts = within(mart_daily_sales, span).select("order_date", counted)
     return (
         by_day.join(counts, "order_date", "left")
         .selectExpr("order_date as date", *sums, f"coalesce({counted}, 0L) as {counted}")
-        .coalesce(1)
+        .repartition(1)
         .sortWithinPartitions("date")
     )
 

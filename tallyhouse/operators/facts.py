@@ -190,7 +190,7 @@ def carts(source: DataFrame, cart_items: DataFrame, fct_orders: DataFrame) -> Da
     """Carts with content and outcome; every cart without an order is abandoned."""
     content = cart_items.groupBy("cart_id").agg(
         F.sum("quantity").alias("item_quantity"),
-        F.sum(F.col("quantity") * F.col("unit_price_cents")).alias("cart_value_cents"),
+        F.sum(F.col("quantity").cast("long") * F.col("unit_price_cents").cast("long")).alias("cart_value_cents"),
     )
     bought = fct_orders.where("cart_id is not null").select(
         "cart_id", F.col("order_id").alias("converted_order_id")

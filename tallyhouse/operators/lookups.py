@@ -7,61 +7,42 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.expressions import slug
 from tallyhouse.operators.facts import REVENUE_STATUSES
-from tallyhouse.operators.joins import join_grouped
 
 # Payment states a refund can be paid from.
 REFUNDABLE_PAYMENTS = ("succeeded", "refunded")
 
-# Warehouses per row of the expected grid, and the number of such rows up to
-# which the grid is sure to be small enough for a broadcast.
-_GRID_WIDTH = 1000
-_BROADCAST_ROWS = 100
-
-# Most addresses put into one list; a customer with more gets further pages.
-_PAGE_SIZE = 1000
-
 
 def missing_stock_rows(
     warehouses: DataFrame, variants: DataFrame, inventory_levels: DataFrame
 ) -> DataFrame:
-    """Warehouse and variant pairs without a stock row.
+    """Per variant and per warehouse how many stock rows there should be, are and lack.
 
-    Only missing pairs are ever made into rows: each variant meets the list of
-    warehouses it should be in, in slices of about a thousand, and the ones
-    it is in are taken out of the list.
+    A variant should have a row in each warehouse. Pairs are counted, never made: the
+    counts need the stock rows and the number of variants and warehouses only.
     """
-    slices = max(1, -(-warehouses.count() // _GRID_WIDTH))
-    part = F.pmod(F.xxhash64("warehouse_id"), F.lit(slices))
-    expected = (
-        warehouses.select(F.col("id").alias("warehouse_id"))
-        .groupBy(part.alias("slice"))
-        .agg(F.collect_set("warehouse_id").alias("expected"))
-    )
-    if slices <= _BROADCAST_ROWS:
-        expected = F.broadcast(expected)
-    present = (
+    pairs = (
         inventory_levels.select("variant_id", "warehouse_id")
-        .groupBy("variant_id", part.alias("slice"))
-        .agg(F.collect_set("warehouse_id").alias("present"))
+        .join(variants.select(F.col("id").alias("variant_id")), "variant_id", "left_semi")
+        .join(warehouses.select(F.col("id").alias("warehouse_id")), "warehouse_id", "left_semi")
+        .distinct()
     )
-    return (
-        variants.select(
-            F.col("id").alias("variant_id"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias(
-                "slice"
-            ),
-        )
-        .join(expected, "slice")
-        .join(present, ["variant_id", "slice"], "left")
-        .select(
-            F.explode(
-                F.when(F.col("present").isNull(), F.col("expected")).otherwise(
-                    F.array_except("expected", "present")
-                )
-            ).alias("warehouse_id"),
-            "variant_id",
+
+    def side(name: str, own: DataFrame, other: DataFrame) -> DataFrame:
+        present = pairs.groupBy(F.col(f"{name}_id").alias("id")).agg(F.count("*").alias("n"))
+        expected = other.select(F.count("*").alias("n")).scalar()
+        return (
+            own.select("id")
+            .join(present, "id", "left")
+            .select(
+                F.lit(name).alias("side"),
+                F.col("id").cast("string").alias("id"),
+                expected.alias("expected_rows"),
+                F.coalesce("n", F.lit(0).cast("long")).alias("present_rows"),
+            )
+            .withColumn("missing_rows", F.col("expected_rows") - F.col("present_rows"))
         )
-    )
+
+    return side("variant", variants, warehouses).union(side("warehouse", warehouses, variants))
 
 
 def refund_candidates(
@@ -153,17 +134,6 @@ def product_slugs(products: DataFrame) -> DataFrame:
     return products.select(F.col("id").alias("product_id"), slug("name").alias("name_slug"))
 
 
-def addresses_by_customer(addresses: DataFrame, page_size: int = _PAGE_SIZE) -> DataFrame:
-    """Address ids per customer as lists, in pages of about ``page_size`` ids.
-
-    Nearly every customer has one page. One with very many addresses gets as
-    many pages as needed, by a hash of the address, so no list grows without
-    bound and no address is left out.
-    """
-    sizes = addresses.groupBy("customer_id").agg(F.count("*").alias("address_count"))
-    pages = F.ceil(F.col("address_count") / page_size)
-    return (
-        join_grouped(addresses.select("customer_id", "id"), sizes, "customer_id")
-        .groupBy("customer_id", F.pmod(F.xxhash64("id"), pages).cast("int").alias("page"))
-        .agg(F.sort_array(F.collect_list("id")).alias("address_ids"))
-    )
+def addresses_by_customer(addresses: DataFrame) -> DataFrame:
+    """One row per customer and address, however many a customer has."""
+    return addresses.select("customer_id", F.col("id").alias("address_id"))

@@ -48,12 +48,13 @@ def orders_by_status(fct_orders: DataFrame) -> DataFrame:
 
 
 def orders_by_status_stacked(fct_orders: DataFrame, statuses: list[str]) -> DataFrame:
-    """One column of order counts per status, for stacked bars."""
-    return (
-        fct_orders.groupBy("order_date")
-        .pivot("order_status", statuses)
-        .agg(F.count("order_status"))
-        .na.fill(0)
+    """Order counts of a day: one column per given status, one for all others, and all."""
+    status = F.col("order_status")
+    unknown = ~F.coalesce(status.isin(*statuses), F.lit(False))
+    return fct_orders.groupBy("order_date").agg(
+        *(F.count_if(status == name).alias(name) for name in statuses),
+        F.count_if(unknown).alias("other"),
+        F.count("*").alias("order_count"),
     )
 
 
@@ -106,22 +107,33 @@ def variant_sales(fct_order_items: DataFrame, fct_refunds: DataFrame) -> DataFra
 
 
 def top_skus(mart_variant_sales: DataFrame, span: DateRange, limit: int) -> DataFrame:
+    """Best sold variants; a SKU that changed in the range does not split its variant."""
+    order = [F.col("units_sold").desc(), F.col("variant_id").asc()]
+    days = within(mart_variant_sales, span)
+    sold = days.groupBy("variant_id").agg(*totals(["units_sold", "gross_revenue_cents"]))
+    top = sold.orderBy(*order).limit(limit)
+    skus = (
+        days.join(top.select("variant_id"), "variant_id", "left_semi")
+        .groupBy("variant_id")
+        .agg(F.min("sku").alias("sku"))
+    )
     return (
-        within(mart_variant_sales, span)
-        .groupBy("variant_id", "sku")
-        .agg(*totals(["units_sold", "gross_revenue_cents"]))
-        .orderBy(F.col("units_sold").desc(), F.col("variant_id").asc())
-        .limit(limit)
+        top.join(skus, "variant_id")
+        .select("variant_id", "sku", "units_sold", "gross_revenue_cents")
+        .orderBy(*order)
     )
 
 
 def _by_attribute(
     mart_product_sales: DataFrame, enriched_products: DataFrame, key: str, label: str
 ) -> DataFrame:
-    """Day x attribute, from the mart: one row per day and product meets its attributes."""
+    """Day x attribute, from the mart: one row per day and product meets its attributes.
+
+    Sales of a product that is no longer in the catalogue stay, without an attribute.
+    """
     attributes = enriched_products.select("product_id", key, label)
     return (
-        mart_product_sales.join(attributes, "product_id")
+        mart_product_sales.join(attributes, "product_id", "left")
         .groupBy("order_date", key, label)
         .agg(*totals(PRODUCT_MEASURES))
         .withColumn("gross_margin_pct", F.expr(MARGIN))
@@ -390,6 +402,7 @@ def return_rate_by_category(
         .join(
             enriched_products.select("product_id", "primary_category_id", "category_path"),
             "product_id",
+            "left",
         )
         .groupBy("primary_category_id", "category_path")
         .agg(*totals(["units_sold", "returned_units"]))

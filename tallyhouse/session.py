@@ -58,12 +58,15 @@ _own_folder: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, for written tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests on one machine) a fresh temporary folder takes its place.
+    The cluster names it in ``spark.checkpoint.dir``. Only on a local master a fresh
+    temporary folder takes its place where that is unset: executors of a cluster would
+    each write to a disk of their own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder all executors see")
         app = context.applicationId
         if app not in _own_folder:
             _own_folder[app] = tempfile.mkdtemp(prefix="tallyhouse-")

@@ -1,9 +1,12 @@
 import datetime as dt
 from itertools import product
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import lookups, marts
+from tallyhouse.operators.analytics import resolve_range
+from tallyhouse.session import shared_folder
 
 ORDERS = "order_id long, customer_id long, order_date date, total_cents long, is_revenue_order boolean"
 
@@ -43,28 +46,65 @@ def test_slow_movers_include_unsold_products(spark):
     assert len(marts.slow_movers(products, mart, dt.date(2024, 5, 31), limit=1).collect()) == 1
 
 
-def test_missing_stock_rows_in_several_slices(spark, monkeypatch):
-    monkeypatch.setattr(lookups, "_GRID_WIDTH", 3)
+def test_missing_stock_rows_are_counted(spark):
     stored = {(w, v) for w, v in product(range(11), range(20)) if (w * v) % 3 == 1}
-    warehouses = spark.range(11)
-    variants = spark.range(20)
-    levels = spark.createDataFrame(sorted(stored), "warehouse_id long, variant_id long")
-    wanted = set(product(range(11), range(20))) - stored
-    for most in (100, 0):  # with and without the broadcast
-        monkeypatch.setattr(lookups, "_BROADCAST_ROWS", most)
-        rows = lookups.missing_stock_rows(warehouses, variants, levels).collect()
-        assert len(rows) == len(wanted)
-        assert {(row.warehouse_id, row.variant_id) for row in rows} == wanted
-    assert lookups.missing_stock_rows(warehouses.limit(0), variants, levels).count() == 0
-
-
-def test_a_customer_with_very_many_addresses_gets_pages(spark):
+    warehouses, variants = spark.range(11), spark.range(20)
+    # A repeated row, and pairs with an unknown side, count for nothing.
+    rows = [*sorted(stored), (1, 1), (99, 1), (1, 99)]
+    levels = spark.createDataFrame(rows, "warehouse_id long, variant_id long")
+    found = lookups.missing_stock_rows(warehouses, variants, levels).collect()
+    assert len(found) == 31
+    for row in found:
+        at = 1 if row.side == "variant" else 0
+        own = sum(pair[at] == int(row.id) for pair in stored)
+        expected = 11 if row.side == "variant" else 20
+        assert (row.expected_rows, row.present_rows) == (expected, own)
+        assert row.missing_rows == expected - own
+    empty = lookups.missing_stock_rows(warehouses.limit(0), variants, levels).collect()
+    assert {(row.side, row.expected_rows) for row in empty} == {("variant", 0)}
+
+
+def test_all_addresses_are_rows(spark):
     frame = spark.range(3000).selectExpr("if(id % 3 = 0, 1L, id) as customer_id", "id")
-    pages = lookups.addresses_by_customer(frame, page_size=100).collect()
-    hot = [row for row in pages if row.customer_id == 1]
-    assert len(hot) >= 9 and max(len(row.address_ids) for row in hot) < 250
-    assert sorted(key for row in pages for key in row.address_ids) == list(range(3000))
-    assert all(row.page == 0 for row in pages if row.customer_id != 1)
+    rows = lookups.addresses_by_customer(frame).collect()
+    assert sorted(row.address_id for row in rows) == list(range(3000))
+
+
+def test_unknown_statuses_are_counted(spark):
+    orders = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), status) for status in ("paid", "on_hold", None, "paid")],
+        "order_date date, order_status string",
+    )
+    row = marts.orders_by_status_stacked(orders, ["pending", "paid"]).first()
+    assert (row.pending, row.paid, row.other, row.order_count) == (0, 2, 2, 4)
+
+
+def test_a_changed_sku_does_not_split_its_variant(spark):
+    mart = spark.createDataFrame(
+        [
+            (dt.date(2024, 1, 1), 1, "old", 5, 50),
+            (dt.date(2024, 1, 2), 1, "new", 5, 50),
+            (dt.date(2024, 1, 2), 2, "b", 7, 70),
+        ],
+        "order_date date, variant_id long, sku string, units_sold long, gross_revenue_cents long",
+    )
+    span = resolve_range("2024-01-01", "2024-01-31")
+    assert [tuple(row) for row in marts.top_skus(mart, span, 1).collect()] == [(1, "new", 10, 100)]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
 
 
 def test_samples_repeat_and_differ_by_seed(spark):
