@@ -114,9 +114,12 @@ select order_count, count(*) as customers
 from (select count(*) as order_count from s_orders where is_revenue_order group by customer_id) group by all
 """,
     "mart_geo_sales": """
-select default_country_code, default_state, count(distinct customer_id) as customers, count(*) as order_count,
-       cast(sum(total_cents) as bigint) as gmv_cents
-from s_orders left join s_customers using (customer_id) where is_revenue_order group by all
+select default_country_code, default_state, count(distinct customer_id) as customers,
+       count(distinct customer_id) filter (where order_id is not null) as buyers, count(order_id) as order_count,
+       cast(ifnull(sum(total_cents), 0) as bigint) as gmv_cents
+from s_customers full join (select customer_id, order_id, total_cents from s_orders where is_revenue_order)
+    using (customer_id)
+group by default_country_code, default_state
 """,
     "mart_funnel_daily": """
 select cart_date, count(*) as carts_created, count(*) filter (where item_quantity > 0) as carts_with_items,
@@ -128,7 +131,8 @@ from s_carts group by cart_date
 select c.id as coupon_id, code as coupon_code, discount_type, count(r.id) as redemptions,
        cast(ifnull(sum(r.discount_cents), 0) as bigint) as discount_cents,
        cast(ifnull(sum(total_cents), 0) as bigint) as influenced_gmv_cents
-from b_coupons c left join b_coupon_redemptions r on r.coupon_id = c.id left join s_orders using (order_id)
+from b_coupons c left join b_coupon_redemptions r on r.coupon_id = c.id
+left join s_orders o on o.order_id = r.order_id and is_revenue_order
 group by all
 """,
     "mart_rating_distribution": "select rating, count(*) as review_count from s_reviews group by all",

@@ -252,14 +252,18 @@ def orders_per_customer(mart_customer_ltv: DataFrame) -> DataFrame:
 
 
 def geo_sales(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    """Region x customers and value. Orders shrink to customers before the join."""
+    """Region x customers, buyers among them, and value.
+
+    Orders shrink to customers before the join. Customers without orders count, and
+    orders of unknown customers stay, without a region.
+    """
     places = dim_customers.select("customer_id", "default_country_code", "default_state")
     return (
-        customer_ltv(fct_orders)
-        .join(places, "customer_id", "left")
+        places.join(customer_ltv(fct_orders), "customer_id", "full")
         .groupBy("default_country_code", "default_state")
         .agg(
             F.count("*").alias("customers"),
+            F.count("order_count").alias("buyers"),
             *totals(["order_count"]),
             F.expr(total("ltv_cents")).alias("gmv_cents"),
         )
@@ -285,14 +289,15 @@ def funnel_daily(fct_carts: DataFrame) -> DataFrame:
 def promo_performance(
     coupons: DataFrame, redemptions: DataFrame, fct_orders: DataFrame
 ) -> DataFrame:
-    """Coupon: redemptions, discount given, value of the orders it was used on.
+    """Coupon: redemptions, discount given, value of the revenue orders it was used on.
 
     Redemptions are summed per coupon before they meet the coupons, so one
     coupon used by a third of all orders is no hot join key.
     """
+    revenue = fct_orders.where("is_revenue_order").select("order_id", "total_cents")
     used = (
         redemptions.select("coupon_id", "order_id", "discount_cents")
-        .join(fct_orders.select("order_id", "total_cents"), "order_id", "left")
+        .join(revenue, "order_id", "left")
         .groupBy("coupon_id")
         .agg(
             F.count("*").alias("redemptions"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.sources.schemas import BRONZE_SCHEMAS
 
@@ -22,6 +24,32 @@ class Split:
     parts: int
 
 
+@dataclass(frozen=True)
+class UuidSplit:
+    """How to read a table keyed by UUIDs in parallel: equal ranges of the key."""
+
+    column: str
+    parts: int
+
+    def predicates(self) -> list[str]:
+        """One condition per task; each row meets exactly one, a null key the first."""
+        bounds = [
+            f"'{n * 16**8 // self.parts:08x}-0000-0000-0000-000000000000'"
+            for n in range(1, self.parts)
+        ]
+        if not bounds:
+            return ["1 = 1"]
+        key = self.column
+        between = [f"{key} >= {a} and {key} < {b}" for a, b in zip(bounds, bounds[1:])]
+        return [f"{key} < {bounds[0]} or {key} is null", *between, f"{key} >= {bounds[-1]}"]
+
+
+def typed(frame: DataFrame, name: str) -> DataFrame:
+    """The declared columns of a source table, in their declared types."""
+    declared = StructType.fromDDL(BRONZE_SCHEMAS[name])
+    return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])
+
+
 @dataclass
 class JdbcSource:
     """Tables of a database. Spark pushes column lists and filters into its queries."""
@@ -29,7 +57,7 @@ class JdbcSource:
     spark: SparkSession
     url: str
     properties: dict[str, str] = field(default_factory=dict)
-    splits: dict[str, Split] = field(default_factory=dict)
+    splits: dict[str, Split | UuidSplit] = field(default_factory=dict)
     schema: str = "public"
     fetch_rows: int = 10_000
 
@@ -41,7 +69,7 @@ class JdbcSource:
             **self.properties,
         }
         split = self.splits.get(name)
-        if split:
+        if isinstance(split, Split):
             chosen.update(
                 partitionColumn=split.column,
                 lowerBound=split.lower,
@@ -51,7 +79,15 @@ class JdbcSource:
         return chosen
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.options(name)).load()
+        split, options = self.splits.get(name), self.options(name)
+        if isinstance(split, UuidSplit):
+            url, table = options.pop("url"), options.pop("dbtable")
+            rows = self.spark.read.jdbc(
+                url, table, predicates=split.predicates(), properties=options
+            )
+        else:
+            rows = self.spark.read.format("jdbc").options(**options).load()
+        return typed(rows, name)
 
 
 @dataclass

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,10 @@ from pyspark.sql import functions as F
 # Layer databases and the table name prefix inside each.
 TABLE_PREFIX = {"bronze": "bronze_oltp__", "silver": "silver_", "gold": "gold_"}
 
+# Between a table's name and its version's, and the property that names the current one.
+VERSION = "__version_"
+CURRENT = "tallyhouse.current"
+
 MONTH = {"order_date": "order_month", "cart_date": "cart_month", "review_date": "review_month"}
 
 
@@ -50,30 +53,58 @@ class Warehouse:
     def replace(
         self, layer: str, name: str, frame: DataFrame, month_of: str | None = None
     ) -> DataFrame:
-        """Full refresh into a folder of its own, then the table points there.
+        """Full refresh into a version of its own, then the table's name points there.
 
-        The old table stays readable until the new one is complete, a failed
-        run leaves it as it was, and nothing is moved or copied. Folders of
-        earlier runs stay until the storage's retention rule expires them.
+        A version is a folder and a table; the name is a view of the current one.
+        It is switched by one statement when the new version is complete, so readers
+        see the old rows or the new ones, a failed run leaves the old ones, and
+        nothing is moved or copied. ``expire`` removes versions of earlier runs.
 
         Month partitions are rebalanced before the write: Spark splits a month
         that holds most rows over several tasks and merges tiny ones. Tables
         without months are written as they come, without a shuffle for it.
         """
         target = self.full_name(layer, name)
-        folder = f"{self.root}/{self.database(layer)}/{name}/{uuid.uuid4().hex}"
+        version = f"{target}{VERSION}{uuid.uuid4().hex}"
+        folder = self._folder(layer, name, version)
         if month_of:
             month = MONTH[month_of]
             frame = with_month(frame, month_of).hint("rebalance", month)
             frame.write.partitionBy(month).parquet(folder)
         else:
             frame.write.parquet(folder)
-        self.spark.sql(f"drop table if exists {target}")
-        self.spark.sql(f"create table {target} using parquet location '{folder}'")
+        self.spark.sql(f"create table {version} using parquet location '{folder}'")
         if month_of:
-            self.spark.sql(f"msck repair table {target}")
+            self.spark.sql(f"msck repair table {version}")
+        self.spark.sql(
+            f"create or replace view {target} tblproperties ('{CURRENT}' = '{version}')"
+            f" as select * from {version}"
+        )
         return self.table(layer, name)
 
+    def _folder(self, layer: str, name: str, version: str) -> str:
+        return f"{self.root}/{self.database(layer)}/{name}/{version.rsplit(VERSION, 1)[1]}"
+
+    def current(self, layer: str, name: str) -> str:
+        """The version a table's name points to."""
+        target = self.full_name(layer, name)
+        return self.spark.sql(f"show tblproperties {target} ('{CURRENT}')").first()["value"]
+
+    def expire(self, layer: str, name: str) -> list[str]:
+        """Take all versions but the current one out of the catalogue.
+
+        Returns their folders. Nothing points there any more (nor to folders of the
+        same name with ``.months-`` behind it), so the storage may delete them.
+        """
+        current, folders = self.current(layer, name), []
+        database, table = self.full_name(layer, name).rsplit(".", 1)
+        for row in self.spark.sql(f"show tables in {database} like '{table}{VERSION}*'").collect():
+            version = f"{database}.{row['tableName']}"
+            if version != current:
+                folders.append(self._folder(layer, name, version))
+                self.spark.sql(f"drop table {version}")
+        return folders
+
     def replace_months(
         self,
         layer: str,
@@ -84,39 +115,31 @@ class Warehouse:
     ) -> DataFrame:
         """Replace the given months by the rows of ``frame``; others stay as they are.
 
-        The rows are staged first: they may come from the table itself, and the
-        staged folder tells which of the months have no rows any more.
+        The rows are written once, to a folder beside the current version; they may
+        come from the table itself. Then each month's partition is pointed there by
+        one statement, so readers see a month's old rows or its new ones. The folder
+        tells which of the months have no rows any more: their partitions go.
         """
-        month = MONTH[month_of]
-        target = self.full_name(layer, name)
-        staged = f"{self.root}/{self.database(layer)}/{name}/staged-{uuid.uuid4().hex}"
-        frame = with_month(frame, month_of).where(F.col(month).isin(list(months)))
+        wanted, month = sorted(set(months)), MONTH[month_of]
+        version = self.current(layer, name)
+        staged = f"{self._folder(layer, name, version)}.months-{uuid.uuid4().hex}"
+        frame = with_month(frame, month_of).where(F.col(month).isin(wanted))
+        frame = frame.to(self.spark.table(version).schema)
         frame.hint("rebalance", month).write.partitionBy(month).parquet(staged)
         # The declared schema also covers a staged folder without any row.
         rows = self.spark.read.schema(frame.schema).parquet(staged)
         filled = {row[0] for row in rows.select(month).distinct().collect()}
-        with self._only_written_partitions():
-            rows.select(self.spark.table(target).columns).write.mode("overwrite").insertInto(target)
-        for empty in sorted(set(months) - filled):
-            self.spark.sql(
-                f"alter table {target} drop if exists partition ({month} = date '{empty}')"
-            )
-        self.spark.catalog.refreshTable(target)
+        for first in wanted:
+            part = f"partition ({month} = date '{first}')"
+            if first not in filled:
+                self.spark.sql(f"alter table {version} drop if exists {part}")
+                continue
+            place = f"location '{staged}/{month}={first}'"
+            self.spark.sql(f"alter table {version} add if not exists {part} {place}")
+            self.spark.sql(f"alter table {version} {part} set {place}")
+        self.spark.catalog.refreshTable(version)
         return self.table(layer, name)
 
-    @contextmanager
-    def _only_written_partitions(self) -> Iterator[None]:
-        """Overwrite only partitions that get rows. The writer option of the same
-        name has no effect on inserts into a table, so the session setting it is.
-        """
-        setting = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "dynamic")
-        try:
-            yield
-        finally:
-            self.spark.conf.set(setting, before)
-
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.full_name(layer, name))
 

@@ -133,10 +133,26 @@ def test_slugs(spark):
     assert found == {1: "big-bold-hat", 2: "", 3: "nder-9"}
 
 
+def test_customers_without_orders_have_a_region(spark):
+    d1 = dt.date(2024, 1, 1)
+    frame = orders(spark, [(1, 1, d1, 10), (2, 1, d1, 5), (3, 9, d1, 7)])
+    customers = spark.createDataFrame(
+        [(1, "DE", "BE"), (2, "DE", "BE"), (3, "FR", None)],
+        "customer_id long, default_country_code string, default_state string",
+    )
+    found = {tuple(row) for row in marts.geo_sales(frame, customers).collect()}
+    assert found == {("DE", "BE", 2, 1, 2, 15), ("FR", None, 1, 0, 0, 0), (None, None, 1, 1, 1, 7)}
+
+
 def test_unused_coupons_are_listed(spark):
     coupons = spark.createDataFrame([(1, "A", "fixed"), (2, "B", "fixed")], "id long, code string, discount_type string")
-    used = spark.createDataFrame([(1, 7, 5), (1, 8, 5)], "coupon_id long, order_id long, discount_cents long")
-    heads = spark.createDataFrame([(7, 100)], "order_id long, total_cents long")
+    used = spark.createDataFrame(
+        [(1, 7, 5), (1, 8, 5), (1, 9, 5)], "coupon_id long, order_id long, discount_cents long"
+    )
+    # One order is unknown, one was cancelled.
+    heads = spark.createDataFrame(
+        [(7, 100, True), (9, 40, False)], "order_id long, total_cents long, is_revenue_order boolean"
+    )
     rows = {row.coupon_code: row for row in marts.promo_performance(coupons, used, heads).collect()}
-    assert (rows["A"].redemptions, rows["A"].influenced_gmv_cents) == (2, 100)
+    assert (rows["A"].redemptions, rows["A"].influenced_gmv_cents) == (3, 100)
     assert (rows["B"].redemptions, rows["B"].discount_cents) == (0, 0)
