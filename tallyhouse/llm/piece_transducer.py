@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,10 +56,15 @@ class PieceTransducer:
     side, and infinity if not; merging by score never crosses such a border, so the one
     path of finite weight is the model's encoding. Composed with an input, the machine
     has a state for each position, and the shortest path in the tropical semiring
-    (sums along a path, the least of all) is found from left to right.
+    (sums along a path, the least of all) is found from left to right. Merging gives a
+    prefix one encoding, so a position has one incoming arc on a path of finite weight,
+    and the search of a position ends there.
+
+    The caches of words and of pairs are emptied at ``limit`` entries, so memory stays
+    bounded; results do not depend on them.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         with open(path, "rb") as file:
             message = list(_fields(file.read()))
         self._score: dict[str, float] = {}
@@ -82,9 +88,10 @@ class PieceTransducer:
                     self._unknown = number
                 self.text.append(" ⁇ " if kind == _UNKNOWN else "")
         self._byte = {t[0]: n for n, t in enumerate(self.text) if isinstance(t, bytes)}
-        self._reach: dict[str, int] = {}
+        self._tails: dict[str, bool] = {}  # ends of pieces; true for whole ones
         for name in self._id:
-            self._reach[name[-2:]] = max(len(name), self._reach.get(name[-2:], 0))
+            for at in range(len(name)):
+                self._tails[name[at:]] = at == 0 or self._tails.get(name[at:], False)
         self._limit = limit
         self._weights: dict[tuple[str, str], float] = {}
         self._words: dict[str, bytes] = {}
@@ -114,17 +121,21 @@ class PieceTransducer:
     def _shortest(self, chunk: str) -> list[str]:
         """Pieces on the shortest path over one chunk, letters without a piece included."""
         reached: list[tuple[float, int, str]] = [(0.0, 0, "")]  # weight, position before, piece
+        tails = self._tails
         for end in range(1, len(chunk) + 1):
+            starts = [end - 1]
+            for start in range(end - 1, -1, -1):
+                whole = tails.get(chunk[start:end])
+                if whole is None:
+                    break
+                if whole and start < end - 1:
+                    starts.append(start)
             best = (INFINITE, end - 1, chunk[end - 1])
-            for start in range(max(0, end - self._reach.get(chunk[max(0, end - 2) : end], 1)), end):
+            while starts and best[0] == INFINITE:
+                start = starts.pop()
+                before, _, left = reached[start]
                 piece = chunk[start:end]
-                if piece not in self._id and end - start > 1:
-                    continue
-                weight = reached[start][0]
-                if weight < INFINITE:
-                    weight += self._weight(reached[start][2], piece)
-                    if weight < best[0]:
-                        best = (weight, start, piece)
+                best = (before + self._weight(left, piece), start, piece)
             reached.append(best)
         pieces, at = [], len(chunk)
         while at:
@@ -179,6 +190,12 @@ class PieceTransducer:
         return "".join(parts)
 
 
+@lru_cache(maxsize=1)
+def compiled(path: str) -> PieceTransducer:
+    """The machine of a model file; the tasks of one worker share it and its caches."""
+    return PieceTransducer(path)
+
+
 def _utf8(data: bytes) -> str:
     out = []
     while data:
@@ -200,7 +217,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(model)
+        machine = compiled(model)
         for batch in slices(batches):
             ids = [machine.encode(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
@@ -213,7 +230,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, ids, text) for each row of ``encoded`` (doc_id, ids); null ids are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(model)
+        machine = compiled(model)
         for batch in slices(batches):
             texts = [machine.decode(ids or b"") for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
