@@ -15,7 +15,7 @@ import time
 from tallyhouse.operators import analytics
 from tallyhouse.plans import paths, refresh
 from tallyhouse.plans.bundle import products_response
-from tallyhouse.plans.medallion import silver_over
+from tallyhouse.plans.medallion import REQUEST_MARTS, silver_over
 from tallyhouse.session import local_session
 from tallyhouse.sources.testbed import Testbed
 from tallyhouse.sources.warehouse import Warehouse
@@ -60,7 +60,7 @@ def main() -> None:
         lambda: refresh.refresh_bronze(warehouse, source, BRONZE_NEEDED)
     )
     seconds["build_silver"] = timed(lambda: refresh.refresh_silver(warehouse, SILVER_NEEDED))
-    seconds["build_gold"] = timed(lambda: refresh.refresh_gold(warehouse))
+    seconds["build_gold"] = timed(lambda: refresh.refresh_gold(warehouse, REQUEST_MARTS))
 
     spark.conf.unset(smallest)
 

@@ -21,12 +21,18 @@ from tallyhouse.plans.incremental import (
     refresh_silver_months,
     touched_months,
 )
-from tallyhouse.plans.medallion import SILVER_MODELS, gold_over, silver_over
-from tallyhouse.plans.refresh import refresh_gold
+from tallyhouse.plans.medallion import (
+    FURTHER_MARTS,
+    REQUEST_MARTS,
+    SILVER_MODELS,
+    gold_over,
+    silver_over,
+)
+from tallyhouse.plans.refresh import refresh_gold, refresh_marts
 from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources.access import json_rows, query_with_parameters
 from tallyhouse.sources.testbed import Testbed
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.sources.warehouse import MONTH, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,10 +79,18 @@ class Layers:
         key = (self.spark.sparkContext.applicationId, self.folder)
         if key not in _written:
             warehouse = self.new_warehouse()
-            refresh_gold(warehouse, silver=self.silver)
+            refresh_gold(warehouse, REQUEST_MARTS, self.silver)
             _written[key] = warehouse
         return _written[key]
 
+    def written_mart(self, name: str) -> DataFrame:
+        """A further mart, written and read back without its month column."""
+        warehouse = self.new_warehouse()
+        gold = gold_over(self.silver)
+        gold.use_written("mart_product_sales", self.products)
+        refresh_marts(warehouse, gold, [name])
+        return warehouse.table("gold", name).drop(*MONTH.values())
+
     @property
     def enriched_products(self) -> DataFrame:
         return dimensions.enriched_products(
@@ -218,17 +232,16 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
             x.silver_table("fct_order_items"), x.silver_table("fct_refunds")
         )
 
-    mart("orders_by_status", lambda x: marts.orders_by_status(x.silver_table("fct_orders")))
+    for table in FURTHER_MARTS:
+        mart(table.removeprefix("mart_"), lambda x, t=table: x.written_mart(t))
+
     mart(
         "orders_by_status_stacked",
         lambda x: marts.orders_by_status_stacked(
             x.silver_table("fct_orders"), quality_suite.ORDER_STATUSES
         ),
     )
-    mart("variant_sales", variant_sales)
     mart("top_skus", lambda x: marts.top_skus(variant_sales(x), SPAN, 10))
-    mart("category_sales", lambda x: marts.category_sales(x.products, x.enriched_products))
-    mart("brand_sales", lambda x: marts.brand_sales(x.products, x.enriched_products))
     mart(
         "product_sales_with_names",
         lambda x: marts.product_sales_with_names(
@@ -239,16 +252,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
         "slow_movers",
         lambda x: marts.slow_movers(x.silver_table("dim_products"), x.products, SPAN.end),
     )
-    mart("customer_activity", lambda x: marts.customer_activity(x.silver_table("fct_orders")))
-    mart("customer_cohorts", lambda x: marts.customer_cohorts(x.silver_table("fct_orders")))
-    mart("customer_ltv", ltv)
     mart("top_customers", lambda x: marts.top_customers(ltv(x), 20))
-    mart("orders_per_customer", lambda x: marts.orders_per_customer(ltv(x)))
-    mart(
-        "geo_sales",
-        lambda x: marts.geo_sales(x.silver_table("fct_orders"), x.silver_table("dim_customers")),
-    )
-    mart("funnel_daily", lambda x: marts.funnel_daily(x.silver_table("fct_carts")))
     mart(
         "promo_performance",
         lambda x: marts.promo_performance(
@@ -257,38 +261,12 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
             x.silver_table("fct_orders"),
         ),
     )
-    mart("rating_distribution", lambda x: marts.rating_distribution(x.silver_table("fct_reviews")))
-    mart("rating_by_week", lambda x: marts.rating_by_week(x.silver_table("fct_reviews")))
-    mart(
-        "payment_mix",
-        lambda x: marts.payment_mix(
-            x.silver_table("fct_payments"), x.silver_table("dim_payment_methods")
-        ),
-    )
-    mart("payment_success", lambda x: marts.payment_success(x.silver_table("fct_payments")))
-    mart("fulfillment", lambda x: marts.fulfillment(x.silver_table("fct_shipments"), 168))
-    mart(
-        "stockouts",
-        lambda x: marts.stockouts(
-            x.silver_table("fct_inventory"),
-            x.silver_table("dim_variants"),
-            x.silver_table("dim_warehouses"),
-        ),
-    )
-    mart(
-        "stock_by_warehouse",
-        lambda x: marts.stock_by_warehouse(
-            x.silver_table("fct_inventory"), x.silver_table("dim_warehouses")
-        ),
-    )
     mart(
         "return_rate_by_category",
         lambda x: marts.return_rate_by_category(
             x.bronze_table("return_items"), x.silver_table("fct_order_items"), x.enriched_products
         ),
     )
-    mart("refunds_by_day", lambda x: marts.refunds_by_day(x.silver_table("fct_refunds")))
-    mart("return_reasons", lambda x: marts.return_reasons(x.silver_table("fct_returns")))
     mart("daily_sales_by_week", lambda x: marts.daily_sales_by(x.daily, "WEEK"))
     mart("daily_sales_by_month", lambda x: marts.daily_sales_by(x.daily, "MONTH"))
     mart("product_sales_by_month", lambda x: marts.product_sales_by(x.products, "MONTH"))

@@ -192,13 +192,18 @@ def enriched_products(
 
 
 def category_paths(dim_categories: DataFrame) -> DataFrame:
-    """Path of names from the root and depth, walked down the parent tree."""
+    """Path of names from the root and depth, walked down the parent tree.
+
+    A category whose parent is unknown is a root. Categories in or below a cycle have no
+    root and no row here; ``categories_without_root`` lists them.
+    """
     tree = dim_categories.select("category_id", "parent_id", "category_name", "category_slug")
     return tree.sparkSession.sql(
         """
         with recursive walk(category_id, depth, name_path, root_id) as (
-            select category_id, 0, category_name, category_id
-            from {tree} where parent_id is null
+            select node.category_id, 0, node.category_name, node.category_id
+            from {tree} node left anti join {tree} parent
+                on parent.category_id = node.parent_id
             union all
             select child.category_id, walk.depth + 1,
                    concat(walk.name_path, ' > ', child.category_name), walk.root_id
@@ -208,3 +213,10 @@ def category_paths(dim_categories: DataFrame) -> DataFrame:
         """,
         tree=tree,
     )
+
+
+def categories_without_root(dim_categories: DataFrame) -> DataFrame:
+    """Categories whose parents lead round a cycle."""
+    return dim_categories.select("category_id", "parent_id").join(
+        category_paths(dim_categories), "category_id", "left_anti"
+    )

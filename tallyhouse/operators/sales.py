@@ -142,6 +142,30 @@ def line_refunds(fct_order_items: DataFrame, fct_refunds: DataFrame) -> DataFram
     )
 
 
+def _sold(lines: DataFrame, keys: list[str], distinct: dict[str, str]) -> DataFrame:
+    """Sums of the lines by ``keys``, and the counts of distinct other keys.
+
+    Two distinct counts in one aggregate would make Spark copy every line for each. Here
+    each counted key has an aggregate of its own. The sums go with the first one, where
+    they combine in the map tasks; the others shuffle keys alone. The results are stacked
+    and added up, so null keys stay and no join is needed.
+    """
+    measures = [F.expr(f"{total(line)} as {mart}") for line, mart in LINE_MEASURES.items()]
+    if len(distinct) < 2:
+        counts = [F.count_distinct(key).alias(name) for key, name in distinct.items()]
+        return lines.groupBy(*keys).agg(*counts, *measures)
+    stacked = None
+    for key, name in distinct.items():
+        found = F.expr(f"if({key} is null, 0L, 1L) as {name}")
+        if stacked is None:
+            sums = lines.groupBy(*keys, key).agg(*measures)
+            stacked = sums.select(*keys, *LINE_MEASURES.values(), found)
+        else:
+            pairs = lines.select(*keys, key).distinct()
+            stacked = stacked.unionByName(pairs.select(*keys, found), allowMissingColumns=True)
+    return stacked.groupBy(*keys).agg(*totals([*distinct.values(), *LINE_MEASURES.values()]))
+
+
 def sales_by(
     lines: DataFrame,
     shares: DataFrame,
@@ -154,14 +178,11 @@ def sales_by(
     The two sides are summed apart and meet at the grain: both sums are combined
     in the map tasks, both end up hashed by the grain, and lines without a
     refund are never shuffled by order. ``distinct`` maps counted keys to the
-    names of their counts. ``label`` is a text the grain determines; it is
-    grouped by, since an aggregate of text would turn the hash aggregation into
-    a sort of all lines.
+    names of their counts, the key with fewest values in a group first.
+    ``label`` is a text the grain determines; it is grouped by, since an
+    aggregate of text would turn the hash aggregation into a sort of all lines.
     """
-    measures = [F.expr(f"{total(line)} as {mart}") for line, mart in LINE_MEASURES.items()]
-    labels = [label] if label else []
-    counts = [F.count_distinct(key).alias(name) for key, name in (distinct or {}).items()]
-    sold = lines.groupBy(*grain, *labels).agg(*counts, *measures)
+    sold = _sold(lines, [*grain, *([label] if label else [])], distinct or {})
     refunded = shares.groupBy(*grain).agg(*totals(["refund_cents"]))
     return (
         sold.join(refunded, list(grain), "left")

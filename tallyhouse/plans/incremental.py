@@ -13,15 +13,17 @@ from tallyhouse.sources.warehouse import MONTH, Warehouse
 
 
 class _Months:
-    """Silver tables cut to the given order months."""
+    """Tables of a layer cut to the given order months; those without a date stay whole."""
 
-    def __init__(self, silver: Tables, months: list[dt.date]):
-        self.silver = silver
+    def __init__(self, layer: Tables, months: list[dt.date]):
+        self.layer = layer
         self.months = months
 
     def table(self, name: str) -> DataFrame:
-        frame = self.silver.table(name)
+        frame = self.layer.table(name)
         date = "review_date" if name == "fct_reviews" else "order_date"
+        if date not in frame.columns:
+            return frame
         # On the partition column where the table has one, so other months are not read.
         month = F.col(MONTH[date]) if MONTH[date] in frame.columns else F.trunc(date, "MM")
         return frame.where(month.isin(self.months))
@@ -34,15 +36,17 @@ def refresh_months(
 
     Everything a mart row needs has the row's own order date (refunds carry the
     date of their order), so a month depends on the silver rows of that month
-    only. A month that has no rows any more is emptied too.
+    only. A month that has no rows any more is emptied too. A mart made from other
+    marts reads their written months, so it comes behind them in ``names``.
     """
     wanted = sorted({month.replace(day=1) for month in months})
-    cut = _Months(silver, wanted)
+    cut, made = _Months(silver, wanted), _Months(warehouse.layer("gold"), wanted)
     for name in names:
         model = GOLD_MODELS[name]
-        if model.month_of is None:
-            raise ValueError(f"{name} is not partitioned by month; refresh it as a whole")
-        frame = model.make(*[cut.table(source) for source in model.below])
+        if model.month_of != "order_date":
+            raise ValueError(f"{name} is not partitioned by order month; refresh it as a whole")
+        inputs = [cut.table(source) for source in model.below]
+        frame = model.make(*inputs, *[made.table(sibling) for sibling in model.beside])
         warehouse.replace_months("gold", name, frame, model.month_of, wanted)
 
 

@@ -12,7 +12,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame
 
-from tallyhouse.operators import dimensions, facts, sales
+from tallyhouse.operators import dimensions, facts, marts, sales
 
 
 class Tables(Protocol):
@@ -50,9 +50,18 @@ SILVER_MODELS = {
     "fct_inventory": Model(facts.inventory, ("inventory_levels",)),
     "fct_reviews": Model(facts.reviews, ("product_reviews",), month_of="review_date"),
     "fct_returns": Model(facts.returns, ("returns",), ("fct_orders",), month_of="order_date"),
+    "dim_enriched_products": Model(
+        lambda brands, links, products, categories: dimensions.enriched_products(
+            products, brands, categories, links
+        ),
+        ("brands", "product_categories"),
+        ("dim_products", "dim_categories"),
+    ),
+    "dim_category_paths": Model(dimensions.category_paths, (), ("dim_categories",)),
 }
 
-GOLD_MODELS = {
+# The two marts the product requests read.
+REQUEST_MARTS = {
     "mart_daily_sales": Model(
         sales.mart_daily_sales, ("fct_orders", "fct_refunds", "fct_reviews"), month_of="order_date"
     ),
@@ -61,6 +70,56 @@ GOLD_MODELS = {
     ),
 }
 
+DELIVERY_HOURS = 168  # promised from the order to the delivery
+
+FURTHER_MARTS = {
+    "mart_orders_by_status": Model(
+        marts.orders_by_status, ("fct_orders",), month_of="order_date"
+    ),
+    "mart_variant_sales": Model(
+        marts.variant_sales, ("fct_order_items", "fct_refunds"), month_of="order_date"
+    ),
+    "mart_category_sales": Model(
+        lambda products, sold: marts.category_sales(sold, products),
+        ("dim_enriched_products",),
+        ("mart_product_sales",),
+        month_of="order_date",
+    ),
+    "mart_brand_sales": Model(
+        lambda products, sold: marts.brand_sales(sold, products),
+        ("dim_enriched_products",),
+        ("mart_product_sales",),
+        month_of="order_date",
+    ),
+    "mart_fulfillment": Model(
+        lambda shipments: marts.fulfillment(shipments, DELIVERY_HOURS),
+        ("fct_shipments",),
+        month_of="order_date",
+    ),
+    "mart_funnel_daily": Model(marts.funnel_daily, ("fct_carts",), month_of="cart_date"),
+    "mart_customer_activity": Model(marts.customer_activity, ("fct_orders",)),
+    "mart_customer_cohorts": Model(marts.customer_cohorts, ("fct_orders",)),
+    "mart_customer_ltv": Model(marts.customer_ltv, ("fct_orders",)),
+    "mart_orders_per_customer": Model(
+        marts.orders_per_customer, (), ("mart_customer_ltv",)
+    ),
+    "mart_geo_sales": Model(marts.geo_sales, ("fct_orders", "dim_customers")),
+    "mart_rating_distribution": Model(marts.rating_distribution, ("fct_reviews",)),
+    "mart_rating_by_week": Model(marts.rating_by_week, ("fct_reviews",)),
+    "mart_payment_mix": Model(marts.payment_mix, ("fct_payments", "dim_payment_methods")),
+    "mart_payment_success": Model(marts.payment_success, ("fct_payments",)),
+    "mart_stockouts": Model(
+        marts.stockouts, ("fct_inventory", "dim_variants", "dim_warehouses")
+    ),
+    "mart_stock_by_warehouse": Model(
+        marts.stock_by_warehouse, ("fct_inventory", "dim_warehouses")
+    ),
+    "mart_refunds_by_day": Model(marts.refunds_by_day, ("fct_refunds",)),
+    "mart_return_reasons": Model(marts.return_reasons, ("fct_returns",)),
+}
+
+GOLD_MODELS = {**REQUEST_MARTS, **FURTHER_MARTS}
+
 
 class Layer:
     """Tables of one layer: the written one where there is one, else the lazy one."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.expressions import total
 from tallyhouse.operators import analytics, sales
 from tallyhouse.operators.analytics import DateRange
 from tallyhouse.plans.medallion import Tables
@@ -48,7 +49,10 @@ class SilverRequests:
 
     def top_products(self) -> DataFrame:
         days = sales.mart_product_sales(self._items, self._refunds)
-        return analytics.top_products(days, self.limit)
+        # Straight from the lines, so that the roll-up is not made twice.
+        lines = self._items.where("is_revenue_order")
+        gross = lines.agg(F.expr(total("line_total_cents")))
+        return analytics.top_products(days, self.limit, gross)
 
 
 class GoldRequests:

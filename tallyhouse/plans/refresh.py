@@ -41,7 +41,11 @@ def refresh_silver(warehouse: Warehouse, names: Iterable[str] = SILVER_MODELS) -
 def refresh_gold(
     warehouse: Warehouse, names: Iterable[str] = GOLD_MODELS, silver: Tables | None = None
 ) -> Layer:
-    return _refresh(warehouse, "gold", gold_over(silver or warehouse.layer("silver")), names)
+    return refresh_marts(warehouse, gold_over(silver or warehouse.layer("silver")), names)
+
+
+def refresh_marts(warehouse: Warehouse, gold: Layer, names: Iterable[str]) -> Layer:
+    return _refresh(warehouse, "gold", gold, names)
 
 
 def refresh_all(warehouse: Warehouse, source: Tables) -> None:

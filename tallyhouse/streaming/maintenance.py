@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.plans.incremental import refresh_months, touched_months
-from tallyhouse.plans.medallion import GOLD_MODELS, Tables
+from tallyhouse.plans.medallion import REQUEST_MARTS, Tables
 from tallyhouse.sources.warehouse import Warehouse
 
 
@@ -22,10 +22,11 @@ def maintain_gold(
     warehouse: Warehouse,
     silver: Callable[[], Tables],
     checkpoint: str,
-    names: Iterable[str] = GOLD_MODELS,
+    names: Iterable[str] = REQUEST_MARTS,
 ) -> StreamingQuery:
     """Process all changes available now; ``changes`` has an ``order_date`` column.
 
+    ``names`` are written marts by order month, each behind those it is made from.
     ``silver`` is called per batch, so each batch sees silver as it is then.
     """
     chosen = list(names)

@@ -124,3 +124,13 @@ def test_lines_are_not_shuffled_by_order_for_the_sums(spark):
     )
     plan = sold._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Expand" not in plan
+
+
+def test_product_mart_counts_without_copying_lines(spark):
+    """Two distinct counts, without a plan that makes a row per line and count."""
+    items = lines(spark, [(1, 1, 1, 1, 50), (2, 1, 1, 2, 30), (3, 2, 1, 1, 20), (4, 2, None, 9, 5)])
+    mart = sales.mart_product_sales(items, refunds(spark, [(1, 10, True)]))
+    assert "Expand" not in mart._jdf.queryExecution().optimizedPlan().toString()
+    found = {row.product_id: row for row in mart.collect()}
+    assert (found[1].sku_count, found[1].order_count, found[1].gross_revenue_cents) == (2, 2, 100)
+    assert (found[None].sku_count, found[None].order_count) == (1, 1)

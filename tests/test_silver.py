@@ -194,6 +194,17 @@ def test_category_paths_of_a_deep_tree(spark):
     assert found[4].name_path == "a > b > c > d" and found[4].depth == 3 and found[4].root_id == 1
 
 
+def test_category_paths_with_unknown_parents_and_cycles(spark):
+    rows = [(1, 99, "a", "a"), (2, 1, "b", "b"), (3, 4, "c", "c"), (4, 3, "d", "d"), (5, 4, "e", "e")]
+    tree = spark.createDataFrame(
+        rows, "category_id long, parent_id long, category_name string, category_slug string"
+    )
+    found = {row.category_id: row for row in dimensions.category_paths(tree).collect()}
+    assert set(found) == {1, 2} and found[2].name_path == "a > b" and found[2].root_id == 1
+    lost = dimensions.categories_without_root(tree).collect()
+    assert {row.category_id for row in lost} == {3, 4, 5}
+
+
 def test_a_layer_builds_on_what_is_written(spark, given):
     layer = silver_over(given(orders=spark.createDataFrame([order(1), order(2)], ORDER)))
     assert layer.table("fct_orders").count() == 2

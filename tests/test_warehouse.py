@@ -29,7 +29,7 @@ def pipeline(spark, tmp_path_factory):
 
 
 def test_all_layers_are_written(pipeline, spark):
-    for layer, count in (("bronze", 23), ("silver", 16), ("gold", 2)):
+    for layer, count in (("bronze", 23), ("silver", 18), ("gold", 21)):
         tables = spark.catalog.listTables(pipeline.database(layer))
         assert len([table for table in tables if table.tableType == "VIEW"]) == count
     assert pipeline.full_name("gold", "mart_product_sales").endswith("gold.gold_mart_product_sales")
@@ -171,6 +171,23 @@ def test_fact_months_follow_the_source(pipeline, spark, given):
         refresh_silver_months(warehouse, bronze, [dt.date(1998, 1, 1)], ["fct_carts"])
 
 
+def test_months_of_a_mart_made_from_a_mart(pipeline, spark):
+    """Brands of a month follow the product mart's written month."""
+    warehouse = Warehouse(spark, pipeline.root, "beside_")
+    warehouse.create_databases()
+    names = ["mart_product_sales", "mart_brand_sales", "mart_variant_sales"]
+    for name in names:
+        old = pipeline.table("gold", name).where("order_month <> '1998-02-01'")
+        warehouse.replace("gold", name, old.drop("order_month"), "order_date")
+    refresh_months(warehouse, pipeline.layer("silver"), [dt.date(1998, 2, 1)], names)
+    for name in names:
+        whole = pipeline.table("gold", name)
+        again = warehouse.table("gold", name).select(whole.columns)
+        assert whole.exceptAll(again).count() == 0 and again.exceptAll(whole).count() == 0, name
+    with pytest.raises(ValueError):
+        refresh_months(warehouse, pipeline.layer("silver"), [dt.date(1998, 2, 1)], ["mart_customer_ltv"])
+
+
 def test_only_month_tables_can_be_refreshed_by_month(pipeline, monkeypatch):
     from tallyhouse.plans import incremental
     from tallyhouse.plans.medallion import Model
