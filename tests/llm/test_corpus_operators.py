@@ -456,6 +456,20 @@ def test_scores(docs, none):
     assert attention_lm.score(none, BPE).count() == 0
 
 
+def test_weights_learn_from_all_training_documents(spark):
+    random = np.random.default_rng(4)
+    words = ["river", "stone", "garden", "window", "market", "silver", "yellow", "winter"]
+    frame = spark.range(240).select(F.col("id").alias("doc_id"), (F.pmod(F.xxhash64("id"), F.lit(32)) == 0).alias("mixed"))
+    rows = [
+        (r["doc_id"], " ".join(random.choice(words, 80) if r["mixed"] else words * 10)) for r in frame.collect()
+    ]  # one document in 32 has the words in random order, the others have them in turn
+    mixed = {r["doc_id"] for r in frame.where("mixed").collect()}
+    found = attention_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), BPE).collect()
+    held = [r for r in found if r["held_out"] and r["doc_id"] not in mixed]
+    assert len(mixed) > 2 and len(held) > 10
+    assert sum(r["score"] for r in held) > 0.3 * sum(r["base_score"] for r in held)
+
+
 # --- nearest neighbours ---
 
 
