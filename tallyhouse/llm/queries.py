@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
     attention_lm,
+    checking_sql,
     forest,
+    host_trust,
     id_blocks,
+    merkle,
     packing,
     page_text,
     piece_transducer,
     prefix_counts,
     robust_rules,
     simhash,
+    spelling,
     weak_labels,
 )
 from tallyhouse.llm.shared import read_table, tokenizer_path
@@ -85,6 +89,19 @@ def op10_id_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return id_blocks.placed(id_blocks.write_ids(docs, tokenizer_path("byte_bpe_50k.json")))
 
 
+def op11_host_trust(spark: SparkSession, folder: str) -> DataFrame:
+    judged = host_trust.judge(read_table(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.proof_table(read_table(spark, folder, "documents"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_forest": op2_forest,
@@ -96,6 +113,13 @@ QUERIES: dict[str, Query] = {
     "op8_attention_lm": op8_attention_lm,
     "op9_robust_rules": op9_robust_rules,
     "op10_id_blocks": op10_id_blocks,
+    "op11_host_trust": op11_host_trust,
+    "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_host_trust": checking_sql.HOST_TRUST,
+    "op12_merkle": checking_sql.MERKLE,
+    "op13_spelling": checking_sql.SPELLING,
+}
