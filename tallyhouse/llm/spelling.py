@@ -132,9 +132,20 @@ def signatures(vocabulary: DataFrame, ranks: dict[str, int]) -> DataFrame:
 SHIFTS = [("before", d, 0) for d in (-1, 0, 1)] + [("behind", d, d) for d in (-1, 0, 1)]
 
 
-def _slot(side: str, length: str, place: str) -> str:
-    text = "substring(word, 1, place)" if side == "before" else f"substring(word, place + {GRAM + 1})"
-    return f"xxhash64('{side}', gram, {length}, {place}, {text})"
+def _slots(side: str, length: str, place: str, shorter: str) -> list[str]:
+    """Slots of a gram in a word of the given length and place, for an edit not on ``side``.
+
+    ``shorter`` is by how much the other side is shorter in the shorter one of both words.
+    That side holds the edit, in its first half or in its last: the other half is the
+    same. So a slot stands for the gram, its place, the text on ``side`` and one half.
+    """
+    before, behind = "left(word, place)", f"substring(word, place + {GRAM + 1})"
+    same, other = (before, behind) if side == "before" else (behind, before)
+    size = f"length(word) - place - {GRAM}" if side == "before" else "place"
+    half = f"cast(({size} - {shorter}) div 2 as int)"
+    return [
+        f"xxhash64('{side} {end}', gram, {length}, {place}, {same}, {end}({other}, {half}))" for end in ("left", "right")
+    ]
 
 
 def near_pairs(grams: DataFrame) -> DataFrame:
@@ -145,20 +156,27 @@ def near_pairs(grams: DataFrame) -> DataFrame:
     looked up in the prefixes of all words, at the places and lengths one edit allows.
     The slot of such a look-up is a hash; pairs are verified by their edit distance.
     """
+    own = [x for side in ("before", "behind") for shorter in (0, 1) for x in _slots(side, "length(word)", "place", shorter)]
     held = grams.select(
-        F.col("word").alias("near"), F.col("n").alias("near_n"),
-        F.explode(F.expr(f"array({', '.join(_slot(s, 'length(word)', 'place') for s in ('before', 'behind'))})")).alias("slot"),
-    )
-    asked = grams.where("pivot").select(
-        "word", "n",
-        F.explode(
-            F.expr(f"array({', '.join(_slot(s, f'length(word) + ({l})', f'place + ({p})') for s, l, p in SHIFTS)})")
-        ).alias("slot"),
+        F.col("word").alias("near"),
+        F.col("n").alias("near_n"),
+        F.explode(F.expr(f"array_distinct(array({', '.join(own)}))")).alias("slot"),
     )
+    moved = [
+        x
+        for side, longer, on in SHIFTS
+        for x in _slots(side, f"length(word) + ({longer})", f"place + ({on})", str(max(-longer, 0)))
+    ]
+    asked = grams.where("pivot").select("word", "n", F.explode(F.expr(f"array({', '.join(moved)})")).alias("slot"))
     found = asked.join(held, "slot").where(f"levenshtein(word, near, {EDITS}) = {EDITS}")
-    pairs = found.select("word", "n", "near", "near_n")
-    turned = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return pairs.union(turned).distinct()
+    # Each pair once, whichever of its words asked and how often they met, then both ways.
+    one, other = F.struct("word", "n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"))
+    once = found.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).select(
+        F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("near"), F.col("b.n").alias("near_n")
+    )
+    there = F.struct("word", "n", "near", "near_n")
+    back = F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    return once.distinct().select(F.explode(F.array(there, back)).alias("x")).select("x.*")
 
 
 def roots(forms: DataFrame) -> DataFrame:
