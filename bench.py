@@ -17,7 +17,7 @@ from tallyhouse.plans import paths, refresh
 from tallyhouse.plans.bundle import products_response
 from tallyhouse.plans.medallion import REQUEST_MARTS, silver_over
 from tallyhouse.session import local_session
-from tallyhouse.sources.testbed import Testbed
+from checks.testbed import Testbed
 from tallyhouse.sources.warehouse import Warehouse
 
 RUNS = 7

@@ -34,7 +34,7 @@ select cast(ifnull(sum(gross_revenue_cents), 0) as bigint) as gross_revenue_cent
        cast(ifnull(sum(units_sold), 0) as bigint) as units_sold,
        (select cast(ifnull(sum(order_count), 0) as bigint) from a_daily) as order_count,
        cast(0 as bigint) as line_item_count, count(distinct product_id) as product_count,
-       (select cast(sum(avg_rating * review_count) as double) / sum(review_count) from a_daily where review_count > 0)
+       (select cast(sum(round(avg_rating * review_count)) as double) / sum(review_count) from a_daily where review_count > 0)
            as avg_rating,
        (select cast(ifnull(sum(review_count), 0) as bigint) from a_daily) as review_count
 from a_days

@@ -54,13 +54,23 @@ from (
     select distinct lower(p_type) as id, cast(null as varchar) as parent_id, ' ' || p_type as name from part
     union all
     select distinct lower(p_type) || '/' || replace(lower(p_brand), '#', '-'), lower(p_type), p_brand || ' ' from part
+    union all
+    select distinct 'size/' || p_size, case when p_size > 1 then 'size/' || (p_size - 1) end, 'Size ' || p_size from part
+    union all
+    select distinct 'odd/' || p_size, 'odd/' || parent, 'Odd ' || p_size
+    from part join (values (7, 8), (8, 7), (9, 8), (10, 0)) as odd(size, parent) on size = p_size
 )
 """
 
 BRONZE["b_product_categories"] = """
-select p_partkey as product_id, lower(p_type) || '/' || replace(lower(p_brand), '#', '-') as category_id from part
+select p_partkey as product_id, lower(p_type) || '/' || replace(lower(p_brand), '#', '-') as category_id
+from part where p_size <> 25
+union all
+select p_partkey, lower(p_type) from part where p_size > 25
+union all
+select p_partkey, 'size/' || p_size from part where p_size % 3 = 0
 union all
-select p_partkey, lower(p_type) from part where p_size >= 25
+select p_partkey, 'odd/' || p_size from part where p_size in (7, 9, 10)
 """
 
 BRONZE["b_products"] = """

@@ -14,7 +14,8 @@ from checks.compose import with_blocks
 from checks.analytics_sql import ANALYTICS, ANALYTICS_QUERIES
 from checks.marts_sql import LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES
 from checks.silver_sql import GOLD, SILVER
-from tallyhouse.operators import analytics, dimensions, lookups, marts, quality, sales
+from tallyhouse.functions.expressions import ratio, totals
+from tallyhouse.operators import analytics, categories, dimensions, lookups, marts, periods, quality, sales
 from tallyhouse.plans import paths, quality_suite
 from tallyhouse.plans.incremental import (
     refresh_months,
@@ -31,7 +32,7 @@ from tallyhouse.plans.medallion import (
 from tallyhouse.plans.refresh import refresh_gold, refresh_marts
 from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources.access import json_rows, query_with_parameters
-from tallyhouse.sources.testbed import Testbed
+from checks.testbed import Testbed
 from tallyhouse.sources.warehouse import MONTH, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,7 +173,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
         "select * from s_enriched_products")
     add(
         "silver_category_paths",
-        lambda x: dimensions.category_paths(x.silver_table("dim_categories")),
+        lambda x: categories.category_paths(x.silver_table("dim_categories")),
         "select * from s_category_paths",
     )
 
@@ -233,7 +234,14 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
         )
 
     for table in FURTHER_MARTS:
-        mart(table.removeprefix("mart_"), lambda x, t=table: x.written_mart(t))
+        if table != "mart_sold_variants":
+            mart(table.removeprefix("mart_"), lambda x, t=table: x.written_mart(t))
+    mart(
+        "sold_variants",
+        lambda x: x.written_mart("mart_sold_variants").select(
+            "order_date", "product_id", "bucket", F.expr("bitmap_count(variant_bits) as sku_count")
+        ),
+    )
 
     mart(
         "orders_by_status_stacked",
@@ -267,9 +275,94 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
             x.bronze_table("return_items"), x.silver_table("fct_order_items"), x.enriched_products
         ),
     )
-    mart("daily_sales_by_week", lambda x: marts.daily_sales_by(x.daily, "WEEK"))
-    mart("daily_sales_by_month", lambda x: marts.daily_sales_by(x.daily, "MONTH"))
-    mart("product_sales_by_month", lambda x: marts.product_sales_by(x.products, "MONTH"))
+    daily, product = marts.DAILY_MEASURES, marts.PRODUCT_MEASURES
+    mart("daily_sales_by_week", lambda x: periods.daily_sales_by(x.daily, "WEEK", daily))
+    mart("daily_sales_by_month", lambda x: periods.daily_sales_by(x.daily, "MONTH", daily))
+
+    def by_product(x: Layers, unit: str) -> DataFrame:
+        return periods.product_sales_by(x.products, x.gold_table("mart_sold_variants"), unit, product)
+
+    for unit in ("week", "month", "quarter"):
+        mart(f"product_sales_by_{unit}", lambda x, u=unit.upper(): by_product(x, u))
+    margin = {"gross_margin_pct": ("gross_margin_cents", "gross_revenue_cents")}
+    mart(
+        "variant_sales_by_month",
+        lambda x: periods.by_period(
+            variant_sales(x), "MONTH", ["variant_id"], ["order_count", *product], margin
+        ),
+    )
+    mart(
+        "category_sales_by_month",
+        lambda x: periods.attribute_sales_by(
+            by_product(x, "MONTH"), x.enriched_products, "primary_category_id", product
+        ),
+    )
+    mart(
+        "brand_sales_by_quarter",
+        lambda x: periods.attribute_sales_by(
+            by_product(x, "QUARTER"), x.enriched_products, "brand_id", product
+        ),
+    )
+    mart(
+        "orders_by_status_by_week",
+        lambda x: periods.by_period(
+            x.gold_table("mart_orders_by_status"), "WEEK", ["order_status"], ["order_count", "gmv_cents"]
+        ),
+    )
+    mart(
+        "funnel_by_week",
+        lambda x: periods.by_period(
+            x.gold_table("mart_funnel_daily"),
+            "WEEK",
+            [],
+            ["carts_created", "carts_with_items", "orders", "abandoned_carts"],
+            {"abandoned_rate": ("abandoned_carts", "carts_created")},
+            "cart_date",
+        ),
+    )
+    mart(
+        "payment_success_by_month",
+        lambda x: periods.by_period(
+            x.gold_table("mart_payment_success"),
+            "MONTH",
+            [],
+            ["payment_count", "succeeded_count"],
+            {"success_rate": ("succeeded_count", "payment_count")},
+            "payment_date",
+        ),
+    )
+    mart(
+        "refunds_by_month",
+        lambda x: periods.by_period(
+            x.gold_table("mart_refunds_by_day"), "MONTH", [], ["refund_count", "refund_cents"], date="refund_date"
+        ),
+    )
+
+    def at_level(x: Layers, level: int) -> DataFrame:
+        return categories.category_level_sales(
+            x.products,
+            x.silver_table("dim_product_categories"),
+            x.silver_table("dim_category_closure"),
+            product,
+            level,
+        )
+
+    def level_totals(x: Layers) -> DataFrame:
+        """Totals of some levels of the tree, and whether they are those of the mart."""
+        wanted = x.products.agg(*totals(product)).select(F.struct(*product).alias("all"))
+        rows = None
+        for level in (0, 1, 3):
+            row = at_level(x, level).agg(*totals(product)).select(F.lit(level).alias("level"), "*")
+            rows = row if rows is None else rows.unionByName(row)
+        return rows.select(
+            "*",
+            F.expr(f"{ratio('gross_margin_cents', 'gross_revenue_cents')} as gross_margin_pct"),
+            (F.struct(*product) == wanted.scalar()).alias("agrees"),
+        )
+
+    for level in (0, 1, 3):
+        mart(f"category_sales_level_{level}", lambda x, n=level: at_level(x, n))
+    mart("category_level_totals", level_totals)
     mart("overview", lambda x: marts.overview(x.daily))
 
     def lookup(name: str, frame: Callable[[Layers], DataFrame]) -> None:

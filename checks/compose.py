@@ -1,7 +1,8 @@
 """Puts a checking query together from named building blocks.
 
 A block is the text of one common table expression. A query names the blocks it
-reads; those, and what they read in turn, are put in front of it.
+reads; those, and what they read in turn, are put in front of it. A block may
+read itself.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ def with_blocks(body: str, blocks: dict[str, str]) -> str:
     pattern = re.compile(r"\b(" + "|".join(map(re.escape, names)) + r")\b")
     ordered: list[str] = []
 
-    def visit(text: str) -> None:
+    def visit(text: str, own: str = "") -> None:
         for name in dict.fromkeys(pattern.findall(text)):
-            if name not in ordered:
-                visit(blocks[name])
+            if name not in ordered and name != own:
+                visit(blocks[name], name)
                 ordered.append(name)
 
     visit(body)
     if not ordered:
         return body
     parts = ",\n".join(f"{name} as (\n{blocks[name].strip()}\n)" for name in ordered)
-    return f"with {parts}\n{body.strip()}"
+    return f"with recursive {parts}\n{body.strip()}"

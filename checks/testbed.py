@@ -168,23 +168,37 @@ class Testbed:
 
     @cached_property
     def categories(self) -> DataFrame:
-        # One row per type and one per (type, brand): each part names both.
-        return (
-            self._read("part")
-            .select("p_type", "p_brand")
+        # One row per type and one per (type, brand): each part names both. One per size,
+        # each below the one before, so that sizes make one deep chain. Of the sizes, 7, 8 and
+        # 9 also stand for a circle of two with a category below it, and 10 for an
+        # unknown parent.
+        part = self._read("part")
+        by_type = (
+            part.select("p_type", "p_brand")
             .distinct()
             .selectExpr(
-                "lower(p_type) as root",
-                "p_type",
-                "p_brand",
-                "concat(lower(p_type), '/', replace(lower(p_brand), '#', '-')) as child",
+                "explode(array("
+                "struct(lower(p_type) as id, cast(null as string) as parent_id, concat(' ', p_type) as name),"
+                "struct(concat(lower(p_type), '/', replace(lower(p_brand), '#', '-')) as id,"
+                " lower(p_type) as parent_id, concat(p_brand, ' ') as name))) as node"
             )
+        )
+        by_size = (
+            part.select("p_size")
+            .distinct()
             .selectExpr(
                 "explode(array("
-                "struct(root as id, cast(null as string) as parent_id, concat(' ', p_type) as name),"
-                "struct(child as id, root as parent_id, concat(p_brand, ' ') as name)))"
-                " as node"
+                "struct(concat('size/', p_size) as id,"
+                " if(p_size = 1, null, concat('size/', p_size - 1)) as parent_id,"
+                " concat('Size ', p_size) as name),"
+                "struct(concat('odd/', p_size) as id,"
+                " concat('odd/', case p_size when 7 then 8 when 8 then 7 when 9 then 8 else 0 end) as parent_id,"
+                " concat('Odd ', p_size) as name))) as node"
             )
+            .where("node.id like 'size/%' or node.id in ('odd/7', 'odd/8', 'odd/9', 'odd/10')")
+        )
+        return (
+            by_type.union(by_size)
             .select("node.*")
             .distinct()
             .selectExpr(
@@ -197,12 +211,15 @@ class Testbed:
 
     @cached_property
     def product_categories(self) -> DataFrame:
-        # Large parts are also listed under their root category.
-        return self._read("part").selectExpr(
+        # Large parts are also listed under their root category, some under their size, a few
+        # under a category on a circle; parts of size 25 have none.
+        return self._read("part").where("p_size <> 25").selectExpr(
             "p_partkey as product_id",
-            "explode(case when p_size >= 25"
-            " then array(concat(lower(p_type), '/', replace(lower(p_brand), '#', '-')), lower(p_type))"
-            " else array(concat(lower(p_type), '/', replace(lower(p_brand), '#', '-'))) end)"
+            "explode(filter(array("
+            "concat(lower(p_type), '/', replace(lower(p_brand), '#', '-')),"
+            " if(p_size >= 25, lower(p_type), null),"
+            " if(p_size % 3 = 0, concat('size/', p_size), null),"
+            " if(p_size in (7, 9, 10), concat('odd/', p_size), null)), c -> c is not null))"
             " as category_id",
         )
 

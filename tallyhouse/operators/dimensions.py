@@ -155,6 +155,11 @@ def warehouses(source: DataFrame) -> DataFrame:
     )
 
 
+def product_categories(source: DataFrame) -> DataFrame:
+    """Each product with each of its categories once."""
+    return source.select("product_id", "category_id").distinct()
+
+
 def primary_categories(product_categories: DataFrame) -> DataFrame:
     """The lowest category id per product, so that no product counts twice."""
     return product_categories.groupBy("product_id").agg(
@@ -189,34 +194,3 @@ def enriched_products(
             "category_path",
         )
     )
-
-
-def category_paths(dim_categories: DataFrame) -> DataFrame:
-    """Path of names from the root and depth, walked down the parent tree.
-
-    A category whose parent is unknown is a root. Categories in or below a cycle have no
-    root and no row here; ``categories_without_root`` lists them.
-    """
-    tree = dim_categories.select("category_id", "parent_id", "category_name", "category_slug")
-    return tree.sparkSession.sql(
-        """
-        with recursive walk(category_id, depth, name_path, root_id) as (
-            select node.category_id, 0, node.category_name, node.category_id
-            from {tree} node left anti join {tree} parent
-                on parent.category_id = node.parent_id
-            union all
-            select child.category_id, walk.depth + 1,
-                   concat(walk.name_path, ' > ', child.category_name), walk.root_id
-            from walk join {tree} child on child.parent_id = walk.category_id
-        )
-        select category_id, depth, name_path, root_id from walk
-        """,
-        tree=tree,
-    )
-
-
-def categories_without_root(dim_categories: DataFrame) -> DataFrame:
-    """Categories whose parents lead round a cycle."""
-    return dim_categories.select("category_id", "parent_id").join(
-        category_paths(dim_categories), "category_id", "left_anti"
-    )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.expressions import count_if, mean_rating, ratio, total, totals
+from tallyhouse.functions.expressions import count_if, ratio, total, totals
 from tallyhouse.operators import sales
 from tallyhouse.operators.analytics import DateRange, within
 
@@ -68,32 +68,9 @@ def overview(mart_daily_sales: DataFrame, span: DateRange | None = None) -> Data
     )
 
 
-def daily_sales_by(mart_daily_sales: DataFrame, unit: str) -> DataFrame:
-    """The daily mart by week, month, quarter or year; ratios anew from the sums."""
-    return (
-        mart_daily_sales.groupBy(F.date_trunc(unit, "order_date").cast("date").alias("period_start"))
-        .agg(
-            *totals(DAILY_MEASURES),
-            F.expr(mean_rating()).alias("avg_rating"),
-        )
-        .withColumn("aov_cents", F.expr(ratio("gmv_cents", "order_count")))
-        .withColumn("refund_rate", F.expr(ratio("refund_cents", "gmv_cents", "0")))
-    )
-
-
 # -- products -------------------------------------------------------------------
 
 
-def product_sales_by(mart_product_sales: DataFrame, unit: str) -> DataFrame:
-    """The product mart by period. Distinct counts do not add up and are left out."""
-    period = F.date_trunc(unit, "order_date").cast("date").alias("period_start")
-    return (
-        mart_product_sales.groupBy(period, "product_id")
-        .agg(F.max("product_name").alias("product_name"), *totals(PRODUCT_MEASURES))
-        .withColumn("gross_margin_pct", F.expr(MARGIN))
-    )
-
-
 def variant_sales(fct_order_items: DataFrame, fct_refunds: DataFrame) -> DataFrame:
     """Day x variant."""
     return sales.sales_by(
@@ -364,12 +341,12 @@ def fulfillment(fct_shipments: DataFrame, sla_hours: int) -> DataFrame:
 def stockouts(
     fct_inventory: DataFrame, dim_variants: DataFrame, dim_warehouses: DataFrame
 ) -> DataFrame:
-    """Variants a warehouse cannot sell any more."""
+    """Variants a warehouse cannot sell any more; unknown variants and warehouses stay."""
     return (
         fct_inventory.where("is_stockout")
         .select("warehouse_id", "variant_id", "quantity_on_hand", "quantity_reserved")
-        .join(dim_variants.select("variant_id", "sku", "product_name"), "variant_id")
-        .join(dim_warehouses.select("warehouse_id", "warehouse_code"), "warehouse_id")
+        .join(dim_variants.select("variant_id", "sku", "product_name"), "variant_id", "left")
+        .join(dim_warehouses.select("warehouse_id", "warehouse_code"), "warehouse_id", "left")
     )
 
 

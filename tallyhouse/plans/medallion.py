@@ -12,7 +12,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame
 
-from tallyhouse.operators import dimensions, facts, marts, sales
+from tallyhouse.operators import categories, dimensions, facts, marts, periods, sales
 
 
 class Tables(Protocol):
@@ -37,6 +37,7 @@ SILVER_MODELS = {
     "dim_dates": Model(dimensions.dates, ("orders",)),
     "dim_products": Model(dimensions.products, ("products",)),
     "dim_variants": Model(dimensions.variants, ("product_variants",), ("dim_products",)),
+    "dim_variant_numbers": Model(periods.variant_numbers, (), ("dim_variants",)),
     "dim_payment_methods": Model(dimensions.payment_methods, ("payment_methods",)),
     "dim_warehouses": Model(dimensions.warehouses, ("warehouses",)),
     "fct_orders": Model(facts.orders, ("orders",), month_of="order_date"),
@@ -57,7 +58,9 @@ SILVER_MODELS = {
         ("brands", "product_categories"),
         ("dim_products", "dim_categories"),
     ),
-    "dim_category_paths": Model(dimensions.category_paths, (), ("dim_categories",)),
+    "dim_category_paths": Model(categories.category_paths, (), ("dim_categories",)),
+    "dim_category_closure": Model(categories.category_closure, (), ("dim_categories",)),
+    "dim_product_categories": Model(dimensions.product_categories, ("product_categories",)),
 }
 
 # The two marts the product requests read.
@@ -79,12 +82,23 @@ FURTHER_MARTS = {
     "mart_variant_sales": Model(
         marts.variant_sales, ("fct_order_items", "fct_refunds"), month_of="order_date"
     ),
+    "mart_sold_variants": Model(
+        periods.sold_variants, ("fct_order_items", "dim_variant_numbers"), month_of="order_date"
+    ),
     "mart_category_sales": Model(
         lambda products, sold: marts.category_sales(sold, products),
         ("dim_enriched_products",),
         ("mart_product_sales",),
         month_of="order_date",
     ),
+    "mart_category_tree_sales": Model(
+        lambda links, closure, sold: categories.category_tree_sales(
+            sold, links, closure, marts.PRODUCT_MEASURES
+        ),
+        ("dim_product_categories", "dim_category_closure"),
+        ("mart_product_sales",),
+        month_of="order_date",
+    ),
     "mart_brand_sales": Model(
         lambda products, sold: marts.brand_sales(sold, products),
         ("dim_enriched_products",),

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import dimensions, facts
+from tallyhouse.operators import categories, dimensions, facts
 from tallyhouse.plans.medallion import silver_over
 
 ADDRESS = (
@@ -190,7 +190,7 @@ def test_category_paths_of_a_deep_tree(spark):
     tree = spark.createDataFrame(
         rows, "category_id long, parent_id long, category_name string, category_slug string"
     )
-    found = {row.category_id: row for row in dimensions.category_paths(tree).collect()}
+    found = {row.category_id: row for row in categories.category_paths(tree).collect()}
     assert found[4].name_path == "a > b > c > d" and found[4].depth == 3 and found[4].root_id == 1
 
 
@@ -199,9 +199,9 @@ def test_category_paths_with_unknown_parents_and_cycles(spark):
     tree = spark.createDataFrame(
         rows, "category_id long, parent_id long, category_name string, category_slug string"
     )
-    found = {row.category_id: row for row in dimensions.category_paths(tree).collect()}
+    found = {row.category_id: row for row in categories.category_paths(tree).collect()}
     assert set(found) == {1, 2} and found[2].name_path == "a > b" and found[2].root_id == 1
-    lost = dimensions.categories_without_root(tree).collect()
+    lost = categories.categories_without_root(tree).collect()
     assert {row.category_id for row in lost} == {3, 4, 5}
 
 

@@ -13,7 +13,7 @@ from tallyhouse.plans.medallion import SILVER_MODELS, silver_over
 from tallyhouse.sources.access import json_rows, query_with_parameters
 from tallyhouse.sources.oltp import FileSource, JdbcSource, Split, UuidSplit, typed
 from tallyhouse.sources.schemas import BRONZE_SCHEMAS, BRONZE_TABLES, with_keys_as
-from tallyhouse.sources.testbed import Testbed
+from checks.testbed import Testbed
 from tallyhouse.sources.warehouse import Warehouse
 from tallyhouse.streaming.maintenance import maintain_gold
 
