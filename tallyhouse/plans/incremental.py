@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.plans.medallion import GOLD_MODELS, SILVER_MODELS, Tables, silver_over
-from tallyhouse.sources.warehouse import MONTH, Warehouse
+from tallyhouse.sources.warehouse import MONTH, Release, Warehouse
 
 
 class _Months:
@@ -30,7 +30,7 @@ class _Months:
 
 
 def refresh_months(
-    warehouse: Warehouse, silver: Tables, months: Iterable[dt.date], names: Iterable[str]
+    warehouse: Warehouse | Release, silver: Tables, months: Iterable[dt.date], names: Iterable[str]
 ) -> None:
     """Recompute the given order months of marts partitioned by month.
 
@@ -40,14 +40,15 @@ def refresh_months(
     marts reads their written months, so it comes behind them in ``names``.
     """
     wanted = sorted({month.replace(day=1) for month in months})
-    cut, made = _Months(silver, wanted), _Months(warehouse.layer("gold"), wanted)
-    for name in names:
-        model = GOLD_MODELS[name]
-        if model.month_of != "order_date":
-            raise ValueError(f"{name} is not partitioned by order month; refresh it as a whole")
-        inputs = [cut.table(source) for source in model.below]
-        frame = model.make(*inputs, *[made.table(sibling) for sibling in model.beside])
-        warehouse.replace_months("gold", name, frame, model.month_of, wanted)
+    with warehouse.release() as release:
+        cut, made = _Months(silver, wanted), _Months(release.layer("gold"), wanted)
+        for name in names:
+            model = GOLD_MODELS[name]
+            if model.month_of != "order_date":
+                raise ValueError(f"{name} is not partitioned by order month; refresh it as a whole")
+            inputs = [cut.table(source) for source in model.below]
+            frame = model.make(*inputs, *[made.table(sibling) for sibling in model.beside])
+            release.replace_months("gold", name, frame, model.month_of, wanted)
 
 
 # Facts that follow the month of their order, and the one of reviews.
@@ -93,7 +94,7 @@ def _next(month: dt.date) -> dt.date:
 
 
 def refresh_silver_months(
-    warehouse: Warehouse,
+    warehouse: Warehouse | Release,
     bronze: Tables,
     months: Iterable[dt.date],
     names: Iterable[str] = (*ORDER_FACTS, *REVIEW_FACTS),
@@ -103,12 +104,13 @@ def refresh_silver_months(
     if not wanted:
         return
     layer = silver_over(_BronzeMonths(bronze, wanted))
-    for name in names:
-        if name not in ORDER_FACTS and name not in REVIEW_FACTS:
-            raise ValueError(f"{name} does not follow the month of orders or reviews")
-        warehouse.replace_months(
-            "silver", name, layer.build(name), SILVER_MODELS[name].month_of, wanted
-        )
+    with warehouse.release() as release:
+        for name in names:
+            if name not in ORDER_FACTS and name not in REVIEW_FACTS:
+                raise ValueError(f"{name} does not follow the month of orders or reviews")
+            release.replace_months(
+                "silver", name, layer.build(name), SILVER_MODELS[name].month_of, wanted
+            )
 
 
 def touched_months(changes: DataFrame, date_column: str = "order_date") -> list[dt.date]:

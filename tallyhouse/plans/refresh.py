@@ -14,42 +14,50 @@ from tallyhouse.plans.medallion import (
     silver_over,
 )
 from tallyhouse.sources.schemas import BRONZE_TABLES
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.sources.warehouse import Release, Warehouse
 
 
 def refresh_bronze(
-    warehouse: Warehouse, source: Tables, names: Iterable[str] = BRONZE_TABLES
+    warehouse: Warehouse | Release, source: Tables, names: Iterable[str] = BRONZE_TABLES
 ) -> None:
     warehouse.create_databases()
-    for name in names:
-        warehouse.replace("bronze", name, mirror(source.table(name)))
+    with warehouse.release() as release:
+        for name in names:
+            release.replace("bronze", name, mirror(source.table(name)))
 
 
-def _refresh(warehouse: Warehouse, layer_name: str, layer: Layer, names: Iterable[str]) -> Layer:
+def _refresh(
+    warehouse: Warehouse | Release, layer_name: str, layer: Layer, names: Iterable[str]
+) -> Layer:
     warehouse.create_databases()
-    for name in names:
-        month_of = layer.models[name].month_of
-        written = warehouse.replace(layer_name, name, layer.build(name), month_of)
-        layer.use_written(name, written)
+    with warehouse.release() as release:
+        for name in names:
+            month_of = layer.models[name].month_of
+            written = release.replace(layer_name, name, layer.build(name), month_of)
+            layer.use_written(name, written)
     return layer
 
 
-def refresh_silver(warehouse: Warehouse, names: Iterable[str] = SILVER_MODELS) -> Layer:
+def refresh_silver(
+    warehouse: Warehouse | Release, names: Iterable[str] = SILVER_MODELS
+) -> Layer:
     return _refresh(warehouse, "silver", silver_over(warehouse.layer("bronze")), names)
 
 
 def refresh_gold(
-    warehouse: Warehouse, names: Iterable[str] = GOLD_MODELS, silver: Tables | None = None
+    warehouse: Warehouse | Release, names: Iterable[str] = GOLD_MODELS, silver: Tables | None = None
 ) -> Layer:
     return refresh_marts(warehouse, gold_over(silver or warehouse.layer("silver")), names)
 
 
-def refresh_marts(warehouse: Warehouse, gold: Layer, names: Iterable[str]) -> Layer:
+def refresh_marts(warehouse: Warehouse | Release, gold: Layer, names: Iterable[str]) -> Layer:
     return _refresh(warehouse, "gold", gold, names)
 
 
 def refresh_all(warehouse: Warehouse, source: Tables) -> None:
-    """Source to bronze to silver to gold, everything anew."""
-    refresh_bronze(warehouse, source)
-    refresh_silver(warehouse)
-    refresh_gold(warehouse)
+    """Source to bronze to silver to gold, everything anew, current all at once."""
+    warehouse.create_databases()
+    with warehouse.release() as release:
+        refresh_bronze(release, source)
+        refresh_silver(release)
+        refresh_gold(release)

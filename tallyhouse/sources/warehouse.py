@@ -1,13 +1,20 @@
-"""Written layers: one database per layer, one parquet table per model."""
+"""Written layers: one database per layer, one parquet table per model.
+
+Every write makes a version of a table: a folder and a catalogue table of its own. Which
+versions are current is the state, a small view that one statement replaces. So all
+tables that a release wrote become current together, with its notes, or none does.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Layer databases and the table name prefix inside each.
 TABLE_PREFIX = {"bronze": "bronze_oltp__", "silver": "silver_", "gold": "gold_"}
@@ -16,18 +23,28 @@ TABLE_PREFIX = {"bronze": "bronze_oltp__", "silver": "silver_", "gold": "gold_"}
 VERSION = "__version_"
 CURRENT = "tallyhouse.current"
 
+STATE_VIEW = "warehouse_state"
+NOTE = "note"  # stands for a layer in the state's rows that are notes
+
 MONTH = {"order_date": "order_month", "cart_date": "cart_month", "review_date": "review_month"}
 
+State = dict[tuple[str, str], str]
+
 
 def with_month(frame: DataFrame, date_column: str) -> DataFrame:
     return frame.withColumn(MONTH[date_column], F.trunc(date_column, "MM"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Warehouse:
     """Full-refresh and partition-refresh writes, and scans, under one root folder.
 
     ``qualifier`` keeps several warehouses apart in one catalogue; without it the
-    databases are simply called bronze, silver and gold.
+    databases are simply called bronze, silver and gold. One release is written at a
+    time; readers may come and go.
     """
 
     def __init__(self, spark: SparkSession, root: str, qualifier: str = ""):
@@ -50,107 +67,244 @@ class Warehouse:
                 f"create database if not exists {database} location '{self.root}/{database}'"
             )
 
+    # -- state ----------------------------------------------------------------
+
+    def state(self) -> State:
+        """Current versions by layer and name, and notes: a short list, read at once."""
+        view = f"{self.database('gold')}.{STATE_VIEW}"
+        if not self.spark.catalog.tableExists(view):
+            return {}
+        return {(row["layer"], row["name"]): row["value"] for row in self.spark.table(view).collect()}
+
+    def snapshot(self) -> Snapshot:
+        """All tables as they are now. Later releases don't change what it hands out."""
+        return Snapshot(self.spark, self.state())
+
+    def current(self, layer: str, name: str) -> str:
+        """The version a table's name points to."""
+        found = self.state().get((layer, name))
+        if found is None:
+            raise KeyError(f"{self.full_name(layer, name)} has not been written")
+        return found
+
+    def note(self, name: str) -> str | None:
+        """What the last release that spoke of ``name`` noted."""
+        return self.state().get((NOTE, name))
+
+    # -- writes ---------------------------------------------------------------
+
+    @contextmanager
+    def release(self) -> Iterator[Release]:
+        """Tables written within become current together at the end, if nothing failed.
+
+        The state is switched by one statement. The plain names of the tables, for SQL,
+        follow one by one right after; who reads several tables that have to fit
+        together takes a ``snapshot``.
+        """
+        made = Release(self)
+        yield made
+        made.publish()
+
     def replace(
         self, layer: str, name: str, frame: DataFrame, month_of: str | None = None
     ) -> DataFrame:
-        """Full refresh into a version of its own, then the table's name points there.
-
-        A version is a folder and a table; the name is a view of the current one.
-        It is switched by one statement when the new version is complete, so readers
-        see the old rows or the new ones, a failed run leaves the old ones, and
-        nothing is moved or copied. ``expire`` removes versions of earlier runs.
+        """Full refresh of one table, a release of its own."""
+        with self.release() as release:
+            release.replace(layer, name, frame, month_of)
+        return self.table(layer, name)
 
-        Month partitions are rebalanced before the write: Spark splits a month
-        that holds most rows over several tasks and merges tiny ones. Tables
-        without months are written as they come, without a shuffle for it.
-        """
-        target = self.full_name(layer, name)
-        version = f"{target}{VERSION}{uuid.uuid4().hex}"
-        folder = self._folder(layer, name, version)
-        if month_of:
-            month = MONTH[month_of]
-            frame = with_month(frame, month_of).hint("rebalance", month)
-            frame.write.partitionBy(month).parquet(folder)
-        else:
-            frame.write.parquet(folder)
-        self.spark.sql(f"create table {version} using parquet location '{folder}'")
-        if month_of:
-            self.spark.sql(f"msck repair table {version}")
-        self.spark.sql(
-            f"create or replace view {target} tblproperties ('{CURRENT}' = '{version}')"
-            f" as select * from {version}"
-        )
+    def replace_months(
+        self, layer: str, name: str, frame: DataFrame, month_of: str, months: Iterable[dt.date]
+    ) -> DataFrame:
+        """Refresh of some months of one table, a release of its own."""
+        with self.release() as release:
+            release.replace_months(layer, name, frame, month_of, months)
         return self.table(layer, name)
 
-    def _folder(self, layer: str, name: str, version: str) -> str:
+    def folder(self, layer: str, name: str, version: str) -> str:
         return f"{self.root}/{self.database(layer)}/{name}/{version.rsplit(VERSION, 1)[1]}"
 
-    def current(self, layer: str, name: str) -> str:
-        """The version a table's name points to."""
-        target = self.full_name(layer, name)
-        return self.spark.sql(f"show tblproperties {target} ('{CURRENT}')").first()["value"]
+    def places(self, layer: str, name: str, version: str) -> dict[dt.date | None, str]:
+        """The folder of each month of a version: as many as the calendar has."""
+        rows = self.spark.read.schema("month date, place string").parquet(
+            f"{self.folder(layer, name, version)}.months"
+        )
+        return {row["month"]: row["place"] for row in rows.collect()}
 
     def expire(self, layer: str, name: str) -> list[str]:
-        """Take all versions but the current one out of the catalogue.
+        """Take versions that nothing needs any more out of the catalogue.
 
-        Returns their folders. Nothing points there any more (nor to folders of the
-        same name with ``.months-`` behind it), so the storage may delete them.
+        Returns their folders, which the storage may delete. A version stays as long as it
+        is current, or the current one has months in its folder. Snapshots taken
+        before a release must be done with.
         """
         current, folders = self.current(layer, name), []
         database, table = self.full_name(layer, name).rsplit(".", 1)
+        used = {self.folder(layer, name, current)}
+        if any(month in self.spark.table(current).columns for month in MONTH.values()):
+            used |= {place.rsplit("/", 1)[0] for place in self.places(layer, name, current).values()}
         for row in self.spark.sql(f"show tables in {database} like '{table}{VERSION}*'").collect():
-            version = f"{database}.{row['tableName']}"
-            if version != current:
-                folders.append(self._folder(layer, name, version))
-                self.spark.sql(f"drop table {version}")
+            folder = self.folder(layer, name, row["tableName"])
+            if folder not in used:
+                folders.append(folder)
+                self.spark.sql(f"drop table {database}.{row['tableName']}")
         return folders
 
+    # -- reads ----------------------------------------------------------------
+
+    def table(self, layer: str, name: str) -> DataFrame:
+        return self.spark.table(self.full_name(layer, name))
+
+    def layer(self, layer: str) -> WrittenLayer:
+        return WrittenLayer(self, layer)
+
+
+class Snapshot:
+    """Tables of one state of the warehouse."""
+
+    def __init__(self, spark: SparkSession, state: State):
+        self.spark = spark
+        self.state = state
+
+    def table(self, layer: str, name: str) -> DataFrame:
+        return self.spark.table(self.state[layer, name])
+
+    def layer(self, layer: str) -> WrittenLayer:
+        return WrittenLayer(self, layer)
+
+
+class Release:
+    """Versions that are written but not current yet, over the state they began from.
+
+    Reads see what the release has written, and all other tables as they were at its
+    beginning. It has the methods of a warehouse that refreshes use.
+    """
+
+    def __init__(self, warehouse: Warehouse):
+        self.warehouse = warehouse
+        self.before = warehouse.state()
+        self.staged: State = {}
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.warehouse.spark
+
+    def create_databases(self) -> None:
+        self.warehouse.create_databases()
+
+    @contextmanager
+    def release(self) -> Iterator[Release]:
+        """A part of this release; nothing becomes current before its end."""
+        yield self
+
+    def table(self, layer: str, name: str) -> DataFrame:
+        return self.spark.table({**self.before, **self.staged}[layer, name])
+
+    def layer(self, layer: str) -> WrittenLayer:
+        return WrittenLayer(self, layer)
+
+    def note(self, name: str, value: str) -> None:
+        """Keep a line with the state: it is there if and only if the tables are."""
+        self.staged[NOTE, name] = value
+
+    def replace(
+        self, layer: str, name: str, frame: DataFrame, month_of: str | None = None
+    ) -> DataFrame:
+        """A whole new version.
+
+        Month partitions are rebalanced before the write: Spark splits a month
+        that holds most rows over several tasks and merges tiny ones. Tables
+        without months are written as they come, without a shuffle for it.
+        """
+        version, folder = self._new_version(layer, name)
+        if month_of:
+            frame = with_month(frame, month_of)
+            self._month_table(layer, name, version, frame.schema, MONTH[month_of],
+                              self._written_months(frame, MONTH[month_of], folder))
+        else:
+            frame.write.parquet(folder)
+            self.spark.sql(f"create table {version} using parquet location '{folder}'")
+        self.staged[layer, name] = version
+        return self.spark.table(version)
+
     def replace_months(
-        self,
-        layer: str,
-        name: str,
-        frame: DataFrame,
-        month_of: str,
-        months: Iterable[dt.date],
+        self, layer: str, name: str, frame: DataFrame, month_of: str, months: Iterable[dt.date]
     ) -> DataFrame:
-        """Replace the given months by the rows of ``frame``; others stay as they are.
+        """A new version with the given months from ``frame``, the others as they are.
 
-        The rows are written once, to a folder beside the current version; they may
-        come from the table itself. Then each month's partition is pointed there by
-        one statement, so readers see a month's old rows or its new ones. The folder
-        tells which of the months have no rows any more: their partitions go.
+        Only the given months are written; the version's other partitions point to the
+        files that hold them already. The rows may come from the table itself. A month
+        that has no rows any more has no partition in the new version.
         """
-        wanted, month = sorted(set(months)), MONTH[month_of]
-        version = self.current(layer, name)
-        staged = f"{self._folder(layer, name, version)}.months-{uuid.uuid4().hex}"
-        frame = with_month(frame, month_of).where(F.col(month).isin(wanted))
-        frame = frame.to(self.spark.table(version).schema)
-        frame.hint("rebalance", month).write.partitionBy(month).parquet(staged)
-        # The declared schema also covers a staged folder without any row.
-        rows = self.spark.read.schema(frame.schema).parquet(staged)
-        filled = {row[0] for row in rows.select(month).distinct().collect()}
-        for first in wanted:
-            part = f"partition ({month} = date '{first}')"
-            if first not in filled:
-                self.spark.sql(f"alter table {version} drop if exists {part}")
-                continue
-            place = f"location '{staged}/{month}={first}'"
-            self.spark.sql(f"alter table {version} add if not exists {part} {place}")
-            self.spark.sql(f"alter table {version} {part} set {place}")
-        self.spark.catalog.refreshTable(version)
-        return self.table(layer, name)
+        wanted, month = set(months), MONTH[month_of]
+        old = {**self.before, **self.staged}[layer, name]
+        version, folder = self._new_version(layer, name)
+        schema = self.spark.table(old).schema
+        frame = with_month(frame, month_of).where(F.col(month).isin(sorted(wanted))).to(schema)
+        places = {m: place for m, place in self.warehouse.places(layer, name, old).items() if m not in wanted}
+        self._month_table(layer, name, version, schema, month, places | self._written_months(frame, month, folder))
+        self.staged[layer, name] = version
+        return self.spark.table(version)
 
-    def table(self, layer: str, name: str) -> DataFrame:
-        return self.spark.table(self.full_name(layer, name))
+    def publish(self) -> None:
+        """Make what is written current: the state by one statement, then the names."""
+        if not self.staged:
+            return
+        rows = ", ".join(
+            f"({_quoted(layer)}, {_quoted(name)}, {_quoted(value)})"
+            for (layer, name), value in sorted({**self.before, **self.staged}.items())
+        )
+        self.spark.sql(
+            f"create or replace view {self.warehouse.database('gold')}.{STATE_VIEW}"
+            f" as select * from values {rows} as state(layer, name, value)"
+        )
+        for (layer, name), version in self.staged.items():
+            if layer != NOTE:
+                self.spark.sql(
+                    f"create or replace view {self.warehouse.full_name(layer, name)}"
+                    f" tblproperties ('{CURRENT}' = '{version}') as select * from {version}"
+                )
 
-    def layer(self, layer: str) -> "WrittenLayer":
-        return WrittenLayer(self, layer)
+    def _new_version(self, layer: str, name: str) -> tuple[str, str]:
+        version = f"{self.warehouse.full_name(layer, name)}{VERSION}{uuid.uuid4().hex}"
+        return version, self.warehouse.folder(layer, name, version)
+
+    def _written_months(self, frame: DataFrame, month: str, folder: str) -> dict[dt.date | None, str]:
+        """Write rows by month; the folder of each month that has any."""
+        frame.hint("rebalance", month).write.partitionBy(month).parquet(folder)
+        # The declared schema also covers a folder without any row.
+        rows = self.spark.read.schema(frame.schema).parquet(folder).select(month).distinct()
+        none = "__HIVE_DEFAULT_PARTITION__"
+        return {row[0]: f"{folder}/{month}={row[0] or none}" for row in rows.collect()}
+
+    def _month_table(
+        self,
+        layer: str,
+        name: str,
+        version: str,
+        schema: T.StructType,
+        month: str,
+        places: dict[dt.date | None, str],
+    ) -> None:
+        """A catalogue table whose partitions lie at the given places."""
+        folder = self.warehouse.folder(layer, name, version)
+        kept = self.spark.createDataFrame([*places.items()], "month date, place string")
+        kept.coalesce(1).write.parquet(f"{folder}.months")
+        self.spark.sql(
+            f"create table {version} ({schema.toDDL()}) using parquet partitioned by ({month}) location '{folder}'"
+        )
+        if places:
+            parts = " ".join(
+                f"partition ({month} = {f"date '{m}'" if m else 'null'}) location '{place}'"
+                for m, place in places.items()
+            )
+            self.spark.sql(f"alter table {version} add {parts}")
 
 
 class WrittenLayer:
     """Written tables of one layer by model name."""
 
-    def __init__(self, warehouse: Warehouse, layer: str):
+    def __init__(self, warehouse: Warehouse | Release | Snapshot, layer: str):
         self.warehouse = warehouse
         self.name = layer
 

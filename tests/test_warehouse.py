@@ -29,8 +29,9 @@ def pipeline(spark, tmp_path_factory):
 
 
 def test_all_layers_are_written(pipeline, spark):
-    for layer, count in (("bronze", 23), ("silver", 18), ("gold", 21)):
+    for layer, count in (("bronze", 23), ("silver", 21), ("gold", 24)):
         tables = spark.catalog.listTables(pipeline.database(layer))
+        # In gold, the state is one of the views.
         assert len([table for table in tables if table.tableType == "VIEW"]) == count
     assert pipeline.full_name("gold", "mart_product_sales").endswith("gold.gold_mart_product_sales")
     orders = pipeline.table("bronze", "orders")
@@ -131,18 +132,75 @@ def test_readers_see_old_or_new_rows(spark, tmp_path, monkeypatch):
     new = [(january, 2), (march, 2)]
     assert seen() == new and all(state in (old, new) for state in watched.states)
 
-    # One month gets other rows, one a first row, one loses its own.
+    # One month gets other rows, one a first row, one stays.
     watched.states.clear()
     february = dt.date(2024, 2, 1)
-    frame = rows(3, january, february)
-    warehouse.replace_months("gold", "m", frame, "order_date", [january, february, march])
-    assert seen() == [(january, 3), (february, 3)]
-    for state in watched.states:
-        assert [row for row in state if row[0] == january] in ([(january, 2)], [(january, 3)])
+    warehouse.replace_months("gold", "m", rows(3, january, february), "order_date", [january, february])
+    newer = [(january, 3), (february, 3), (march, 2)]
+    assert seen() == newer and all(state in (new, newer) for state in watched.states)
 
+    # The second version's folder still holds March.
     folders = warehouse.expire("gold", "m")
     assert len(folders) == 2 and any(first.endswith(folder.rsplit("/", 1)[1]) for folder in folders)
-    assert seen() == [(january, 3), (february, 3)] and warehouse.expire("gold", "m") == []
+    assert seen() == newer and warehouse.expire("gold", "m") == []
+
+    # One month loses its rows, then nothing needs the second version.
+    warehouse.replace_months("gold", "m", rows(4), "order_date", [march])
+    assert seen() == newer[:2] and len(warehouse.expire("gold", "m")) == 1
+    assert seen() == newer[:2]
+
+
+def test_a_release_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """Snapshots taken before every statement of a release never mix its tables."""
+    warehouse = Warehouse(spark, str(tmp_path), "whole_")
+    warehouse.create_databases()
+    january, march = dt.date(2024, 1, 1), dt.date(2024, 3, 1)
+
+    def rows(value):
+        return spark.createDataFrame([(january, value), (march, value)], "order_date date, value int")
+
+    def write(release, value):
+        release.replace("silver", "a", rows(value))
+        release.replace("silver", "b", rows(value), "order_date")
+        release.replace_months("gold", "c", rows(value), "order_date", [january, march])
+        assert release.table("silver", "a").first().value == value
+        release.note("batch", str(value))
+
+    warehouse.replace("gold", "c", rows(0), "order_date")
+    with warehouse.release() as release:
+        write(release, 1)
+    held = warehouse.snapshot()
+
+    def values(snapshot):
+        frames = [snapshot.table(*key) for key in (("silver", "a"), ("silver", "b"), ("gold", "c"))]
+        return {row.value for frame in frames for row in frame.select("value").collect()} | {int(snapshot.state["note", "batch"])}
+
+    seen, plain = [], spark.sql
+
+    class Watched:
+        fail = None
+
+        def sql(self, text):
+            seen.append(values(Warehouse(spark, warehouse.root, "whole_").snapshot()))
+            if self.fail and self.fail in text:
+                raise RuntimeError(text)
+            return plain(text)
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+    watched = Watched()
+    monkeypatch.setattr(warehouse, "spark", watched)
+    for fail in ("create table", "alter table", "warehouse_state"):
+        watched.fail = fail
+        with pytest.raises(RuntimeError), warehouse.release() as release:
+            write(release, 2)
+        assert values(warehouse.snapshot()) == {1}
+    watched.fail = None
+    with warehouse.release() as release:
+        write(release, 3)
+    assert {1} in seen and {3} in seen and all(state in ({1}, {3}) for state in seen)
+    assert values(held) == {1} and values(warehouse.snapshot()) == {3} and warehouse.note("batch") == "3"
 
 
 def test_fact_months_follow_the_source(pipeline, spark, given):
