@@ -9,15 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import changes
 from checks.bronze_sql import BRONZE
 from checks.compose import with_blocks
 from checks.analytics_sql import ANALYTICS, ANALYTICS_QUERIES
-from checks.marts_sql import LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES
+from checks.marts_sql import CAPTURED_QUERIES, LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES
 from checks.silver_sql import GOLD, SILVER
 from tallyhouse.functions.expressions import ratio, totals
 from tallyhouse.operators import analytics, categories, dimensions, lookups, marts, periods, quality, sales
-from tallyhouse.plans import paths, quality_suite
+from tallyhouse.plans import capture, paths, quality_suite
+from tallyhouse.operators.bronze import LOAD_COLUMNS
 from tallyhouse.plans.incremental import (
+    refresh_changes,
     refresh_months,
     refresh_silver_months,
     touched_months,
@@ -29,7 +32,7 @@ from tallyhouse.plans.medallion import (
     gold_over,
     silver_over,
 )
-from tallyhouse.plans.refresh import refresh_gold, refresh_marts
+from tallyhouse.plans.refresh import refresh_bronze, refresh_gold, refresh_marts, refresh_silver
 from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources.access import json_rows, query_with_parameters
 from checks.testbed import Testbed
@@ -42,6 +45,13 @@ BLOCKS = {**BRONZE, **SILVER, **GOLD, **ANALYTICS}
 # The demo window: 60 days including both ends.
 SPAN = analytics.resolve_range("1998-01-01", "1998-03-01")
 
+# Of what captured changes reach, the tables that are checked, and what they are made from.
+CAPTURED_BRONZE = ["orders", "order_items", "payments", "refunds", "carts", "cart_items"]
+CAPTURED_FACTS = ["fct_orders", "fct_order_items", "fct_payments", "fct_refunds"]
+CAPTURED_SILVER = ["dim_products", "dim_variants", *CAPTURED_FACTS, "fct_carts", "fct_reviews"]
+CAPTURED_MARTS = ["mart_daily_sales", "mart_product_sales", "mart_customer_months"]
+CUSTOMER_MARTS = ["mart_customer_cohorts", "mart_customer_ltv", "mart_orders_per_customer"]
+
 # Gold marts written by this process, by application and folder of test files.
 _written: dict[tuple[str, str], Warehouse] = {}
 
@@ -122,6 +132,29 @@ class Layers:
             _written[key] = warehouse
         return _written[key]
 
+    @property
+    def captured(self) -> Warehouse:
+        """All layers over the files as they were, then brought up to date by changed rows."""
+        key = (self.spark.sparkContext.applicationId, self.folder + "#captured")
+        if key not in _written:
+            warehouse = self.new_warehouse()
+            warehouse.create_databases()
+            with warehouse.release() as release:
+                first = changes.Before(self.bronze)
+                refresh_bronze(release, first, ["products", "product_variants", "product_reviews"])
+                capture.load(release, first, CAPTURED_BRONZE)
+                refresh_silver(release, CAPTURED_SILVER)
+                refresh_gold(release, [*CAPTURED_MARTS, "mart_funnel_daily", *CUSTOMER_MARTS])
+            later = changes.After(self.bronze)
+            refresh_changes(warehouse, later, CAPTURED_BRONZE, CAPTURED_FACTS, CAPTURED_MARTS)
+            _written[key] = warehouse
+        return _written[key]
+
+    def captured_frame(self, layer: str, name: str) -> DataFrame:
+        """A captured table without its month and load columns."""
+        load = [column for column in MONTH if column.startswith("_")]
+        return self.captured.table(layer, name).drop(*load, *MONTH.values(), *LOAD_COLUMNS)
+
     def incremental_fact(self, name: str) -> DataFrame:
         """The fact written up to 1999, then brought up to date month by month."""
         warehouse = self.new_warehouse()
@@ -459,6 +492,9 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
     )
     lookup("incremental_product_sales", lambda x: x.incremental("mart_product_sales"))
     lookup("incremental_daily_sales", lambda x: x.incremental("mart_daily_sales"))
+    for name, sql in CAPTURED_QUERIES.items():
+        layer, table = name.removeprefix("captured_").split("_", 1)
+        add(name, lambda x, l=layer, t=table: x.captured_frame(l, t), sql)
     lookup("incremental_order_items", lambda x: x.incremental_fact("fct_order_items"))
 
     def check(name: str, frame: Callable[[Layers], DataFrame]) -> None:

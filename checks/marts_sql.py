@@ -118,6 +118,12 @@ from (
         where is_revenue_order
     ) group by all
 )
+""",
+    "mart_customer_months": """
+select customer_id, cast(date_trunc('month', order_date) as date) as order_date, count(*) as order_count,
+       cast(sum(total_cents) as bigint) as ltv_cents, min(order_date) as first_order_date,
+       max(order_date) as last_order_date
+from s_orders where is_revenue_order group by 1, 2
 """,
     "mart_customer_ltv": """
 select customer_id, count(*) as order_count, cast(sum(total_cents) as bigint) as ltv_cents,
@@ -511,3 +517,17 @@ from (
 ) where expected_cents <> discount_cents
 """,
 }
+
+# Tables brought up to date by changed rows are those made at once from all rows.
+CAPTURED_QUERIES = {
+    "captured_bronze_order_items": "select * from b_order_items",
+    "captured_bronze_payments": "select * from b_payments",
+    "captured_silver_fct_order_items": "select * from s_order_items",
+    "captured_silver_fct_carts": "select * from s_carts",
+    "captured_gold_mart_daily_sales": "select * from g_daily",
+    "captured_gold_mart_product_sales": "select * from g_product",
+    "captured_gold_mart_funnel_daily": MART_QUERIES["mart_funnel_daily"],
+    "captured_gold_mart_customer_cohorts": MART_QUERIES["mart_customer_cohorts"],
+    "captured_gold_mart_customer_ltv": MART_QUERIES["mart_customer_ltv"],
+    "captured_gold_mart_orders_per_customer": MART_QUERIES["mart_orders_per_customer"],
+}

@@ -192,15 +192,62 @@ def customer_activity(fct_orders: DataFrame) -> DataFrame:
 def customer_cohorts(fct_orders: DataFrame) -> DataFrame:
     """Month of first order x months since: active customers and retention."""
     months = F.months_between("span", "first_span").cast("int")
-    size = F.max(F.when(F.col("period_number") == 0, F.col("active_customers"))).over(
-        Window.partitionBy("cohort_month")
-    )
-    return (
+    return with_retention(
         _customer_spans(fct_orders, "MONTH")
         .groupBy(F.col("first_span").alias("cohort_month"), months.alias("period_number"))
         .agg(F.count("*").alias("active_customers"))
-        .withColumn("cohort_size", size)
-        .withColumn("retention_pct", F.expr(ratio("active_customers", "cohort_size")) * 100)
+    )
+
+
+def customer_months(fct_orders: DataFrame) -> DataFrame:
+    """Customer x month of revenue orders (``order_date`` is the month's first day).
+
+    A month's rows follow from its orders alone, so the table is refreshed by month, and
+    what is known of a customer follows from few rows.
+    """
+    return (
+        fct_orders.where("is_revenue_order")
+        .groupBy("customer_id", F.trunc("order_date", "MM").alias("month"))
+        .agg(
+            F.count("*").alias("order_count"),
+            F.expr(total("total_cents")).alias("ltv_cents"),
+            F.min("order_date").alias("first_order_date"),
+            F.max("order_date").alias("last_order_date"),
+        )
+        .withColumnRenamed("month", "order_date")
+    )
+
+
+def ltv_of_months(mart_customer_months: DataFrame) -> DataFrame:
+    """``customer_ltv`` from the months of customers."""
+    return mart_customer_months.groupBy("customer_id").agg(
+        *totals(["order_count", "ltv_cents"]),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+    )
+
+
+def cohort_counts(mart_customer_months: DataFrame) -> DataFrame:
+    """(cohort_month, period_number, active_customers) of the given customers' months.
+
+    Counts of disjoint customers add up, so those of changed customers can be taken out
+    of a table and put in again. The window holds the months of one customer.
+    """
+    first = F.min("order_date").over(Window.partitionBy("customer_id"))
+    months = F.months_between("order_date", "cohort_month").cast("int")
+    return (
+        mart_customer_months.select("customer_id", "order_date", first.alias("cohort_month"))
+        .groupBy("cohort_month", months.alias("period_number"))
+        .agg(F.count("*").alias("active_customers"))
+    )
+
+
+def with_retention(counts: DataFrame) -> DataFrame:
+    size = F.max(F.when(F.col("period_number") == 0, F.col("active_customers"))).over(
+        Window.partitionBy("cohort_month")
+    )
+    return counts.withColumn("cohort_size", size).withColumn(
+        "retention_pct", F.expr(ratio("active_customers", "cohort_size")) * 100
     )
 
 

@@ -8,20 +8,24 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import marts
+from tallyhouse.plans.capture import ROUTES, capture
 from tallyhouse.plans.medallion import GOLD_MODELS, SILVER_MODELS, Tables, silver_over
-from tallyhouse.sources.warehouse import MONTH, Release, Warehouse
+from tallyhouse.session import shared_folder
+from tallyhouse.sources.warehouse import MONTH, Release, Warehouse, in_months
 
 
 class _Months:
-    """Tables of a layer cut to the given order months; those without a date stay whole."""
+    """Tables of a layer cut to the given months of ``date``; those without it stay whole."""
 
-    def __init__(self, layer: Tables, months: list[dt.date]):
+    def __init__(self, layer: Tables, months: list[dt.date], date: str = "order_date"):
         self.layer = layer
         self.months = months
+        self.date = date
 
     def table(self, name: str) -> DataFrame:
         frame = self.layer.table(name)
-        date = "review_date" if name == "fct_reviews" else "order_date"
+        date = "review_date" if name == "fct_reviews" else self.date
         if date not in frame.columns:
             return frame
         # On the partition column where the table has one, so other months are not read.
@@ -30,9 +34,13 @@ class _Months:
 
 
 def refresh_months(
-    warehouse: Warehouse | Release, silver: Tables, months: Iterable[dt.date], names: Iterable[str]
+    warehouse: Warehouse | Release,
+    silver: Tables,
+    months: Iterable[dt.date],
+    names: Iterable[str],
+    date: str = "order_date",
 ) -> None:
-    """Recompute the given order months of marts partitioned by month.
+    """Recompute the given months of marts partitioned by order month (or by that of ``date``).
 
     Everything a mart row needs has the row's own order date (refunds carry the
     date of their order), so a month depends on the silver rows of that month
@@ -41,11 +49,11 @@ def refresh_months(
     """
     wanted = sorted({month.replace(day=1) for month in months})
     with warehouse.release() as release:
-        cut, made = _Months(silver, wanted), _Months(release.layer("gold"), wanted)
+        cut, made = _Months(silver, wanted, date), _Months(release.layer("gold"), wanted, date)
         for name in names:
             model = GOLD_MODELS[name]
-            if model.month_of != "order_date":
-                raise ValueError(f"{name} is not partitioned by order month; refresh it as a whole")
+            if model.month_of != date:
+                raise ValueError(f"{name} is not partitioned by months of {date}; refresh it otherwise")
             inputs = [cut.table(source) for source in model.below]
             frame = model.make(*inputs, *[made.table(sibling) for sibling in model.beside])
             release.replace_months("gold", name, frame, model.month_of, wanted)
@@ -66,9 +74,9 @@ REVIEW_FACTS = ["fct_reviews"]
 class _BronzeMonths:
     """Bronze tables with orders and reviews cut to the given months.
 
-    The cut is a range on the instant itself, which reaches the scan. Lines,
-    payments and the like stay whole here: joining them to the orders that are
-    left cuts them.
+    Tables that ``capture`` keeps by order month are read in those partitions alone.
+    Elsewhere the cut is a range on the instant itself, which reaches the scan, and lines,
+    payments and the like stay whole: joining them to the orders that are left cuts them.
     """
 
     INSTANTS = {"orders": "placed_at", "product_reviews": "created_at"}
@@ -79,6 +87,8 @@ class _BronzeMonths:
 
     def table(self, name: str) -> DataFrame:
         frame = self.bronze.table(name)
+        if MONTH["_order_date"] in frame.columns:
+            frame = frame.where(in_months(MONTH["_order_date"], self.months))
         if name not in self.INSTANTS:
             return frame
         instant = self.INSTANTS[name]
@@ -117,3 +127,121 @@ def touched_months(changes: DataFrame, date_column: str = "order_date") -> list[
     """Order months among changed rows: a short list, a calendar has few months."""
     months = changes.select(F.trunc(date_column, "MM").alias("month")).where("month is not null")
     return [row.month for row in months.distinct().collect()]
+
+
+# -- changes with another date ----------------------------------------------------
+
+
+def _changed_rows(release: Release, layer: str, name: str, columns: list[str], months: list[dt.date]) -> DataFrame:
+    """Rows of some columns that the release took out of or put into a table's months."""
+    old, new = (
+        frame.where(F.col(MONTH["order_date"]).isin(months)).select(columns)
+        for frame in (release.was(layer, name), release.table(layer, name))
+    )
+    return old.exceptAll(new).unionByName(new.exceptAll(old))
+
+
+def refresh_cart_months(
+    warehouse: Warehouse | Release,
+    bronze: Tables,
+    cart_months: Iterable[dt.date],
+    order_months: Iterable[dt.date],
+) -> list[dt.date]:
+    """Bring ``fct_carts`` up to date, behind the orders' facts of the same release.
+
+    A cart changes with its own month, or with an order of another: where an order of the
+    given order months got, lost or changed its cart, the month of that cart is
+    recomputed too. Returns the months of carts that were.
+    """
+    with warehouse.release() as release:
+        orders = sorted({month.replace(day=1) for month in order_months})
+        pairs = _changed_rows(release, "silver", "fct_orders", ["cart_id", "order_id"], orders)
+        carts = bronze.table("carts").withColumn("_day", F.to_date("created_at"))
+        ids = pairs.where("cart_id is not null").select(F.col("cart_id").alias("id")).distinct()
+        moved = carts.join(ids, "id", "left_semi").select(F.trunc("_day", "MM"))
+        months = {month.replace(day=1) for month in cart_months}
+        months |= {row[0] for row in moved.distinct().collect() if row[0]}
+        wanted = sorted(months)
+        by_month = MONTH["_cart_date"]
+        chosen = F.col(by_month) if by_month in carts.columns else F.trunc("_day", "MM")
+        carts = carts.where(chosen.isin(wanted))
+        items = bronze.table("cart_items")
+        if by_month in items.columns:
+            items = items.where(F.col(by_month).isin(wanted))
+        items = items.join(carts.select(F.col("id").alias("cart_id")), "cart_id", "left_semi")
+        frame = SILVER_MODELS["fct_carts"].make(carts, items, release.table("silver", "fct_orders"))
+        release.replace_months("silver", "fct_carts", frame, "cart_date", wanted)
+    return wanted
+
+
+def refresh_customers(warehouse: Warehouse | Release, months: Iterable[dt.date]) -> None:
+    """Bring lifetime values and cohorts up to date, behind ``mart_customer_months``.
+
+    Only customers whose months changed are looked at, with all their months: an
+    order that came late may move their first month, and with it every cell they
+    stood in. Their old cells are taken out of the cohorts and the new ones put in.
+    """
+    wanted = sorted({month.replace(day=1) for month in months})
+    with warehouse.release() as release:
+        name = ("gold", "mart_customer_months")
+        shared_folder(release.spark)
+        rows = _changed_rows(release, *name, release.was(*name).drop(MONTH["order_date"]).columns, wanted)
+        touched = rows.select("customer_id").distinct().checkpoint()
+        before, after = (
+            frame.join(touched, "customer_id", "left_semi") for frame in (release.was(*name), release.table(*name))
+        )
+        ltv = release.table("gold", "mart_customer_ltv").join(touched, "customer_id", "left_anti")
+        release.replace(
+            "gold", "mart_customer_ltv", ltv.unionByName(marts.ltv_of_months(after))
+        )
+        cells = ["cohort_month", "period_number", "active_customers"]
+        out = marts.cohort_counts(before).withColumn("active_customers", -F.col("active_customers"))
+        counts = (
+            release.table("gold", "mart_customer_cohorts").select(cells)
+            .unionByName(out)
+            .unionByName(marts.cohort_counts(after))
+            .groupBy("cohort_month", "period_number")
+            .agg(F.sum("active_customers").alias("active_customers"))
+            .where("active_customers > 0")
+        )
+        release.replace("gold", "mart_customer_cohorts", marts.with_retention(counts))
+        histogram = GOLD_MODELS["mart_orders_per_customer"]
+        release.replace(
+            "gold", "mart_orders_per_customer", histogram.make(release.table("gold", "mart_customer_ltv"))
+        )
+
+
+CAPTURED_MARTS = [
+    "mart_daily_sales",
+    "mart_product_sales",
+    "mart_orders_by_status",
+    "mart_variant_sales",
+    "mart_sold_variants",
+    "mart_fulfillment",
+    "mart_customer_months",
+]
+
+
+def refresh_changes(
+    warehouse: Warehouse,
+    source: Tables,
+    bronze: Iterable[str] = ROUTES,
+    silver: Iterable[str] = ORDER_FACTS,
+    gold: Iterable[str] = CAPTURED_MARTS,
+    notes: dict[str, str] | None = None,
+) -> None:
+    """From changed source rows to bronze, silver and gold, current all at once.
+
+    Dimensions and tables without a month are refreshed as a whole where they change.
+    ``notes`` are kept with the result.
+    """
+    with warehouse.release() as release:
+        for name, value in (notes or {}).items():
+            release.note(name, value)
+        touched = capture(release, source, names=list(bronze))
+        orders = touched["_order_date"]
+        refresh_silver_months(release, release.layer("bronze"), orders, silver)
+        carts = refresh_cart_months(release, release.layer("bronze"), touched["_cart_date"], orders)
+        refresh_months(release, release.layer("silver"), orders, gold)
+        refresh_months(release, release.layer("silver"), carts, ["mart_funnel_daily"], "cart_date")
+        refresh_customers(release, orders)

@@ -111,6 +111,9 @@ FURTHER_MARTS = {
         month_of="order_date",
     ),
     "mart_funnel_daily": Model(marts.funnel_daily, ("fct_carts",), month_of="cart_date"),
+    "mart_customer_months": Model(
+        marts.customer_months, ("fct_orders",), month_of="order_date"
+    ),
     "mart_customer_activity": Model(marts.customer_activity, ("fct_orders",)),
     "mart_customer_cohorts": Model(marts.customer_cohorts, ("fct_orders",)),
     "mart_customer_ltv": Model(marts.customer_ltv, ("fct_orders",)),

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,15 @@ CURRENT = "tallyhouse.current"
 STATE_VIEW = "warehouse_state"
 NOTE = "note"  # stands for a layer in the state's rows that are notes
 
-MONTH = {"order_date": "order_month", "cart_date": "cart_month", "review_date": "review_month"}
+# Date columns and the month partitions made of them. Those with an underscore are load
+# columns of bronze tables, which also lie by month.
+MONTH = {
+    "order_date": "order_month",
+    "cart_date": "cart_month",
+    "review_date": "review_month",
+    "_order_date": "_order_month",
+    "_cart_date": "_cart_month",
+}
 
 State = dict[tuple[str, str], str]
 
@@ -35,6 +43,12 @@ def with_month(frame: DataFrame, date_column: str) -> DataFrame:
     return frame.withColumn(MONTH[date_column], F.trunc(date_column, "MM"))
 
 
+def in_months(column: str, months: Iterable[dt.date | None]) -> Column:
+    """Whether a month is one of the given, None standing for a missing one."""
+    chosen = F.col(column).isin(sorted(month for month in months if month))
+    return chosen | F.col(column).isNull() if None in months else chosen
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -200,6 +214,10 @@ class Release:
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.table({**self.before, **self.staged}[layer, name])
 
+    def was(self, layer: str, name: str) -> DataFrame:
+        """A table as it was at the beginning."""
+        return self.spark.table(self.before[layer, name])
+
     def layer(self, layer: str) -> WrittenLayer:
         return WrittenLayer(self, layer)
 
@@ -228,19 +246,20 @@ class Release:
         return self.spark.table(version)
 
     def replace_months(
-        self, layer: str, name: str, frame: DataFrame, month_of: str, months: Iterable[dt.date]
+        self, layer: str, name: str, frame: DataFrame, month_of: str, months: Iterable[dt.date | None]
     ) -> DataFrame:
         """A new version with the given months from ``frame``, the others as they are.
 
-        Only the given months are written; the version's other partitions point to the
-        files that hold them already. The rows may come from the table itself. A month
-        that has no rows any more has no partition in the new version.
+        Only the given months are written (None: the rows without a date); the version's other
+        partitions point to the files that hold them already. The rows may come from the
+        table itself. A month that has no rows any more has no partition in the new
+        version.
         """
         wanted, month = set(months), MONTH[month_of]
         old = {**self.before, **self.staged}[layer, name]
         version, folder = self._new_version(layer, name)
         schema = self.spark.table(old).schema
-        frame = with_month(frame, month_of).where(F.col(month).isin(sorted(wanted))).to(schema)
+        frame = with_month(frame, month_of).where(in_months(month, wanted)).to(schema)
         places = {m: place for m, place in self.warehouse.places(layer, name, old).items() if m not in wanted}
         self._month_table(layer, name, version, schema, month, places | self._written_months(frame, month, folder))
         self.staged[layer, name] = version
