@@ -13,11 +13,11 @@ from checks import changes
 from checks.bronze_sql import BRONZE
 from checks.compose import with_blocks
 from checks.analytics_sql import ANALYTICS, ANALYTICS_QUERIES
-from checks.marts_sql import CAPTURED_QUERIES, LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES
+from checks.marts_sql import CAPTURED_QUERIES, LOOKUP_QUERIES, MART_QUERIES, QUALITY_QUERIES, QUALITY_SUITE
 from checks.silver_sql import GOLD, SILVER
 from tallyhouse.functions.expressions import ratio, totals
 from tallyhouse.operators import analytics, categories, dimensions, lookups, marts, periods, quality, sales
-from tallyhouse.plans import capture, paths, quality_suite
+from tallyhouse.plans import capture, data_tests, paths, quality_suite
 from tallyhouse.operators.bronze import LOAD_COLUMNS
 from tallyhouse.plans.incremental import (
     refresh_changes,
@@ -155,6 +155,20 @@ class Layers:
         load = [column for column in MONTH if column.startswith("_")]
         return self.captured.table(layer, name).drop(*load, *MONTH.values(), *LOAD_COLUMNS)
 
+    @property
+    def tested(self) -> DataFrame:
+        """Outcomes of all standard checks over written tables."""
+        warehouse = self.new_warehouse()
+        warehouse.create_databases()
+        standard = data_tests.standard_checks()
+        used = {(c.layer, c.table) for c in standard} | {c.parent[:2] for c in standard if c.parent}
+        with warehouse.release() as release:
+            for layer, name in sorted(used):
+                tables = {"bronze": self.bronze, "silver": self.silver, "gold": self.marts.layer("gold")}[layer]
+                release.replace(layer, name, tables.table(name))
+        layers = {layer: warehouse.layer(layer) for layer in ("bronze", "silver", "gold")}
+        return data_tests.outcomes(layers, standard)
+
     def incremental_fact(self, name: str) -> DataFrame:
         """The fact written up to 1999, then brought up to date month by month."""
         warehouse = self.new_warehouse()
@@ -500,6 +514,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
     def check(name: str, frame: Callable[[Layers], DataFrame]) -> None:
         add(f"dq_{name}", frame, QUALITY_QUERIES[f"dq_{name}"])
 
+    add("dq_suite", lambda x: x.tested, QUALITY_SUITE)
     check("unique", lambda x: quality_suite.uniqueness(x.silver, x.marts.layer("gold")))
     check("not_null", lambda x: quality_suite.required(x.silver, x.marts.layer("gold")))
     check("relationships", lambda x: quality_suite.foreign_keys(x.bronze, x.silver))

@@ -531,3 +531,10 @@ CAPTURED_QUERIES = {
     "captured_gold_mart_customer_ltv": MART_QUERIES["mart_customer_ltv"],
     "captured_gold_mart_orders_per_customer": MART_QUERIES["mart_orders_per_customer"],
 }
+
+# What the fused suite finds is what its checks find one by one.
+QUALITY_SUITE = _union([
+    QUALITY_QUERIES[name]
+    for name in ("dq_unique", "dq_not_null", "dq_relationships", "dq_accepted_values", "dq_rating_range",
+                 "dq_composite_keys", "dq_natural_keys", "dq_soft_rules", "dq_dropped_rows")
+])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from tallyhouse.operators.bronze import mirror
+from tallyhouse.plans import data_tests
+from tallyhouse.plans.data_tests import Check
 from tallyhouse.plans.medallion import (
     GOLD_MODELS,
     SILVER_MODELS,
@@ -54,10 +56,18 @@ def refresh_marts(warehouse: Warehouse | Release, gold: Layer, names: Iterable[s
     return _refresh(warehouse, "gold", gold, names)
 
 
-def refresh_all(warehouse: Warehouse, source: Tables) -> None:
-    """Source to bronze to silver to gold, everything anew, current all at once."""
+def refresh_all(
+    warehouse: Warehouse, source: Tables, checks: Iterable[Check] | None = None
+) -> None:
+    """Source to bronze to silver to gold, everything anew, current all at once.
+
+    With ``checks`` the new tables are tested first: if one of severity error fails, the
+    refresh does too, and readers keep the old tables.
+    """
     warehouse.create_databases()
     with warehouse.release() as release:
         refresh_bronze(release, source)
         refresh_silver(release)
         refresh_gold(release)
+        if checks is not None:
+            data_tests.run(release, checks)

@@ -271,7 +271,7 @@ class Release:
             return
         rows = ", ".join(
             f"({_quoted(layer)}, {_quoted(name)}, {_quoted(value)})"
-            for (layer, name), value in sorted({**self.before, **self.staged}.items())
+            for (layer, name), value in sorted({**self.warehouse.state(), **self.staged}.items())
         )
         self.spark.sql(
             f"create or replace view {self.warehouse.database('gold')}.{STATE_VIEW}"
