@@ -34,7 +34,7 @@ select cast(ifnull(sum(gross_revenue_cents), 0) as bigint) as gross_revenue_cent
        cast(ifnull(sum(units_sold), 0) as bigint) as units_sold,
        (select cast(ifnull(sum(order_count), 0) as bigint) from a_daily) as order_count,
        cast(0 as bigint) as line_item_count, count(distinct product_id) as product_count,
-       (select cast(sum(round(avg_rating * review_count)) as double) / sum(review_count) from a_daily where review_count > 0)
+       (select cast(sum(cast(avg_rating * review_count as decimal(28,6))) as double) / sum(review_count) from a_daily where review_count > 0)
            as avg_rating,
        (select cast(ifnull(sum(review_count), 0) as bigint) from a_daily) as review_count
 from a_days
@@ -144,3 +144,23 @@ from (select * from a_refunded order by refund_cents desc, product_id limit 8)
 order by refund_cents, product_id desc
 """,
 }
+
+
+def _figures(section: str, item: str) -> str:
+    """Rows of (section, item, key, value) of one section."""
+    texts = ("product_name", "label", "tier", "date", "product_id")
+    named = f"select '{section}' as section, {item} as item, columns(lambda c: c not in {texts}) from ({ANALYTICS_QUERIES[section]})"
+    return (
+        f"select section, item, key, cast(value as decimal(28,6)) as value from (unpivot ({named})"
+        " on columns(* exclude (section, item))::decimal(28,6) into name key value value)"
+    )
+
+
+ANALYTICS_QUERIES["bundle"] = " union all ".join(
+    _figures(section, item)
+    for section, item in (
+        ("summary", "''"), ("revenue_over_time", "cast(date as varchar)"), ("top_products", "cast(product_id as varchar)"),
+        ("portfolio_concentration", "''"), ("portfolio_buckets", "tier"), ("refund_summary", "''"),
+        ("refunds_over_time", "cast(date as varchar)"), ("refunds_by_product", "cast(product_id as varchar)"),
+    )
+)

@@ -19,6 +19,7 @@ from tallyhouse.functions.expressions import ratio, totals
 from tallyhouse.operators import analytics, categories, dimensions, lookups, marts, periods, quality, sales
 from tallyhouse.plans import capture, data_tests, paths, quality_suite
 from tallyhouse.operators.bronze import LOAD_COLUMNS
+from tallyhouse.plans.bundle import section_rows, shared_bundle
 from tallyhouse.plans.incremental import (
     refresh_changes,
     refresh_months,
@@ -169,6 +170,12 @@ class Layers:
         layers = {layer: warehouse.layer(layer) for layer in ("bronze", "silver", "gold")}
         return data_tests.outcomes(layers, standard)
 
+    @property
+    def bundle(self) -> DataFrame:
+        """All figures of one product request."""
+        with shared_bundle(self.products, self.daily, SPAN, 15) as frames:
+            return section_rows(frames).checkpoint()
+
     def incremental_fact(self, name: str) -> DataFrame:
         """The fact written up to 1999, then brought up to date month by month."""
         warehouse = self.new_warehouse()
@@ -256,6 +263,7 @@ def _catalogue() -> dict[str, tuple[Callable[[Layers], DataFrame], str | None]]:
     on_gold("refund_summary", lambda x: analytics.refund_summary(x.days, x.daily, SPAN))
     on_gold("refunds_over_time", lambda x: analytics.refunds_over_time(x.days, x.daily, SPAN))
     on_gold("refunds_by_product", lambda x: analytics.refunds_by_product(x.days, 15))
+    on_gold("bundle", lambda x: x.bundle)
     on_gold(
         "revenue_chart",
         lambda x: analytics.revenue_chart(analytics.revenue_over_time(x.days, x.daily, SPAN)),

@@ -19,7 +19,7 @@ select cast(date_trunc('{unit}', order_date) as date) as period_start,
        cast(sum(subtotal_cents) as bigint) as subtotal_cents, cast(sum(discount_cents) as bigint) as discount_cents,
        cast(sum(shipping_cents) as bigint) as shipping_cents, cast(sum(tax_cents) as bigint) as tax_cents,
        cast(sum(review_count) as bigint) as review_count,
-       if(sum(review_count) > 0, sum(round(avg_rating * review_count)) / sum(review_count), null) as avg_rating,
+       if(sum(review_count) > 0, cast(sum(cast(avg_rating * review_count as decimal(28,6))) as double) / sum(review_count), null) as avg_rating,
        cast(sum(gmv_cents) as double) / sum(order_count) as aov_cents,
        cast(sum(refund_cents) as double) / sum(gmv_cents) as refund_rate
 from g_daily group by 1

@@ -107,10 +107,10 @@ def total(value: str) -> str:
 def mean_rating() -> str:
     """Mean over reviews from rows that hold a mean and a count of reviews.
 
-    Ratings are whole numbers, so a mean times its count is one too; summed as such, the
-    result does not depend on the order of rows.
+    A mean times its count is summed as a decimal, so that the result does not depend on
+    the order of rows.
     """
-    return ratio("sum(bigint(round(avg_rating * review_count)))", "sum(review_count)")
+    return ratio("sum(cast(avg_rating * review_count as decimal(28,6)))", "sum(review_count)")
 
 
 def totals(columns: Iterable[str]) -> list[Column]:

@@ -110,6 +110,18 @@ def product_days(mart_product_sales: DataFrame, span: DateRange) -> DataFrame:
     return within(mart_product_sales, span).select(PRODUCT_DAY_COLUMNS)
 
 
+def shared_slice(days: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The range's sums by product and by day, for requests that need both many times.
+
+    They hold what the sections ask of ``days``; a product has a row for each name.
+    """
+    by_product = days.groupBy("product_id", "product_name").agg(
+        F.expr("max(sku_count) as sku_count"), *totals([*SUMMARY_MEASURES, "order_count"])
+    )
+    by_day = days.groupBy("order_date").agg(*totals(SUMMARY_MEASURES))
+    return by_product, by_day
+
+
 # -- summary ------------------------------------------------------------------
 
 
@@ -194,6 +206,23 @@ def _top(frame: DataFrame, money: str, rows: int) -> DataFrame:
     return frame.orderBy(F.col(money).desc(), F.col("product_id").asc()).limit(rows)
 
 
+def _with_names(top: DataFrame, days: DataFrame, money: str) -> DataFrame:
+    """Names for the few products of a list, in its order.
+
+    They are looked up behind the limit: text among the aggregates of all products would
+    make Spark sort the rows instead of hashing them. Of several names the last counts.
+    """
+    names = (
+        days.select("product_id", "product_name")
+        .join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
+        .groupBy("product_id")
+        .agg(F.array_max(F.collect_set("product_name")).alias("product_name"))
+    )
+    return top.join(F.broadcast(names), "product_id", "left").orderBy(
+        F.col(money).desc(), F.col("product_id").asc()
+    )
+
+
 def top_products(
     days: DataFrame, limit: int | None = None, gross: DataFrame | None = None
 ) -> DataFrame:
@@ -203,18 +232,20 @@ def top_products(
     revenue, for callers that have it more cheaply than from ``days``.
     """
     per_product = days.groupBy("product_id").agg(
-        F.expr("max(product_name) as product_name"),
         F.expr("max(sku_count) as sku_count"),
         *totals([*SUMMARY_MEASURES, "order_count"]),
     )
     gross = days.agg(F.expr(total("gross_revenue_cents"))) if gross is None else gross
     all_gross = gross.scalar()
     margin = "gross_revenue_cents - cogs_cents"
+    top = _top(per_product, "gross_revenue_cents", checked_limit(limit))
     return (
-        _top(per_product, "gross_revenue_cents", checked_limit(limit))
+        _with_names(top, days, "gross_revenue_cents")
         .select("*", all_gross.alias("all_gross"))
         .selectExpr(
-            *per_product.columns,
+            "product_id",
+            "product_name",
+            *per_product.columns[1:],
             f"{margin} as gross_margin_cents",
             f"{percent(margin, 'gross_revenue_cents')} as gross_margin_pct",
             f"{percent('gross_revenue_cents', 'all_gross')} as revenue_share_pct",
@@ -227,15 +258,18 @@ def refunds_by_product(days: DataFrame, limit: int | None = None) -> DataFrame:
     """The products with the highest refunds; products without any do not count."""
     refunded = (
         days.groupBy("product_id")
-        .agg(F.expr("max(product_name) as product_name"), *totals(["refund_cents", "units_sold"]))
+        .agg(*totals(["refund_cents", "units_sold"]))
         .where("refund_cents > 0")
     )
     all_refunds = refunded.agg(F.expr(total("refund_cents"))).scalar()
+    top = _top(refunded, "refund_cents", checked_limit(limit))
     return (
-        _top(refunded, "refund_cents", checked_limit(limit))
+        _with_names(top, days, "refund_cents")
         .select("*", all_refunds.alias("all_refunds"))
         .selectExpr(
-            *refunded.columns,
+            "product_id",
+            "product_name",
+            *refunded.columns[1:],
             f"{percent('refund_cents', 'all_refunds')} as refund_share_pct",
             f"{half_up(ratio('refund_cents', 'units_sold', '0'))} as refund_per_unit_cents",
         )

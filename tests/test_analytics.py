@@ -5,7 +5,7 @@ import pytest
 from tallyhouse.operators import analytics
 from tallyhouse.operators.analytics import DateRange, checked_limit, resolve_range
 from tallyhouse.operators.ranking import ranked
-from tallyhouse.plans.bundle import products_bundle, products_response
+from tallyhouse.plans.bundle import products_bundle, products_response, section_rows, shared_bundle
 from pyspark.sql import functions as F
 
 SPAN = DateRange(dt.date(2024, 1, 1), dt.date(2024, 1, 31))
@@ -172,3 +172,28 @@ def test_response(spark):
     assert answer["portfolio"]["herfindahlIndex"] == 1
     assert answer["reimbursements"]["refundedOrderCount"] == 3
     assert answer["reimbursements"]["byProduct"][0]["refundPerUnitCents"] == 10
+
+
+def test_shared_slice_gives_the_same_sections_from_two_scans(spark, tmp_path):
+    mart, daily = marts(
+        spark,
+        [product(day, key, 100 * key + day, key) for day in (1, 2, 9) for key in range(1, 70)],
+        [(1, 4, 3, 1, 4.0), (2, 5, 1, 2, 3.5), (9, 2, 0, 0, None)],
+    )
+    mart.write.parquet(str(tmp_path / "mart"))
+    daily.write.parquet(str(tmp_path / "daily"))
+    mart, daily = (spark.read.parquet(str(tmp_path / name)) for name in ("mart", "daily"))
+    alone = {name: [tuple(r) for r in frame.collect()] for name, frame in products_bundle(mart, daily, SPAN, 10).items()}
+    with shared_bundle(mart, daily, SPAN, 10) as frames:
+        shared = {name: [tuple(r) for r in frame.collect()] for name, frame in frames.items()}
+        plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in frames.values()]
+        assert all("InMemoryRelation" in plan for plan in plans)
+        rows = section_rows(frames).collect()
+    assert shared == alone
+    assert {r.section for r in rows} == set(alone) and len([r for r in rows if r.section == "top_products"]) == 10 * 12
+
+
+def test_top_lists_sort_no_rows_for_names(spark):
+    mart, daily = marts(spark, [product(1, 1, 500, 10)])
+    for frame in (analytics.top_products(mart, 15), analytics.refunds_by_product(mart, 15)):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
