@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.shared import ByteBpe, slices, written
+from tallyhouse.llm.shared import byte_bpe, slices, written
 
 MAGIC = b"IDBLK1\0\0"
 _HEADER = struct.Struct("<8sQQQIQQ")
@@ -260,7 +260,7 @@ def write_ids(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bpe, part, block = ByteBpe(vocabulary), TaskContext.get().partitionId(), 0
+        bpe, part, block = byte_bpe(vocabulary), TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
         held: list[np.ndarray] = []
         size = 0

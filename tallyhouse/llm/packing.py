@@ -11,15 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.shared import ByteBpe, slices
+from tallyhouse.llm.shared import byte_bpe, slices
 
 CAPACITY = 2048
 # Tokens that are balanced together, and held by a task at a time.
 GROUP_TOKENS = 4 << 20
 # Attention cost of a piece of n tokens: n + n * n / QUADRATIC.
 QUADRATIC = 1024.0
-# Sequences tried for room for a whole document before it is cut.
-TRIES = 24
 
 PIECES = T.StructType(
     [
@@ -49,45 +47,91 @@ def sequence_sizes(tokens: int, capacity: int) -> list[int]:
     return sizes
 
 
+class Open:
+    """Open sequences by the room they have, and the cheapest with room enough.
+
+    Sequences with the same room are a heap of (cost, sequence). A binary tree over all
+    rooms holds in each node the cheapest of those below it, so that the cheapest with
+    at least some room is found, and moved, in steps that grow with the logarithm of the
+    capacity, whatever the number of sequences.
+    """
+
+    NONE = (float("inf"), -1)
+
+    def __init__(self, capacity: int):
+        self._leaves = 1 << max(capacity - 1, 1).bit_length()
+        self._rooms: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+        self._tree = [self.NONE] * (2 * self._leaves)
+
+    def _changed(self, room: int) -> None:
+        tree, rows = self._tree, self._rooms[room]
+        at = room - 1 + self._leaves
+        tree[at] = rows[0] if rows else self.NONE
+        while at > 1:
+            at >>= 1
+            left, right = tree[2 * at], tree[2 * at + 1]
+            least = left if left <= right else right
+            if tree[at] == least:
+                break
+            tree[at] = least
+
+    def add(self, room: int, cost: float, sequence: int) -> None:
+        heapq.heappush(self._rooms[room], (cost, sequence))
+        if self._rooms[room][0][1] == sequence:
+            self._changed(room)
+
+    def cheapest(self, room: int) -> tuple[float, int]:
+        """Cost and number of the cheapest sequence with at least so much room, or NONE."""
+        tree, at = self._tree, room - 1 + self._leaves
+        least = tree[at]
+        while at > 1:
+            if not at & 1 and tree[at + 1] < least:
+                least = tree[at + 1]
+            at >>= 1
+        return least
+
+    def take(self, room: int) -> None:
+        """Take out the cheapest of the sequences with exactly that room."""
+        heapq.heappop(self._rooms[room])
+        self._changed(room)
+
+
 def balance(lengths: list[int], capacity: int = CAPACITY) -> list[Piece]:
     """Place documents, dearest first, each on the cheapest sequence with room.
 
-    Whole sequences are cut off long documents first. A document for which none
-    of the cheapest sequences has room fills the cheapest one, and goes on as a
-    further piece; together the sequences hold exactly all tokens.
+    Whole sequences are cut off long documents first. A document for which no sequence has
+    room fills the cheapest one, and goes on as a further piece; together the
+    sequences hold exactly all tokens.
     """
     sizes = sequence_sizes(sum(lengths), capacity)
     pieces: list[Piece] = []
-    open_ = 0
+    full = 0
     rest: list[tuple[int, int, int]] = []
     for document, length in enumerate(lengths):
         start = 0
         while length - start >= capacity:
-            pieces.append((document, start, capacity, open_, 0))
-            start, open_ = start + capacity, open_ + 1
+            pieces.append((document, start, capacity, full, 0))
+            start, full = start + capacity, full + 1
         if start < length:
             rest.append((length - start, document, start))
     rest.sort(key=lambda x: (-attention_cost(x[0]), x[1]))
-    left = dict(enumerate(sizes[open_:], open_))
-    heap = [(0.0, sequence) for sequence in left]
+    left = dict(enumerate(sizes[full:], full))
+    open_ = Open(capacity)
+    for sequence, room in left.items():
+        open_.add(room, 0.0, sequence)
     for length, document, start in rest:
         while length:
-            aside = []
-            for _ in range(min(TRIES, len(heap))):
-                aside.append(heapq.heappop(heap))
-                if left[aside[-1][1]] >= length:
-                    break
-            else:  # none has room for all of it
-                aside.append(aside.pop(0))
-            cost, sequence = aside.pop()
-            for entry in aside:
-                heapq.heappush(heap, entry)
-            taken = min(length, left[sequence])
-            pieces.append((document, start, taken, sequence, sizes[sequence] - left[sequence]))
-            left[sequence] -= taken
+            cost, sequence = open_.cheapest(length)
+            if sequence < 0:  # none has room for all of it
+                cost, sequence = open_.cheapest(1)
+            room = left[sequence]
+            taken = min(length, room)
+            open_.take(room)
+            pieces.append((document, start, taken, sequence, sizes[sequence] - room))
+            left[sequence] = room - taken
             start, length = start + taken, length - taken
             if left[sequence]:
-                heapq.heappush(heap, (cost + attention_cost(taken), sequence))
+                open_.add(left[sequence], cost + attention_cost(taken), sequence)
     return pieces
 
 
@@ -114,7 +158,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bpe, end = ByteBpe(vocabulary), np.array([end_id], "<u4").tobytes()
+        bpe, end = byte_bpe(vocabulary), np.array([end_id], "<u4").tobytes()
         # A task's sequences have numbers of their own: 2^38 of them for each task.
         next_sequence = TaskContext.get().partitionId() << 38
         keys: list[int | None] = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from operator import sub
 
 import numpy as np
@@ -170,6 +171,12 @@ class PrefixCounts:
         return out
 
 
+@lru_cache(maxsize=2)
+def prefix_counts(path: str) -> PrefixCounts:
+    """One for all tasks of a worker process, with the words it has met."""
+    return PrefixCounts(path)
+
+
 def token_counts(
     docs: DataFrame, vocabulary: str, budgets: Sequence[int] = (1024,), table: bool = False
 ) -> DataFrame:
@@ -186,7 +193,7 @@ def token_counts(
     fields += [f"chars_within_{budget} long" for budget in budgets] + ["steps binary"] * table
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = PrefixCounts(vocabulary)
+        prefixes = prefix_counts(vocabulary)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             steps = prefixes.steps(texts)

@@ -11,7 +11,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.shared import written
+from tallyhouse.llm.shared import set_aside, written
 
 SPACE = r"[ \t\n\x0B\f\r]+"
 WINDOW = 5
@@ -325,10 +325,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all their columns as they are. The
-    texts are not shuffled: statistics are derived once for the estimates and once
-    more next to the text."""
-    columns = docs.columns
-    rows = written(with_statistics(docs).drop("text"), "statistics")
+    """The rows of ``docs`` that the rules keep, all their columns as they are, whatever
+    their names. The texts are not shuffled: statistics are derived once for the
+    estimates and once more next to the text."""
+    held, back = set_aside(docs, "text", "lang", "source")
+    needed = [name for name in ("text", "lang", "source") if name in held.columns]
+    rows = written(with_statistics(held.select(*needed)).drop("text"), "statistics")
     estimates = fit(vectors(rows).where(~F.col("failed")))
-    return judged(with_statistics(docs), estimates).where("verdict.kept").select(*columns)
+    return judged(with_statistics(held), estimates).where("verdict.kept").select(*back)

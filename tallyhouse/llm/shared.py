@@ -6,10 +6,12 @@ import os
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.session import shared_folder
 
@@ -37,6 +39,19 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns under names of their own, next to the needed ones it has.
+
+    So columns an operator makes can't clash with given ones. The list brings the given
+    columns back, as they were.
+    """
+    columns = [F.col("`" + name.replace("`", "``") + "`") for name in docs.columns]
+    held = [column.alias(f"given_{i}") for i, column in enumerate(columns)]
+    present = [F.col(name).alias(name) for name in needed if name in docs.columns]
+    back = [F.col(f"given_{i}").alias(name) for i, name in enumerate(docs.columns)]
+    return docs.select(*held, *present), back
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
@@ -116,6 +131,12 @@ class ByteBpe:
         ]
 
 
+@lru_cache(maxsize=2)
+def byte_bpe(path: str) -> ByteBpe:
+    """One for all tasks of a worker process, with the words it has met."""
+    return ByteBpe(path)
+
+
 _RUN = re.compile(r"\s\s").search
 _EDGE = re.compile(r"^\s|\s$").search
 _CLEAN = re.compile(r"(?<=\S) (?=\S)")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
-from tallyhouse.llm.shared import slices, written
+from tallyhouse.llm.shared import set_aside, slices, written
 
 SHINGLE = 4
 SEED = 42
@@ -353,10 +353,11 @@ def representatives(docs: DataFrame) -> DataFrame:
     row with a null doc_id stays if no row of its component has one. Rows have keys of
     their own, so rows of one doc_id with different texts are judged each.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    texts = rows.select(F.col("__row").alias("row"), F.col("text").cast("string").alias("text"))
+    held, back = set_aside(docs, "doc_id", "text")
+    rows = written(held.withColumn("row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select("row", F.col("text").cast("string").alias("text"))
     own = written(
-        rows.select("__row", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
             _signed, "row long, doc_id long, key long, bands array<long>"
         ),
         "signed",
@@ -377,5 +378,5 @@ def representatives(docs: DataFrame) -> DataFrame:
     best = own.groupBy("key").agg(F.min(order).alias("x")).join(roots, "key", "left")
     chosen = best.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("x").alias("x")).select("x.*")
     repeated = own.join(chosen.select("key", "doc_id"), ["key", "doc_id"]).select("row")
-    kept = repeated.union(chosen.where("none").select("row")).select(F.col("row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    kept = repeated.union(chosen.where("none").select("row"))
+    return rows.join(kept, "row", "left_semi").select(*back)

@@ -498,3 +498,60 @@ def test_forest_recall(spark):
     for query, found in zip(queries, forest.Forest(vectors).candidates(queries, int(forest.SHARE * 4000))):
         hits += len(set(np.argsort(-(vectors @ query))[:20]) & set(found.tolist()))
     assert hits / (20 * len(queries)) >= 0.9
+
+
+# --- whole stages, clashing names, exact search for room ---
+
+
+def plain_balance(lengths, capacity):
+    """Every sequence is looked at for every piece."""
+    sizes = packing.sequence_sizes(sum(lengths), capacity)
+    pieces, rest, full = [], [], 0
+    for document, length in enumerate(lengths):
+        for start in range(0, length - length % capacity, capacity):
+            pieces.append((document, start, capacity, full, 0))
+            full += 1
+        if length % capacity:
+            rest.append((length % capacity, document, length - length % capacity))
+    rest.sort(key=lambda x: (-packing.attention_cost(x[0]), x[1]))
+    left = {q: size for q, size in enumerate(sizes) if q >= full}
+    cost = dict.fromkeys(left, 0.0)
+    for length, document, start in rest:
+        while length:
+            fits = [q for q in left if left[q] >= length] or [q for q in left if left[q]]
+            chosen = min(fits, key=lambda q: (cost[q], q))
+            taken = min(length, left[chosen])
+            pieces.append((document, start, taken, chosen, sizes[chosen] - left[chosen]))
+            left[chosen] -= taken
+            cost[chosen] += packing.attention_cost(taken)
+            start, length = start + taken, length - taken
+    return pieces
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 70), max_size=60), st.sampled_from([1, 7, 16, 32]))
+def test_documents_are_cut_only_where_none_has_room(lengths, capacity):
+    assert packing.balance(lengths, capacity) == plain_balance(lengths, capacity)
+
+
+def test_room_is_found_among_many_sequences():
+    random = np.random.default_rng(11)
+    lengths = [int(x) for x in np.minimum(random.lognormal(5.5, 1.1, 3000), 9000) + 1]
+    assert packing.balance(lengths) == plain_balance(lengths, packing.CAPACITY)
+
+
+def test_stages_keep_clashing_columns(spark):
+    """Columns with names that the stages use keep value and type through both of them."""
+    random = np.random.default_rng(8)
+    words = ["alpha", "beta", "gamma", "delta", "of", "the", "a", "singular", "tree", "house"]
+    rows = [(i, " ".join(random.choice(words, 90))) for i in range(60)]
+    names = ["rules", "verdict", "__words", "__text", "row", "__row", "key", "lang_key", "x0", "group", "odd`name", "a.b"]
+    frame = docs_of(spark, rows, extra=False).select(
+        "*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names)
+    )
+    for stage in (robust_rules.kept_documents, simhash.representatives):
+        kept = stage(frame)
+        assert kept.dtypes == frame.dtypes
+        wanted = {r[0]: tuple(r) for r in frame.collect()}
+        found = kept.collect()
+        assert found and all(tuple(r) == wanted[r[0]] for r in found)
