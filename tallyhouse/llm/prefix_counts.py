@@ -39,7 +39,7 @@ class PrefixCounts:
     that of the prefix as a text of its own.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         letters = byte_letters()

@@ -75,7 +75,7 @@ class ByteBpe:
     ``limit`` words, so memory stays bounded; results do not depend on it.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -113,21 +113,38 @@ class ByteBpe:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [None if any(s in t for s in self._special) else words_of(t) for t in texts]
         if len(self._words) > self._limit:
             self._words.clear()
         known = self._words
-        new = {w for words in cut if words for w in words[1:] if w not in known and w}
+        known[""] = known.get("") or self._whole(" ")
+        cut: list[list[str] | None] = []
+        held: list[list[bytes | None]] = []
+        new: set[str] = set()
+        for text in texts:
+            if any(special in text for special in self._special):
+                cut.append(None)
+                held.append([self._whole(text)])
+                continue
+            words = words_of(text)
+            # One look-up a word; the first one follows no space.
+            found = list(map(known.get, words))
+            found[0] = self._whole(words[0])
+            if None in found:
+                new.update(word for word, ids in zip(words, found) if ids is None)
+                cut.append(words)
+            else:
+                cut.append(None)
+            held.append(found)
         clean = [w for w in new if " " not in w and not _EDGE(w)]
         if clean:
             self._learn(clean)
         for word in new.difference(clean):
             known[word] = self._whole(" " + word)
-        known[""] = self._whole(" ")
         return [
-            self._whole(text) if words is None
-            else self._whole(words[0]) + b"".join([known[w] for w in words[1:]])
-            for text, words in zip(texts, cut)
+            b"".join(found)
+            if words is None
+            else b"".join([known[word] if ids is None else ids for word, ids in zip(words, found)])
+            for words, found in zip(cut, held)
         ]
 
 
