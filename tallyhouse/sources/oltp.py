@@ -50,6 +50,10 @@ def typed(frame: DataFrame, name: str) -> DataFrame:
     return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])
 
 
+# Lists that one task can read; other tables need a split, or to be named by the caller.
+SMALL_TABLES = frozenset(["categories", "brands", "coupons", "warehouses", "payment_methods"])
+
+
 @dataclass
 class JdbcSource:
     """Tables of a database. Spark pushes column lists and filters into its queries."""
@@ -60,6 +64,7 @@ class JdbcSource:
     splits: dict[str, Split | UuidSplit] = field(default_factory=dict)
     schema: str = "public"
     fetch_rows: int = 10_000
+    small: frozenset[str] = SMALL_TABLES
 
     def options(self, name: str) -> dict[str, str]:
         chosen = {
@@ -79,7 +84,11 @@ class JdbcSource:
         return chosen
 
     def table(self, name: str) -> DataFrame:
-        split, options = self.splits.get(name), self.options(name)
+        split = self.splits.get(name)
+        if split is None and name not in self.small:
+            # One task would read all of it over one connection.
+            raise ValueError(f"{name} needs a split, or has to be named among the small tables")
+        options = self.options(name)
         if isinstance(split, UuidSplit):
             url, table = options.pop("url"), options.pop("dbtable")
             rows = self.spark.read.jdbc(

@@ -29,7 +29,7 @@ def pipeline(spark, tmp_path_factory):
 
 
 def test_all_layers_are_written(pipeline, spark):
-    for layer, count in (("bronze", 23), ("silver", 21), ("gold", 24)):
+    for layer, count in (("bronze", 23), ("silver", 21), ("gold", 25)):
         tables = spark.catalog.listTables(pipeline.database(layer))
         # In gold, the state is one of the views.
         assert len([table for table in tables if table.tableType == "VIEW"]) == count
@@ -335,6 +335,12 @@ def test_jdbc_options(spark):
     assert "numPartitions" not in source.options("coupons")
 
 
+def test_a_large_table_needs_a_split(spark):
+    source = JdbcSource(spark, "jdbc:postgresql://host/shop", {})
+    with pytest.raises(ValueError, match="order_items needs a split"):
+        source.table("order_items")
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7, 64])
 def test_uuid_ranges_hold_each_row_once(spark, parts):
     keys = spark.sql(
