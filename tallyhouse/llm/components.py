@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import written
+from tallyhouse.operators.joins import join_grouped
 
 
 def _lowered(links: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over links (a > b)."""
+    """One large-star and one small-star step over links (a > b); the links of a hub can be
+    split among tasks."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
     least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    star = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
+    star = join_grouped(both, least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     down = written(star.where("a > b").distinct(), "star")
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     return (
-        down.join(least, "a")
+        join_grouped(down, least, "a")
         .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("x"))
         .select("x.*")
         .where("a > b")

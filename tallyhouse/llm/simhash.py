@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
@@ -24,17 +24,6 @@ TILE = 1024
 # Six blocks of bits: four differing bits leave two blocks at least untouched.
 EDGES = (0, 11, 22, 33, 44, 54, 64)
 
-# Copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 at least.
-# Fingerprints of such texts lie 10 bits apart on average, too far for blocks of bits, so
-# pairs are proposed by bands of least hashes: at 0.8 one in 14,000 pairs shares no band,
-# at 0.9 fewer than one in a thousand million. Each is verified on the whole sets.
-COPY_SHINGLE = 5
-ALIKE = (4, 5)  # four fifths, in whole numbers
-BANDS, BAND_ROWS = 24, 5
-COPY_TILE = 512  # texts that one task compares with each other
-FIRST_BANDS = 2  # bands compared at first; others meet only where these leave texts apart
-_MIXERS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), dtype=np.uint64) | np.uint64(1)
-
 
 def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Hashes of a text's shingles of ``size`` words in order; a shorter text is one."""
@@ -63,17 +52,15 @@ def fingerprint(text: str | None) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(found)], names=["doc_id", "fp"]
-        )
+        *keys, texts = batch.columns
+        found = np.array([fingerprint(t) for t in texts.to_pylist()], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(found)], names=[*batch.schema.names[:-1], "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of each row of ``docs`` (doc_id, text); fp is a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _fingerprints, "doc_id long, fp long"
-    )
+def fingerprints(docs: DataFrame, *keys: str) -> DataFrame:
+    """The columns ``keys`` (longs) of each row of ``docs``, and fp of its text, a signed long."""
+    own = docs.select(*(F.col(key).cast("long").alias(key) for key in keys), F.col("text").cast("string"))
+    return own.mapInArrow(_fingerprints, ", ".join(f"{key} long" for key in (*keys, "fp")))
 
 
 def pivot_table(fps: np.ndarray, count: int = PIVOTS) -> np.ndarray:
@@ -185,6 +172,17 @@ def links(fps: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(_compare, "a long, b long")
 
 
+def _rooted(own: DataFrame, least: Column) -> DataFrame:
+    """(fp, least, root) for each fingerprint of ``own``: the aggregate ``least`` of its rows
+    and the least fingerprint it reaches by links. One row per fingerprint, however many
+    copies a text has."""
+    distinct = written(own.groupBy("fp").agg(least.alias("least")), "distinct")
+    roots = components(links(distinct.select("fp"))).select(F.col("node").alias("fp"), "root")
+    return written(
+        distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted"
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs`` (doc_id, text).
 
@@ -194,189 +192,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     returned, but never is a component's id unless all its members are null; an empty
     table gives no rows; other columns are not read.
     """
-    own = written(fingerprints(docs), "fingerprints")
-    # One row per fingerprint from here on, however many copies a text has.
-    distinct = written(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"))).select(F.col("node").alias("fp"), "root")
-    rooted = written(
-        distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted"
-    )
+    own = written(fingerprints(docs, "doc_id"), "fingerprints")
+    rooted = _rooted(own, F.min("doc_id"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return own.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id"
     )
 
 
-# --- copies, for the pipeline's stage ---
-
-
-def bands_of(hashes: np.ndarray) -> np.ndarray:
-    """A hash for each band of BAND_ROWS least mixed hashes of a set; at least one hash."""
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        mixed = (hashes[None, at : at + 2048] ^ _MIXERS[0]) * _MIXERS[1]
-        np.minimum(least, mixed.min(axis=1), out=least)
-    parts = least.reshape(BANDS, BAND_ROWS)
-    return np.array([xxhash.xxh64_intdigest(p.tobytes(), n) for n, p in enumerate(parts)], np.uint64).view(np.int64)
-
-
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        keys, bands = [], []
-        for text in batch.column(2).to_pylist():
-            found = np.unique(shingle_hashes(text, COPY_SHINGLE))
-            keys.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
-            bands.append(bands_of(found).tolist() if len(found) else [])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array(np.array(keys, np.uint64).view(np.int64)),
-                pa.array(bands, pa.list_(pa.int64())),
-            ],
-            names=["row", "doc_id", "key", "bands"],
-        )
-
-
-def alike_runs(
-    keys: np.ndarray, roots: np.ndarray, parts: np.ndarray, sets: list[np.ndarray]
-) -> list[tuple[int, int]]:
-    """Links (a > b) of keys that join the same rows as all pairs of sets that are alike.
-
-    Rows of one root are joined already, and so are rows that links lead to: only others
-    are compared. ``parts`` are 0 or 1 for the two tiles of a pair, whose inner pairs have met
-    before, and -1 where all rows meet.
-    """
-    label = np.unique(roots, return_inverse=True)[1]
-    sizes = np.array([len(x) for x in sets])
-    starts = np.cumsum(sizes) - sizes
-    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(names), bool)
-    of, whole = ALIKE
-    out = []
-    for i in range(len(keys) - 1):
-        meets = label[i + 1 :] != label[i]
-        meets &= (whole * sizes[i + 1 :] >= of * sizes[i]) & (whole * sizes[i] >= of * sizes[i + 1 :])
-        meets &= (parts[i + 1 :] < 0) | (parts[i + 1 :] != parts[i])
-        others = i + 1 + np.flatnonzero(meets)
-        if not len(others):
-            continue
-        own = ids[starts[i] : starts[i] + sizes[i]]
-        mark[own] = True
-        shared = np.array([np.count_nonzero(mark[ids[starts[j] : starts[j] + sizes[j]]]) for j in others])
-        mark[own] = False
-        # Shared over united hashes.
-        for j in others[whole * shared >= of * (sizes[i] + sizes[others] - shared)]:
-            if label[j] != label[i]:
-                out.append((int(max(keys[i], keys[j])), int(min(keys[i], keys[j]))))
-                label[label == label[j]] = label[i]
-    return out
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within the buckets of a partition sorted by bucket and tile."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    held: list[tuple] = []
-    at = None
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if len(held) > 1:
-            keys, roots, parts, texts = zip(*held)
-            sets = [np.unique(shingle_hashes(t, COPY_SHINGLE)) for t in texts]
-            found = alike_runs(np.array(keys), np.array(roots), np.array(parts), sets)
-            if found:
-                a, b = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
-        held.clear()
-
-    for batch in slices(batches):
-        for bucket, tile, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-            if (bucket, tile) != at:
-                yield from flush()
-                at = (bucket, tile)
-            held.append(tuple(rest))
-    yield from flush()
-
-
-def _compared(members: DataFrame, roots: DataFrame | None, texts: DataFrame, tiles: str) -> DataFrame:
-    """Links (a > b) of the rows (bucket, key, row) that share a bucket and are alike.
-
-    Buckets of over COPY_TILE rows are cut in tiles. ``tiles`` "own" compares the rows of a tile
-    with each other and with one row of the bucket, which is all there is to do in other
-    buckets; "pairs" compares the tiles of such buckets with each other. Buckets whose rows
-    are joined already are left out, and of buckets of the same rows all but one.
-    """
-    if roots is None:
-        members = members.withColumn("root", F.col("key"))
-    else:
-        members = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    met = members.groupBy("bucket").agg(
-        F.count("*").alias("n"),
-        F.min("row").alias("first"),
-        F.bit_xor(F.xxhash64("row")).alias("x"),
-        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"),
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
-    )
-    met = met.where("low < high" if tiles == "own" else f"low < high and n > {COPY_TILE}")
-    met = met.groupBy("n", "first", "x", "y").agg(F.min("bucket").alias("bucket"))
-    rows = members.join(met.select("bucket", "n", "first"), "bucket").withColumn("tiles", F.ceil(F.col("n") / COPY_TILE))
-    tile = F.pmod(F.xxhash64("row"), F.col("tiles"))
-    every = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
-    if tiles == "own":
-        places = F.when(F.col("row") == F.col("first"), every).otherwise(F.array(tile))
-        spots = F.transform(places, lambda t: F.struct(t.alias("tile"), F.lit(-1).alias("part")))
-    else:
-        spots = F.transform(
-            F.filter(every, lambda other: other != tile),
-            lambda other: F.struct(
-                (F.least(tile, other) * F.col("tiles") + F.greatest(tile, other)).alias("tile"),
-                F.when(tile < other, 0).otherwise(1).alias("part"),
-            ),
-        )
-    rows = rows.select("bucket", "key", "row", "root", F.explode(spots).alias("spot"))
-    rows = rows.select("bucket", "spot.tile", "key", "root", "spot.part", "row").join(texts, "row")
-    sorted_ = rows.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "row")
-    return sorted_.select("bucket", "tile", "key", "root", "part", "text").mapInArrow(_alike, "a long, b long")
-
-
-def _roots(links: DataFrame) -> DataFrame:
-    return components(links).select(F.col("node").alias("key"), "root")
-
-
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any columns) that stand for their component.
 
-    Rows are linked if the Jaccard similarity of their sets of five-word shingles is 0.8
-    or more; rows without a word are copies of each other. Of each component one row
-    stays, the one with the least doc_id, and rows that repeat its doc_id and its set; a
-    row with a null doc_id stays if no row of its component has one. Rows have keys of
-    their own, so rows of one doc_id with different texts are judged each.
+    Rows are linked as in ``near_duplicates``. Of each component one row stays, the one
+    with the least doc_id; a null doc_id comes behind all others, and of equal ones any
+    row stays, but one alone. Null and empty texts are copies of each other. Columns come
+    back as they are, whatever their names; an empty table gives no rows. The texts are
+    not shuffled.
     """
     held, back = set_aside(docs, "doc_id", "text")
     rows = written(held.withColumn("row", F.monotonically_increasing_id()), "rows")
-    texts = rows.select("row", F.col("text").cast("string").alias("text"))
-    own = written(
-        rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-            _signed, "row long, doc_id long, key long, bands array<long>"
-        ),
-        "signed",
-    )
-    # One row per set of shingles from here on, however many copies a text has.
-    least = own.groupBy("key").agg(F.min("row").alias("row"))
-    members = written(
-        own.join(least, ["row", "key"]).select("row", "key", F.posexplode("bands").alias("number", "bucket")), "bands"
-    )
-    first = written(_compared(members.where(F.col("number") < FIRST_BANDS), None, texts, "own"), "first")
-    roots = _roots(first)
-    more = written(first.union(_compared(members.where(F.col("number") >= FIRST_BANDS), roots, texts, "own")), "more")
-    roots = _roots(more)
-    rest = written(more.union(_compared(members, roots, texts, "pairs")), "rest")
-    roots = _roots(rest)
-
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "key").alias("x")
-    best = own.groupBy("key").agg(F.min(order).alias("x")).join(roots, "key", "left")
-    chosen = best.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("x").alias("x")).select("x.*")
-    repeated = own.join(chosen.select("key", "doc_id"), ["key", "doc_id"]).select("row")
-    kept = repeated.union(chosen.where("none").select("row"))
-    return rows.join(kept, "row", "left_semi").select(*back)
+    own = written(fingerprints(rows, "row", "doc_id"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    chosen = _rooted(own, F.min(order)).groupBy("root").agg(F.min("least").alias("least"))
+    return rows.join(chosen.select("least.row"), "row", "left_semi").select(*back)
