@@ -15,8 +15,9 @@ from tallyhouse.llm.shared import set_aside, written
 
 SPACE = r"[ \t\n\x0B\f\r]+"
 WINDOW = 5
-# Groups with fewer rows are pooled by language, and then over all languages.
-SMALLEST_GROUP = 200
+# Rows of its language that stand next to a group's own ones, and rows of all languages
+# next to a language's: so estimates of small groups lean on others, without a switch.
+PRIOR_ROWS = 200
 # Share of a group's rows that the covariance with the least determinant covers.
 CORE = 0.75
 STEPS = 4
@@ -130,22 +131,30 @@ XS = [f"x{i}" for i in range(DIMENSIONS)]
 PAIRS = list(combinations_with_replacement(range(DIMENSIONS), 2))
 
 
-def _grid_quantile(rows: DataFrame, keys: list[str], value: str, share: float, width: float) -> DataFrame:
-    """keys and ``edge``: upper edge of the grid cell that holds the quantile. Cells
-    are counted before they meet, and a group has as many cells as its range is wide."""
-    cells = rows.groupBy(*keys, F.floor(F.col(value) / width).alias("cell")).agg(F.count("*").alias("n"))
+def _cells(rows: DataFrame, keys: list[str], value: str, width: float) -> DataFrame:
+    """Rows by grid cell. A group has as many cells as its range is wide, whatever its rows."""
+    return rows.groupBy(*keys, F.floor(F.col(value) / width).alias("cell")).agg(F.count("*").alias("n"))
+
+
+def _quantile(cells: DataFrame, keys: list[str], share: float, width: float) -> DataFrame:
+    """keys, ``edge``, the upper edge of the grid cell that holds the quantile, and rows."""
+    merged = cells.groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
     up_to = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    counted = cells.select(
+    counted = merged.select(
         "*",
         F.sum("n").over(up_to).alias("below"),
         F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
     )
     rank = F.ceil(share * F.col("total"))
     return counted.where((F.col("below") >= rank) & (F.col("below") - F.col("n") < rank)).select(
-        *keys, ((F.col("cell") + 1) * width).alias("edge")
+        *keys, ((F.col("cell") + 1) * width).alias("edge"), "total"
     )
 
 
+def _grid_quantile(rows: DataFrame, keys: list[str], value: str, share: float, width: float) -> DataFrame:
+    return _quantile(_cells(rows, keys, value, width), keys, share, width).drop("total")
+
+
 def _factor(moments: DataFrame) -> DataFrame:
     """Means and the triangular factor of the covariance, its diagonal floored."""
     out = moments
@@ -176,54 +185,71 @@ def _squared_distance() -> Column:
     return sum(value * value for value in z)
 
 
-def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        *(F.avg(x).alias(f"m{i}") for i, x in enumerate(XS)),
-        *(F.avg(F.col(XS[i]) * F.col(XS[j])).alias(f"p{i}{j}") for i, j in PAIRS),
+MOMENTS = [f"m{i}" for i in range(DIMENSIONS)] + [f"p{i}{j}" for i, j in PAIRS]
+GROUP = ["lang_key", "source_key"]
+
+
+def _leaning(own: DataFrame, behind: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Means of ``own`` (sums ``values`` over ``n`` rows), as if PRIOR_ROWS rows with the
+    means of ``behind`` stood next to them."""
+    means = behind.select(*keys, *(F.col(v).alias(f"behind_{v}") for v in values))
+    return own.join(means, keys).select(
+        *(c for c in own.columns if c not in values and c != "n"),
+        *(((F.col(v) + PRIOR_ROWS * F.col(f"behind_{v}")) / (F.col("n") + PRIOR_ROWS)).alias(v) for v in values),
     )
 
 
-def group_levels(sizes: DataFrame) -> DataFrame:
-    """For each language and source the group whose estimate it takes."""
-    small = F.col("n") < SMALLEST_GROUP
-    pooled = sizes.where(small).groupBy("lang_key").agg(F.sum("n").alias("pool"))
-    return sizes.join(pooled, "lang_key", "left").select(
-        "lang_key",
-        "source_key",
-        F.when(~small, F.concat_ws("\t", "lang_key", "source_key"))
-        .when(F.col("pool") >= SMALLEST_GROUP, F.concat_ws("\t", "lang_key", F.lit("*")))
-        .otherwise("*")
-        .alias("group"),
+def _moments(core: DataFrame) -> DataFrame:
+    """Means and mean products of each group and start, leaning on its language's."""
+    products = [F.sum(x) for x in XS] + [F.sum(F.col(XS[i]) * F.col(XS[j])) for i, j in PAIRS]
+    sums = written(
+        core.groupBy(*GROUP, "start").agg(F.count("*").alias("n"), *(p.alias(v) for p, v in zip(products, MOMENTS))),
+        "core",
     )
+    merged = [F.sum(v).alias(v) for v in ("n", *MOMENTS)]
+    whole = sums.groupBy("start").agg(*merged).select("start", *((F.col(v) / F.col("n")).alias(v) for v in MOMENTS))
+    language = _leaning(sums.groupBy("lang_key", "start").agg(*merged), whole, ["start"], MOMENTS)
+    return _leaning(sums, language, ["lang_key", "start"], MOMENTS)
+
+
+def _middles(distances: DataFrame) -> DataFrame:
+    """Medians of ``rank`` by group, leaning on the median of the language."""
+    cells = written(_cells(distances, GROUP, "rank", 0.02), "ranks").withColumn("all", F.lit(0))
+
+    def of(*keys: str) -> DataFrame:
+        found = _quantile(cells, list(keys), 0.5, 0.02)
+        return found.select(*keys, F.col("total").alias("n"), (F.col("edge") * F.col("total")).alias("edge"))
+
+    whole = of("all").select("all", (F.col("edge") / F.col("n")).alias("edge"))
+    language = _leaning(of("lang_key").withColumn("all", F.lit(0)), whole, ["all"], ["edge"])
+    return _leaning(of(*GROUP), language, ["lang_key"], ["edge"])
 
 
 def fit(rows: DataFrame) -> DataFrame:
-    """Estimates by group from rows (lang_key, source_key, x0 to x4).
+    """Estimates for each language and source from rows (lang_key, source_key, x0 to x4).
 
     Two starts per group, scaled by the median and the deviation from it: by the sum
     and by the maximum of the scaled coordinates. Each of STEPS concentration steps
     takes the CORE share of rows nearest to the last estimate and estimates anew; the
-    start that ends with the smaller determinant stays. Ranks are counted on a fine
-    grid, so they are sums that no order of rows changes.
+    start that ends with the smaller determinant stays. Estimates lean on the language's
+    core, and that on the core of all, with the weight of PRIOR_ROWS rows. Ranks are
+    counted on a fine grid, so they are sums that no order of rows changes.
     """
-    levels = written(
-        group_levels(rows.groupBy("lang_key", "source_key").agg(F.count("*").alias("n"))), "levels"
-    )
-    grouped = rows.join(levels, ["lang_key", "source_key"]).select("group", *XS)
-    long = grouped.select(
-        "group",
+    rows = rows.select(*GROUP, *XS)
+    long = rows.select(
+        *GROUP,
         F.explode(
             F.array(*(F.struct(F.lit(i).alias("i"), F.col(x).alias("v")) for i, x in enumerate(XS)))
         ).alias("s"),
-    ).select("group", "s.i", "s.v")
-    middle = written(_grid_quantile(long, ["group", "i"], "v", 0.5, 0.01), "middle")
-    off = long.join(middle.withColumnRenamed("edge", "middle"), ["group", "i"]).select(
-        "group", "i", F.abs(F.col("v") - F.col("middle")).alias("off")
+    ).select(*GROUP, "s.i", "s.v")
+    middle = written(_grid_quantile(long, [*GROUP, "i"], "v", 0.5, 0.01), "middle")
+    off = long.join(middle.withColumnRenamed("edge", "middle"), [*GROUP, "i"]).select(
+        *GROUP, "i", F.abs(F.col("v") - F.col("middle")).alias("off")
     )
-    deviation = _grid_quantile(off, ["group", "i"], "off", 0.5, 0.01).withColumnRenamed("edge", "off")
+    deviation = _grid_quantile(off, [*GROUP, "i"], "off", 0.5, 0.01).withColumnRenamed("edge", "off")
     start = written(
-        middle.join(deviation, ["group", "i"])
-        .groupBy("group")
+        middle.join(deviation, [*GROUP, "i"])
+        .groupBy(*GROUP)
         .agg(
             *(F.max(F.when(F.col("i") == i, F.col("edge"))).alias(f"m{i}") for i in range(DIMENSIONS)),
             *(F.max(F.when(F.col("i") == i, F.col("off"))).alias(f"s{i}") for i in range(DIMENSIONS)),
@@ -234,8 +260,8 @@ def fit(rows: DataFrame) -> DataFrame:
         (F.col(x) - F.col(f"m{i}")) / F.greatest(F.col(f"s{i}") * 1.4826, F.lit(FLOORS[i]))
         for i, x in enumerate(XS)
     ]
-    near = grouped.join(start, "group").select(
-        "group",
+    near = rows.join(start, GROUP).select(
+        *GROUP,
         *XS,
         F.explode(
             F.array(
@@ -243,9 +269,9 @@ def fit(rows: DataFrame) -> DataFrame:
                 F.struct(F.lit(1).alias("start"), F.greatest(*(z * z for z in scaled)).alias("d2")),
             )
         ).alias("s"),
-    ).select("group", *XS, "s.start", "s.d2")
-    keys = ["group", "start"]
-    twice = grouped.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+    ).select(*GROUP, *XS, "s.start", "s.d2")
+    keys = [*GROUP, "start"]
+    twice = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     model = None
     for step in range(STEPS):
         if step:
@@ -253,15 +279,14 @@ def fit(rows: DataFrame) -> DataFrame:
         ranked = near.withColumn("rank", F.log(F.col("d2") + 1e-6))
         limit = written(_grid_quantile(ranked, keys, "rank", CORE, 0.02), "limit")
         core = ranked.join(limit, keys).where(F.col("rank") < F.col("edge"))
-        model = written(_factor(_moments(core, keys)), "core")
-    best = model.groupBy("group").agg(
+        model = written(_factor(_moments(core)), "model")
+    best = model.groupBy(*GROUP).agg(
         F.min_by(F.struct(*(c for c in model.columns if c not in keys)), F.struct("spread", "start")).alias("e")
-    ).select("group", "e.*")
-    distances = grouped.join(best, "group").select("group", F.log(_squared_distance() + 1e-6).alias("rank"))
-    middle = _grid_quantile(distances, ["group"], "rank", 0.5, 0.02)
+    ).select(*GROUP, "e.*")
+    distances = rows.join(best, GROUP).select(*GROUP, F.log(_squared_distance() + 1e-6).alias("rank"))
     scale = F.greatest(F.exp("edge") / CHI_MEDIAN, F.lit(1.0)).alias("scale")
-    return written(levels.join(best, "group").join(middle, "group").select(
-        "lang_key", "source_key", *best.drop("group", "spread").columns, scale
+    return written(best.drop("spread").join(_middles(distances), GROUP).select(
+        *GROUP, *best.drop(*GROUP, "spread").columns, scale
     ), "estimates")
 
 
@@ -309,9 +334,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     A null text has no words, and fails the base rules as an empty one does; null or
     missing lang and source form groups of their own; repeated rows are judged each
     alike; an empty table gives no rows; further columns are not read. Texts are read
-    whole. Groups with fewer than SMALLEST_GROUP rows take the estimate of their
-    language's small groups together, and those in turn that of all small groups; where
-    no row passes the base rules there is no estimate and no second rule.
+    whole. The estimate of a language and source leans on its language's, with the weight of
+    PRIOR_ROWS rows, and that on the one of all; where no row passes the base rules there
+    is no estimate and no second rule.
     """
     columns = [c for c in ("lang", "source") if c in docs.columns]
     rows = written(

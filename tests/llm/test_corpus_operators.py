@@ -361,6 +361,103 @@ def test_rules_reject_outliers_only(spark):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == set(range(400))
 
 
+def plain_vector(text):
+    words, chars, symbols, dup, repeats = plain_statistics(text)
+    lines = max(len([x for x in (text or "").split("\n") if x.strip(" \t\n\v\f\r")]), 1)
+    n, c = max(words, 1), max(chars, 1)
+    return [math.log(n), math.log(c / n), math.log1p(100 * symbols / c), math.log1p(dup) * dup / lines, math.sqrt(repeats / n)]
+
+
+def plain_distances(groups):
+    """Squared distances of the rows of each (language, source) of vectors, in loops of numpy."""
+    rules, d = robust_rules, robust_rules.DIMENSIONS
+
+    def edge(values, share, width):
+        value = np.sort(values)[math.ceil(share * len(values)) - 1]
+        return (math.floor(value / width) + 1) * width
+
+    def leaning(parts, weigh):
+        """Sums and rows by group to means that lean on the language and on all."""
+        k, prior = {}, rules.PRIOR_ROWS
+        whole = sum(p for p, _ in parts.values()) / sum(n for _, n in parts.values()) if weigh is None else weigh["all"]
+        for lang in {lang for lang, _ in parts}:
+            own = [parts[g] for g in parts if g[0] == lang]
+            total, n = (sum(p for p, _ in own), sum(n for _, n in own)) if weigh is None else weigh[lang]
+            behind = (total + prior * whole) / (n + prior)
+            k |= {g: (p + prior * behind) / (n + prior) for g, (p, n) in parts.items() if g[0] == lang}
+        return k
+
+    def factor(mean):
+        m, p = mean[0], mean[1:]
+        cov, low = p - np.outer(m, m), np.zeros((d, d))
+        for j in range(d):
+            for i in range(j, d):
+                value = cov[i, j] - low[i, :j] @ low[j, :j]
+                low[i, j] = math.sqrt(max(value, 0) + rules.FLOORS[j] ** 2) if i == j else value / low[j, j]
+        return m, low
+
+    def squared(x, model):
+        return np.square(np.linalg.solve(model[1], (x - model[0]).T)).sum(axis=0)
+
+    starts = []
+    for start in (0, 1):
+        near = {}
+        for g, x in groups.items():
+            middle = np.array([edge(v, 0.5, 0.01) for v in x.T])
+            off = np.array([edge(v, 0.5, 0.01) for v in abs(x - middle).T])
+            z2 = np.square((x - middle) / np.maximum(off * 1.4826, rules.FLOORS))
+            near[g] = z2.max(axis=1) if start else z2.sum(axis=1)
+        for step in range(rules.STEPS):
+            if step:
+                near = {g: squared(x, models[g]) for g, x in groups.items()}
+            parts = {}
+            for g, x in groups.items():
+                rank = np.log(near[g] + 1e-6)
+                core = x[rank < edge(rank, rules.CORE, 0.02)]
+                parts[g] = np.vstack([core.sum(axis=0), core.T @ core]), len(core)
+            models = {g: factor(mean) for g, mean in leaning(parts, None).items()}
+        starts.append(models)
+    spread = lambda model: np.log(np.diag(model[1])).sum()
+    best = {g: min((s[g] for s in starts), key=spread) for g in groups}
+    found = {g: squared(x, best[g]) for g, x in groups.items()}
+    ranks = {g: np.log(f + 1e-6) for g, f in found.items()}
+    medians = {g: (edge(r, 0.5, 0.02) * len(r), len(r)) for g, r in ranks.items()}
+    levels = {"all": edge(np.concatenate(list(ranks.values())), 0.5, 0.02)}
+    for lang in {lang for lang, _ in groups}:
+        own = np.concatenate([r for g, r in ranks.items() if g[0] == lang])
+        levels[lang] = edge(own, 0.5, 0.02) * len(own), len(own)
+    scale = {g: max(math.exp(e) / rules.CHI_MEDIAN, 1) for g, e in leaning(medians, levels).items()}
+    return {g: f / scale[g] for g, f in found.items()}
+
+
+def test_rules_are_those_of_a_plain_estimate(spark):
+    """Groups of one to 300 rows, null languages and sources, planted outliers."""
+    random = np.random.default_rng(12)
+    words = ["alpha", "beta", "gamma", "delta", "of", "the", "a", "singular", "tree", "house", "so#me", "lin&e\n"]
+    rows = []
+    for lang, source, n in [("en", "a", 300), ("en", "b", 40), ("en", None, 1), ("de", "a", 90), (None, "c", 7), (None, None, 2)]:
+        for i in range(n):
+            mark = "$$$" if i % 17 == 3 else ""
+            text = " ".join(w + mark for w in random.choice(words, random.integers(60, 200)))
+            rows.append((len(rows), text, lang, source))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    passed = {}
+    for key, text, lang, source in rows:
+        s = plain_statistics(text)
+        if s[0] >= 10 and 100 * s[4] <= 20 * s[0]:
+            passed.setdefault((lang, source), []).append((key, plain_vector(text)))
+    wanted = plain_distances({g: np.array([v for _, v in own]) for g, own in passed.items()})
+    wanted = {key: float(d) for g, own in passed.items() for (key, _), d in zip(own, wanted[g])}
+    found = {r["doc_id"]: r for r in robust_rules.quality_rules(frame).collect()}
+    assert len(found) == len(rows) and len(wanted) > 400
+    for key, distance in wanted.items():
+        assert math.isclose(found[key]["distance"], distance, rel_tol=1e-6, abs_tol=1e-9)
+        assert found[key]["kept"] == (distance <= robust_rules.CUTOFF)
+    assert not all(found[key]["kept"] for key in wanted)
+    kept = {r["doc_id"] for r in robust_rules.kept_documents(frame).collect()}
+    assert kept == {key for key, distance in wanted.items() if distance <= robust_rules.CUTOFF}
+
+
 def test_label_model_trusts_the_accurate():
     random = np.random.default_rng(1)
     truth = random.random(4000) < 0.7
