@@ -644,3 +644,140 @@ def test_stages_keep_clashing_columns(spark):
         wanted = {r[0]: tuple(r) for r in frame.collect()}
         found = kept.collect()
         assert found and all(tuple(r) == wanted[r[0]] for r in found)
+
+
+# --- classifier, language model and the pipeline next to plain versions ---
+
+
+def plain_posteriors(cast):
+    """Posterior of "good" of each row of votes, class by class and vote by vote."""
+    share = [(v.count("1") + 1) / (v.count("1") + v.count("0") + 2) for v in cast]
+    for _ in range(weak_labels.EM_STEPS):
+        classes = [[1 - p for p in share], share]
+        prior = [(sum(c) + 1) / (len(cast) + 2) for c in classes]
+        table = {}
+        for labeller in range(len(cast[0])):
+            for c, mass in enumerate(classes):
+                n = [1 + sum(m for m, v in zip(mass, cast) if v[labeller] == x) for x in "01"]
+                table |= {(labeller, c, x): n[int(x)] / sum(n) for x in "01"}
+        odds = [
+            [math.log(prior[c]) + sum(math.log(table[i, c, x]) for i, x in enumerate(v) if x != "2") for c in (0, 1)]
+            for v in cast
+        ]
+        share = [1 / (1 + math.exp(min(max(bad - good, -50), 50))) for bad, good in odds]
+    return share
+
+
+def plain_classifier(texts):
+    """Posteriors, and scores of a logistic scorer over a dense table of features."""
+    posterior = np.array(plain_posteriors([weak_labels.votes(t) for t in texts]))
+    table = np.zeros((len(texts), weak_labels.DIMENSIONS + 1))
+    table[:, -1] = 1
+    for row, text in zip(table, texts):
+        for slot, n in Counter(s for w in (text or "").split() for s in weak_labels._word_features(w)).items():
+            row[slot] = math.log1p(n)
+        row[:-1] /= max(math.sqrt(row[:-1] @ row[:-1]), 1e-9)
+    good = posterior > 0.5
+    prior = min(max(good.mean(), 0.02), 0.98)
+    weight = np.where(good, prior / max(good.mean(), 1e-6), (1 - prior) / max(1 - good.mean(), 1e-6))
+    model, speed = np.zeros(table.shape[1]), 0
+    decay = np.append(np.full(weak_labels.DIMENSIONS, 1e-5), 0)
+    for _ in range(300):
+        error = weight * (1 / (1 + np.exp(-(table @ model))) - posterior) / len(texts)
+        speed = 0.9 * speed - 4.0 * (error @ table + decay * model)
+        model = model + speed
+    return posterior, 1 / (1 + np.exp(-(table @ model)))
+
+
+def mixed_documents(random, n=110):
+    """Clean texts, shouted ones, symbols, repeats, copies, and odd rows."""
+    words = ["alpha", "beta", "gamma", "delta", "of", "the", "a", "singular", "tree", "house", "river", "stone"]
+    texts = []
+    for i in range(n):
+        picked = list(random.choice(words, random.integers(50, 140)))
+        if i % 6 == 1:
+            picked = [w.upper() + "!!" for w in picked]
+        if i % 13 == 5:
+            picked = [w + "##$$" for w in picked]
+        picked[0] = picked[0][0].upper() + picked[0][1:]
+        texts.append(" ".join(picked) + ".")
+        if i % 9 == 0:
+            texts.append(texts[-1].replace("river", "River"))
+    return [*texts, "too short", "one two three four five six seven " * 9, "", None]
+
+
+def test_classifier_is_that_of_a_dense_table(spark):
+    texts = mixed_documents(np.random.default_rng(21))
+    posterior, score = plain_classifier(texts)
+    found = {r["doc_id"]: r for r in weak_labels.classify(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert len(found) == len(texts)
+    for i in range(len(texts)):
+        assert math.isclose(found[i]["posterior"], posterior[i], rel_tol=1e-6, abs_tol=1e-9)
+        assert math.isclose(found[i]["score"], score[i], rel_tol=1e-5)
+        assert found[i]["kept"] == (score[i] >= weak_labels.KEEP_FROM)
+    assert 20 < sum(r["kept"] for r in found.values()) < len(texts)
+
+
+def plain_text_score(model, symbols):
+    """log10 probability of a text's symbols, each from its own context, one at a time."""
+    step, line, total = attention_lm.WINDOW - attention_lm.OVERLAP, [0, *symbols], 0.0
+    log_softmax = lambda z, i: z[i] - z.max() - math.log(np.exp(z - z.max()).sum())
+    for at, symbol in enumerate(symbols):
+        window = 0 if at < attention_lm.WINDOW else 1 + (at - attention_lm.WINDOW) // step
+        seen = line[window * step : at + 1]
+        x = model["embed"][seen] + model["place"][: len(seen)]
+        scores = (x @ model["key"]) @ (x[-1] @ model["query"]) / math.sqrt(attention_lm.HEAD)
+        weights = np.exp(scores - scores.max())
+        h = x[-1] + (weights / weights.sum()) @ (x @ model["value"]) @ model["out"]
+        group, member = divmod(symbol, attention_lm.MEMBERS)
+        total += log_softmax(h @ model["class"] + model["class_bias"], group)
+        total += log_softmax(h @ model["member"][group] + model["member_bias"][group], member)
+    return total / math.log(10)
+
+
+def test_scores_are_those_of_one_symbol_at_a_time(spark):
+    texts = [t for t in mixed_documents(np.random.default_rng(5), 24)]
+    frame = docs_of(spark, list(enumerate(texts)), extra=False).select("doc_id", "text").cache()
+    model, chosen, _ = attention_lm.train(frame, BPE)
+    model = {name: value.astype(np.float64) for name, value in model.items()}
+    symbols = attention_lm.Symbols(BPE, chosen)
+    for r in attention_lm.score(frame, BPE).collect():
+        own = symbols.of([attention_lm.words_of(texts[r["doc_id"]])])[0].tolist()
+        assert math.isclose(r["score"], plain_text_score(model, own), rel_tol=2e-3)
+
+
+def test_pipeline_is_its_plain_stages_in_turn(spark, tmp_path, library):
+    import corpus_pipeline
+
+    texts = mixed_documents(np.random.default_rng(33), 150)
+    rows = [(i, t, None if i % 50 == 7 else "en", f"s{i % 3}") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+
+    groups = {}
+    for key, text, lang, source in rows:
+        s = plain_statistics(text)
+        if s[0] >= 10 and 100 * s[4] <= 20 * s[0]:
+            groups.setdefault((lang, source), []).append(key)
+    distances = plain_distances({g: np.array([plain_vector(texts[k]) for k in keys]) for g, keys in groups.items()})
+    sound = sorted(k for g, keys in groups.items() for k, d in zip(keys, distances[g]) if d <= robust_rules.CUTOFF)
+    scores = plain_classifier([texts[k] for k in sound])[1]
+    good = [k for k, score in zip(sound, scores) if score >= weak_labels.KEEP_FROM]
+    wanted = set(plain_components([plain_fingerprint(texts[k]) for k in good], good))
+    assert len(texts) > len(sound) > len(good) > len(wanted) > 60  # each stage takes some
+
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} == wanted
+    sequences = {}
+    for key in wanted:
+        ids = np.array(library.encode(texts[key], add_special_tokens=False).ids + [1], "<u4")
+        at = 0
+        for r in sorted((r for r in found if r["doc_id"] == key), key=lambda r: r["start"]):
+            piece = ids[at : at + r["length"]]
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(piece.tobytes()))
+            sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+            at += r["length"]
+        assert at == len(ids)
+    for parts in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= packing.CAPACITY
