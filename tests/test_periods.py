@@ -50,3 +50,23 @@ def test_known_numbers_stay(spark):
 def test_unknown_unit_is_refused():
     with pytest.raises(ValueError):
         periods.period("DAY")
+
+
+def test_bitmaps_are_those_of_the_builtin_aggregate_without_its_buffer(spark):
+    """Spark's own bitmap aggregates hold 4 KB for every day and product."""
+    dim = spark.range(2).withColumnRenamed("id", "product_id").crossJoin(spark.range(40_000)).selectExpr(
+        "product_id", "product_id * 1000000000 + 97 * id as variant_id"
+    )
+    numbers = periods.variant_numbers(dim)
+    lines = lines_of(spark, 3000, 40_000)
+    sets = periods.sold_variants(lines, numbers)
+    wanted = (
+        lines.where("is_revenue_order").join(numbers, "variant_id")
+        .groupBy("order_date", "product_id", F.expr("bitmap_bucket_number(number)").alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(number))").alias("bits"))
+    )
+    found = {tuple(r)[:3]: bytes(r.variant_bits) for r in sets.collect()}
+    assert found == {tuple(r)[:3]: bytes(r.bits).rstrip(b"\0") for r in wanted.collect()}
+    for frame in (sets, periods.sku_counts(sets, "MONTH")):
+        assert "bitmap_" not in frame._jdf.queryExecution().optimizedPlan().toString().replace(
+            "bitmap_bucket_number", "").replace("bitmap_bit_position", "")
