@@ -1,7 +1,9 @@
 """Shuffle partitions, and what shuffles leave on disk."""
 
+from pyspark.sql import functions as F
+
 from checks.catalogue import initial_partitions
-from tallyhouse.session import INITIAL_PARTITIONS, ROWS_A_PARTITION, configure, partitions_for
+from tallyhouse.session import INITIAL_PARTITIONS, LEAST_PARTITIONS, ROWS_A_PARTITION, configure, partitions_for
 from tallyhouse.sources.warehouse import Warehouse
 
 
@@ -39,3 +41,15 @@ def test_written_tables_are_small_and_shuffles_are_cleaned(spark, tmp_path):
         assert len(written.orderBy("id").collect()) == 100
     counted = days.groupBy("order_date").count()
     assert len(counted.collect()) == len(counted.collect()) == 100
+
+
+def test_a_large_shuffle_keeps_its_partitions(spark):
+    keys = (INITIAL_PARTITIONS, LEAST_PARTITIONS)
+    before = {key: spark.conf.get(key, None) for key in keys}
+    try:
+        configure(spark, 24)
+        groups = spark.range(400_000).groupBy((F.col("id") * 7919 % 200_003).alias("key")).count()
+        assert groups.rdd.getNumPartitions() == 24
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
