@@ -4,7 +4,8 @@ import datetime as dt
 import random
 from collections import defaultdict
 
-from tallyhouse.operators import sales
+from tallyhouse.operators import marts, sales
+from tallyhouse.plans.medallion import Layer, Model, gold_over
 
 DAY = dt.date(2024, 3, 5)
 LINES = (
@@ -134,3 +135,40 @@ def test_product_mart_counts_without_copying_lines(spark):
     found = {row.product_id: row for row in mart.collect()}
     assert (found[1].sku_count, found[1].order_count, found[1].gross_revenue_cents) == (2, 2, 100)
     assert (found[None].sku_count, found[None].order_count) == (1, 1)
+
+
+def test_product_mart_is_not_joined_at_its_grain(spark):
+    """Refund shares are stacked with the sums; a missing product has none, as in a join."""
+    items = lines(
+        spark,
+        [(1, 1, 1, 1, 50), (2, 1, 1, 2, 30), (3, 1, 1, 2, 20), (4, 2, 1, 2, 10), (5, 2, None, 9, 5), (6, None, 1, 1, 7)],
+    )
+    refunded = refunds(spark, [(1, 10, True), (2, 9, True)])
+    for mart, key in ((sales.mart_product_sales, "product_id"), (marts.variant_sales, "variant_id")):
+        made = mart(items, refunded)
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 2, "order totals with refunds, and lines with those"
+        found = {row[key]: row for row in made.collect()}
+        if key == "product_id":
+            one, none = found[1], found[None]
+            assert (one.sku_count, one.order_count, one.units_sold, one.refund_cents) == (2, 2, 5, 16)
+            assert one.net_revenue_cents == 101
+            assert (none.sku_count, none.order_count, none.refund_cents) == (1, 1, 0)
+        else:
+            assert {k: (r.order_count, r.refund_cents) for k, r in found.items()} == {1: (1, 5), 2: (2, 11), 9: (1, 3)}
+
+
+def test_lines_of_lazy_silver_are_made_once_a_write(spark, given):
+    items = lines(spark, [(1, 1, 1, 1, 50), (2, 1, 1, 2, 30), (3, 2, 1, 1, 20)])
+    refunded = refunds(spark, [(1, 10, True)])
+    facts = {"fct_order_items": Model(lambda: items), "fct_refunds": Model(lambda: refunded)}
+    kept_before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for name, reads in (("mart_product_sales", 4), ("mart_variant_sales", 3)):
+        wanted = gold_over(given(fct_order_items=items, fct_refunds=refunded)).build(name)
+        with gold_over(Layer(facts, given())).made(name) as frame:
+            plan = frame._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("InMemoryRelation") == reads
+            assert sorted(frame.collect()) == sorted(wanted.collect())
+        with gold_over(given(fct_order_items=items, fct_refunds=refunded)).made(name) as frame:
+            assert "InMemoryRelation" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept_before
