@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -46,6 +46,17 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class _Words(dict):
+    """Ids of words, made at the first look-up."""
+
+    def __init__(self, made: Callable[[str], bytes]):
+        self._made = made
+
+    def __missing__(self, word: str) -> bytes:
+        data = self[word] = self._made(word)
+        return data
+
+
 class PieceTransducer:
     """Normaliser, pieces and byte fallback of a BPE model file, compiled to arcs.
 
@@ -88,13 +99,14 @@ class PieceTransducer:
                     self._unknown = number
                 self.text.append(" ⁇ " if kind == _UNKNOWN else "")
         self._byte = {t[0]: n for n, t in enumerate(self.text) if isinstance(t, bytes)}
+        self._spells = np.array([isinstance(t, bytes) for t in self.text], bool)
         self._tails: dict[str, bool] = {}  # ends of pieces; true for whole ones
         for name in self._id:
             for at in range(len(name)):
                 self._tails[name[at:]] = at == 0 or self._tails.get(name[at:], False)
         self._limit = limit
         self._weights: dict[tuple[str, str], float] = {}
-        self._words: dict[str, bytes] = {}
+        self._words = _Words(self._chunk_ids)
 
     def _merged(self, text: str) -> list[str]:
         """Merging by score, the leftmost of equal ones first."""
@@ -120,35 +132,40 @@ class PieceTransducer:
 
     def _shortest(self, chunk: str) -> list[str]:
         """Pieces on the shortest path over one chunk, letters without a piece included."""
-        reached: list[tuple[float, int, str]] = [(0.0, 0, "")]  # weight, position before, piece
-        tails = self._tails
+        tails, weights = self._tails, self._weights
+        # By position: the position before, the last piece, and whether its weight is finite.
+        before, last, finite = [0], [""], [True]
         for end in range(1, len(chunk) + 1):
-            starts = [end - 1]
+            starts = [end - 1] if finite[end - 1] else []
             for start in range(end - 1, -1, -1):
                 whole = tails.get(chunk[start:end])
                 if whole is None:
                     break
-                if whole and start < end - 1:
+                if whole and finite[start] and start < end - 1:
                     starts.append(start)
-            best = (INFINITE, end - 1, chunk[end - 1])
-            while starts and best[0] == INFINITE:
-                start = starts.pop()
-                before, _, left = reached[start]
-                piece = chunk[start:end]
-                best = (before + self._weight(left, piece), start, piece)
-            reached.append(best)
+            best = end - 1
+            ended = False
+            for start in reversed(starts):
+                pair = last[start], chunk[start:end]
+                weight = weights.get(pair)
+                if (self._weight(*pair) if weight is None else weight) != INFINITE:
+                    best, ended = start, True
+                    break
+            before.append(best)
+            last.append(chunk[best:end])
+            finite.append(ended)
         pieces, at = [], len(chunk)
         while at:
-            _, at, piece = reached[at]
-            pieces.append(piece)
+            pieces.append(last[at])
+            at = before[at]
         return pieces[::-1]
 
-    def _chunk_ids(self, chunk: str) -> list[int]:
+    def _chunk_ids(self, chunk: str) -> bytes:
         ids: list[int] = []
         for piece in self._shortest(chunk):
             number = self._id.get(piece)
             ids += [self._byte[b] for b in piece.encode()] if number is None else [number]
-        return ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
@@ -157,37 +174,29 @@ class PieceTransducer:
         for cache in (self._words, self._weights):
             if len(cache) > self._limit:
                 cache.clear()
-        known, out = self._words, []
         # No piece has a space letter behind another letter: words are composed alone.
-        for chunk in _CHUNK.findall(SPACE + text.replace(" ", SPACE)):
-            data = known.get(chunk)
-            if data is None:
-                data = known[chunk] = np.array(self._chunk_ids(chunk), "<u4").tobytes()
-            out.append(data)
-        return b"".join(out)
+        return b"".join(map(self._words.__getitem__, _CHUNK.findall(SPACE + text.replace(" ", SPACE))))
 
     def decode(self, data: bytes) -> str:
         """The text of ids: the pieces' letters, runs of byte pieces read as UTF-8 with a
         replacement mark for each byte that is none, without the space put in front."""
-        parts: list[str] = []
-        spelled = bytearray()
-        for number in np.frombuffer(data, "<u4").tolist():
-            text = self.text[number]
-            if not parts and not spelled and number != self._unknown and isinstance(text, str):
-                text = text.removeprefix(" ")
-                if not text and self.text[number]:
-                    parts.append("")
-            if isinstance(text, bytes):
-                spelled += text
-                continue
-            if spelled:
-                parts.append(_utf8(bytes(spelled)))
-                spelled.clear()
-            if text:
-                parts.append(text)
-        if spelled:
-            parts.append(_utf8(bytes(spelled)))
-        return "".join(parts)
+        ids = np.frombuffer(data, "<u4")
+        texts = [self.text[number] for number in ids.tolist()]
+        parts, done = [], 0
+        spelled = np.flatnonzero(self._spells[ids])
+        if len(spelled):
+            borders = np.flatnonzero(np.diff(spelled) > 1) + 1
+            firsts, lasts = spelled[np.r_[0, borders]], spelled[np.r_[borders - 1, len(spelled) - 1]]
+            for first, last in zip(firsts.tolist(), lasts.tolist()):
+                parts += texts[done:first]
+                done = last + 1
+                parts.append(_utf8(b"".join(texts[first:done])))
+        parts += texts[done:]
+        start = next((at for at, text in enumerate(texts) if text), None)
+        whole = "".join(parts)
+        if start is None or isinstance(texts[start], bytes) or ids[start] == self._unknown:
+            return whole
+        return whole.removeprefix(" ")
 
 
 @lru_cache(maxsize=1)
