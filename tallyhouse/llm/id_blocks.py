@@ -26,7 +26,13 @@ PAIR_SLOTS = 1 << 18  # of the order-2 table
 CONFIDENCE = 7
 _GAIN = 24  # what an id adds to its order-0 count
 _TOP, _BOTTOM, _WORD = np.uint64(48), np.uint64(1) << np.uint64(32), np.uint64(16)
+_SETTLED = np.uint64(1) << _TOP  # two numbers that differ by less bits share their first word
 _ONE = np.uint64(1)
+_TRUST = 3  # bits of a guess's confidence, below the guess
+# What a confidence gains if its guess is wrong, then what it gains if it is right.
+_TRUSTS = np.arange(CONFIDENCE + 1)
+_GAINS = np.concatenate([(_TRUSTS >> 1) - _TRUSTS, np.minimum(_TRUSTS + 1, CONFIDENCE) - _TRUSTS])
+_NEAR = 3  # bits of an id within its run of counts
 
 
 class _Predictor:
@@ -40,43 +46,71 @@ class _Predictor:
     """
 
     def __init__(self, kinds: int, lanes: int):
-        self.kinds = kinds
-        self.guess2 = np.zeros(PAIR_SLOTS, np.int64)
-        self.trust2 = np.zeros(PAIR_SLOTS, np.int64)
+        self.guess2 = np.zeros(PAIR_SLOTS, np.int64)  # guesses, and their confidence in the low bits
         self.guess1 = np.zeros(kinds, np.int64)
-        self.trust1 = np.zeros(kinds, np.int64)
-        self.outcomes = np.ones(((CONFIDENCE + 1) ** 2 * 2, 3), np.int64)
-        self.counts = np.ones(kinds, np.int64)
+        self.outcomes = np.ones((CONFIDENCE + 1) ** 2 * 2 * 3, np.int64)  # three for each mix
+        # Counts by place in a run and run, and what lies below: within the run, and below it.
+        self.runs = -(-kinds >> _NEAR)
+        self.counts = np.zeros((1 << _NEAR) * self.runs, np.uint64)
+        self.counts[self._places(np.arange(kinds))] = 1
+        self.within = np.zeros(((1 << _NEAR) + 1, self.runs), np.uint64)
+        self._rows = [*zip(self.within, self.counts.reshape(-1, self.runs), self.within[1:])]
+        self.below = np.zeros(self.runs + 1, np.uint64)
+        self._add_up()
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
-        self._add_up()
+
+    def _places(self, ids: np.ndarray) -> np.ndarray:
+        return (ids & ((1 << _NEAR) - 1)) * self.runs + (ids >> _NEAR)
 
     def _add_up(self) -> None:
-        self.below = np.concatenate([[0], np.cumsum(self.counts)])
+        """Sums over few long rows, since one sum along all ids can't use the processor's vectors."""
+        for below, counts, above in self._rows:
+            np.add(below, counts, out=above)
+        np.cumsum(self.within[-1], out=self.below[1:])
+
+    def range_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the ids below each id, and its own."""
+        places = self._places(ids)
+        return self.below[ids >> _NEAR] + self.within.ravel()[places], self.counts[places]
+
+    def at(self, points: np.ndarray) -> np.ndarray:
+        """The ids in whose counts the points lie."""
+        run = np.searchsorted(self.below, points, "right") - 1
+        rest, within, near = points - self.below[run], self.within.ravel(), np.zeros(len(points), np.int64)
+        for bit in reversed(range(_NEAR)):
+            near += (within[(near + (1 << bit)) * self.runs + run] <= rest) * np.int64(1 << bit)
+        return (run << _NEAR) + near
 
     def guess(self, n: int) -> None:
         last = self.last[:n]
-        self.slot = (self.before[:n] * 40503 + last * 2654435761) % PAIR_SLOTS
-        self.first, self.second = self.guess2[self.slot], self.guess1[last]
+        self.slot = (self.before[:n] * 40503 + last * 2654435761) & (PAIR_SLOTS - 1)
+        self.entry2, self.entry1 = self.guess2[self.slot], self.guess1[last]
+        self.first, self.second = self.entry2 >> _TRUST, self.entry1 >> _TRUST
+        self.trust2, self.trust1 = self.entry2 & CONFIDENCE, self.entry1 & CONFIDENCE
         agree = self.first == self.second
-        self.mix = (self.trust2[self.slot] * (CONFIDENCE + 1) + self.trust1[last]) * 2 + agree
-        shares = self.outcomes[self.mix]
-        self.edges = np.cumsum(shares, axis=1)
-
-    def learn(self, n: int, ids: np.ndarray, outcome: np.ndarray) -> None:
-        np.add.at(self.outcomes, (self.mix, outcome), 16)
-        crowded = self.outcomes.sum(axis=1) > 1 << 16
-        self.outcomes[crowded] = (self.outcomes[crowded] + 1) >> 1
-        last = self.last[:n].copy()
-        for guesses, trusts, slots, guess in (
-            (self.guess2, self.trust2, self.slot, self.first),
-            (self.guess1, self.trust1, last, self.second),
+        self.mix = ((self.trust2 * (CONFIDENCE + 1) + self.trust1) * 2 + agree) * 3
+        self.shares = self.outcomes.astype(np.uint64)
+        self.edges = np.cumsum(self.shares.reshape(-1, 3), axis=1).ravel()
+        self.total = self.edges[self.mix + 2]
+
+    def learn(self, n: int, ids: np.ndarray, coded: np.ndarray) -> None:
+        """``coded`` is the place of each lane's outcome among the outcomes."""
+        self.outcomes += 16 * np.bincount(coded, minlength=len(self.outcomes))
+        by_mix = self.outcomes.reshape(-1, 3)
+        crowded = by_mix.sum(axis=1) > 1 << 16
+        if crowded.any():
+            by_mix[crowded] = (by_mix[crowded] + 1) >> 1
+        last, fresh = self.last[:n].copy(), ids << _TRUST
+        for guesses, slots, entry, trust, guess in (
+            (self.guess2, self.slot, self.entry2, self.trust2, self.first),
+            (self.guess1, last, self.entry1, self.trust1, self.second),
         ):
-            trust = trusts[slots]
-            right = guess == ids
-            guesses[slots] = np.where(right | (trust > 0), guess, ids)
-            trusts[slots] = np.where(right, np.minimum(trust + 1, CONFIDENCE), trust >> 1)
-        self.counts += _GAIN * np.bincount(ids, minlength=self.kinds)
+            trust += (guess == ids) * np.int64(CONFIDENCE + 1)
+            entry += _GAINS[trust]
+            np.copyto(entry, fresh, where=trust == 0)
+            guesses[slots] = entry
+        np.add.at(self.counts, self._places(ids), np.uint64(_GAIN))
         self._add_up()
         self.before[:n], self.last[:n] = last, ids
 
@@ -91,28 +125,33 @@ class _Encoder:
     def __init__(self, lanes: int, length: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-        self.words = np.zeros((lanes, 4 * length + 8), np.uint16)
-        self.size = np.zeros(lanes, np.int64)
-
-    def _put(self, lanes: np.ndarray) -> None:
-        self.words[lanes, self.size[lanes]] = self.low[lanes] >> _TOP
-        self.size[lanes] += 1
-        self.low[lanes] <<= _WORD
-        self.range[lanes] <<= _WORD
-
-    def code(self, lanes: np.ndarray, start: np.ndarray, share: np.ndarray, total: np.ndarray) -> None:
-        unit = self.range[lanes] // total.astype(np.uint64)
-        self.low[lanes] += start.astype(np.uint64) * unit
-        self.range[lanes] = share.astype(np.uint64) * unit
-        for lanes in _open_lanes(self.low, self.range, lanes):
-            self._put(lanes)
+        self.room = 4 * length + 8
+        self.words = np.zeros(lanes * self.room, np.uint16)
+        self.at = np.arange(lanes) * self.room
+
+    def code(self, lanes: np.ndarray | slice, start: np.ndarray, share: np.ndarray, total: np.ndarray) -> None:
+        unit = self.range[lanes] // total
+        low, range_ = self.low[lanes] + start * unit, share * unit
+        self.low[lanes], self.range[lanes] = low, range_
+        open_, range_ = _open_lanes(low, range_)
+        lanes, low = open_ if isinstance(lanes, slice) else lanes[open_], low[open_]
+        while len(open_):
+            at = self.at[lanes]
+            self.words[at] = low >> _TOP
+            self.at[lanes] = at + 1
+            low, range_ = low << _WORD, range_ << _WORD
+            self.low[lanes], self.range[lanes] = low, range_
+            open_, range_ = _open_lanes(low, range_)
+            lanes, low = lanes[open_], low[open_]
 
     def finish(self) -> tuple[np.ndarray, bytes]:
-        lanes = np.arange(len(self.low))
         for _ in range(4):
-            self._put(lanes)
-        used = np.arange(self.words.shape[1]) < self.size[:, None]
-        return self.size, self.words[used].astype("<u2").tobytes()
+            self.words[self.at] = self.low >> _TOP
+            self.at += 1
+            self.low <<= _WORD
+        size = self.at - np.arange(len(self.low)) * self.room
+        used = np.arange(self.room) < size[:, None]
+        return size, self.words.reshape(-1, self.room)[used].astype("<u2").tobytes()
 
 
 class _Decoder:
@@ -127,35 +166,38 @@ class _Decoder:
             self.value = (self.value << _WORD) | self.words[self.at]
             self.at += 1
 
-    def point(self, lanes: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """Where in the total each lane's value lies."""
-        self._unit = self.range[lanes] // total.astype(np.uint64)
-        found = ((self.value[lanes] - self.low[lanes]) // self._unit).astype(np.int64)
-        return np.minimum(found, total - 1)
-
-    def take(self, lanes: np.ndarray, start: np.ndarray, share: np.ndarray) -> None:
-        self.low[lanes] += start.astype(np.uint64) * self._unit
-        self.range[lanes] = share.astype(np.uint64) * self._unit
-        for lanes in _open_lanes(self.low, self.range, lanes):
-            self.value[lanes] = (self.value[lanes] << _WORD) | self.words[self.at[lanes]]
-            self.at[lanes] += 1
-            self.low[lanes] <<= _WORD
-            self.range[lanes] <<= _WORD
-
-
-def _open_lanes(low: np.ndarray, range_: np.ndarray, lanes: np.ndarray) -> Iterator[np.ndarray]:
-    """Lanes whose first word is settled, again and again; a range that has become small
-    across a border of words is cut at it."""
-    while True:
-        a, r = low[lanes], range_[lanes]
-        settled = ((a ^ (a + r)) >> _TOP) == 0
-        small = ~settled & (r < _BOTTOM)
-        if small.any():
-            range_[lanes[small]] = (~a[small] + _ONE) & (_BOTTOM - _ONE)
-        lanes = lanes[settled | small]
-        if not len(lanes):
-            return
-        yield lanes
+    def ahead(self, lanes: np.ndarray | slice, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How far each lane's value lies above its low end, and what one of the total takes."""
+        self._unit = self.range[lanes] // total
+        return self.value[lanes] - self.low[lanes], self._unit
+
+    def take(self, lanes: np.ndarray | slice, start: np.ndarray, share: np.ndarray) -> None:
+        low, range_ = self.low[lanes] + start * self._unit, share * self._unit
+        self.low[lanes], self.range[lanes] = low, range_
+        open_, range_ = _open_lanes(low, range_)
+        lanes, low = open_ if isinstance(lanes, slice) else lanes[open_], low[open_]
+        while len(open_):
+            at = self.at[lanes]
+            self.value[lanes] = (self.value[lanes] << _WORD) | self.words[at]
+            self.at[lanes] = at + 1
+            low, range_ = low << _WORD, range_ << _WORD
+            self.low[lanes], self.range[lanes] = low, range_
+            open_, range_ = _open_lanes(low, range_)
+            lanes, low = lanes[open_], low[open_]
+
+
+def _open_lanes(low: np.ndarray, range_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the lanes whose first word is settled, and their ranges; a range that has
+    become small across a border of words is cut at it."""
+    apart = low ^ (low + range_)
+    open_ = apart < _SETTLED
+    small = range_ < _BOTTOM
+    if small.any():
+        small &= ~open_
+        open_ |= small
+        range_ = np.where(small, (~low + _ONE) & (_BOTTOM - _ONE), range_)
+    open_ = open_.nonzero()[0]
+    return open_, range_[open_]
 
 
 def encode_ids(ids: np.ndarray) -> tuple[int, np.ndarray, bytes]:
@@ -168,21 +210,22 @@ def encode_ids(ids: np.ndarray) -> tuple[int, np.ndarray, bytes]:
     lanes = full + (rest > 0)
     table = np.zeros((lanes, length), np.int64)
     table.ravel()[: len(ids)] = ids
+    steps = np.ascontiguousarray(table.T)
     model, coder = _Predictor(kinds, lanes), _Encoder(lanes, length)
     for step in range(length):
         n = full + (step < rest)
         model.guess(n)
-        now = table[:n, step]
-        outcome = np.where(now == model.first, 0, np.where(now == model.second, 1, 2))
-        all_ = np.arange(n)
-        upper = model.edges[all_, outcome]
-        share = model.outcomes[model.mix, outcome]
-        coder.code(all_, upper - share, share, model.edges[:, 2])
-        missed = np.flatnonzero(outcome == 2)
+        now = steps[step, :n]
+        missed = now != model.first
+        coded = model.mix + missed
+        missed &= now != model.second
+        coded += missed
+        share = model.shares[coded]
+        coder.code(slice(n), model.edges[coded] - share, share, model.total)
+        missed = missed.nonzero()[0]
         if len(missed):
-            wanted = now[missed]
-            coder.code(missed, model.below[wanted], model.counts[wanted], np.full(len(missed), model.below[-1]))
-        model.learn(n, now, outcome)
+            coder.code(missed, *model.range_of(now[missed]), model.below[-1])
+        model.learn(n, now, coded)
     return kinds, *coder.finish()
 
 
@@ -191,26 +234,29 @@ def decode_ids(total: int, kinds: int, sizes: np.ndarray, payload: bytes) -> np.
         return np.zeros(0, np.int64)
     full, length, rest = _shape(total)
     lanes = full + (rest > 0)
-    table = np.zeros((lanes, length), np.int64)
+    steps = np.zeros((length, lanes), np.int64)
     model, coder = _Predictor(kinds, lanes), _Decoder(sizes, payload)
     for step in range(length):
         n = full + (step < rest)
         model.guess(n)
-        all_ = np.arange(n)
-        point = coder.point(all_, model.edges[:, 2])
-        outcome = (point[:, None] >= model.edges[:, :2]).sum(axis=1)
-        share = model.outcomes[model.mix, outcome]
-        coder.take(all_, model.edges[all_, outcome] - share, share)
-        now = np.where(outcome == 0, model.first, model.second)
-        missed = np.flatnonzero(outcome == 2)
+        ahead, unit = coder.ahead(slice(n), model.total)
+        wrong = ahead >= model.edges[model.mix] * unit
+        missed = ahead >= model.edges[model.mix + 1] * unit
+        coded = model.mix + wrong
+        coded += missed
+        share = model.shares[coded]
+        coder.take(slice(n), model.edges[coded] - share, share)
+        now = np.where(wrong, model.second, model.first)
+        missed = missed.nonzero()[0]
         if len(missed):
-            point = coder.point(missed, np.full(len(missed), model.below[-1]))
-            wanted = np.searchsorted(model.below, point, "right") - 1
-            coder.take(missed, model.below[wanted], model.counts[wanted])
+            ahead, unit = coder.ahead(missed, model.below[-1])
+            point = np.minimum(ahead // unit, model.below[-1] - _ONE)
+            wanted = model.at(point)
+            coder.take(missed, *model.range_of(wanted))
             now[missed] = wanted
-        table[:n, step] = now
-        model.learn(n, now, outcome)
-    return table.ravel()[:total]
+        steps[step, :n] = now
+        model.learn(n, now, coded)
+    return steps.T.ravel()[:total]
 
 
 def write_block(keys: list[int | None], documents: list[np.ndarray]) -> bytes:
