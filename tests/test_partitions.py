@@ -53,3 +53,18 @@ def test_a_large_shuffle_keeps_its_partitions(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_many_rows_in_a_small_file_are_not_broadcast(spark, tmp_path):
+    for name, rows in (("many", 1_500_000), ("few", 300)):
+        keys = spark.range(rows).selectExpr("pmod(xxhash64(id), 1000) as key", "id % 2 as kind")
+        keys.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    size = sum(file.stat().st_size for file in (tmp_path / "many").glob("part-*"))
+    many, few = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("many", "few"))
+    assert size < 5_000_000  # half of the limit of a broadcast
+
+    def plan(right):
+        return many.join(right, "key")._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" not in plan(many.withColumnRenamed("kind", "other"))
+    assert "BroadcastHashJoin" in plan(few.withColumnRenamed("kind", "other"))
