@@ -1,10 +1,13 @@
 """Facts of many rows are joined and written in parts."""
 
+import pyarrow.parquet as pq
 import pytest
 
+from checks.catalogue import Layers
 from checks.testbed import Testbed
 from tallyhouse.operators import joins
 from tallyhouse.operators.joins import joined_in_parts
+from tallyhouse.plans import data_tests
 from tallyhouse.plans.medallion import SILVER_MODELS, silver_over
 from tallyhouse.plans.refresh import refresh_silver
 from tallyhouse.sources.warehouse import Warehouse
@@ -57,3 +60,54 @@ def test_a_refresh_writes_facts_in_parts(spark, tmp_path, monkeypatch):
     month = tmp_path.glob("refreshed_silver/fct_payments/*/order_month=1997-05-01/*.parquet")
     assert len({file.name.split("-")[2] for file in month}) > 1  # of several writes
     assert same(warehouse.table("silver", "fct_payments"), silver_over(bronze).build("fct_payments"))
+
+
+def test_a_fact_brought_up_to_date_begins_in_parts(spark, monkeypatch):
+    whole = silver_over(Testbed(spark, "/root/testdata/sf0.001")).build("fct_payments")
+    monkeypatch.setattr(joins, "ROWS_A_PART", 500)
+    wrote = []
+    replace = Warehouse.replace
+    monkeypatch.setattr(
+        Warehouse, "replace", lambda self, layer, name, frame, *x: wrote.append(frame) or replace(self, layer, name, frame, *x)
+    )
+    made = Layers(spark, "/root/testdata/sf0.001").incremental_fact("fct_payments")
+    assert len(wrote[0]) > 1 and same(made, whole)
+
+
+def test_tables_are_tested_one_after_the_other(spark, given, monkeypatch):
+    parents = spark.createDataFrame([(1,), (2,), (2,)], "id long")
+    children = spark.createDataFrame([(1, 1), (2, 9), (None, 1)], "id long, parent_id long")
+    layers = {"silver": given(p=parents, c=children)}
+    checks = [
+        data_tests.unique("silver", "p", "id"),
+        data_tests.related("silver", "c", "parent_id", ("silver", "p", "id")),
+        data_tests.not_null("silver", "c", "id"),
+        data_tests.not_null("silver", "p", "id"),
+    ]
+    at_once = data_tests.outcomes(layers, checks)
+    calls = []
+    outcomes = data_tests.outcomes
+    monkeypatch.setattr(data_tests, "outcomes", lambda x, own: calls.append(len(own)) or outcomes(x, own))
+    found = data_tests.outcomes_by_table(layers, checks)
+    assert calls == [2, 2] and found.schema == at_once.schema
+    assert sorted(found.collect()) == sorted(at_once.collect())
+    assert [row.failures for row in found.orderBy("check_name", "table_name").collect()] == [1, 0, 1, 1]
+
+
+def test_marts_are_written_before_the_silver_they_are_held_against(spark, monkeypatch):
+    asked = []
+    requests = Layers.requests
+    monkeypatch.setattr(Layers, "requests", lambda self, layer: asked.append(layer) or requests(self, layer))
+    rows = Layers(spark, "/root/testdata/sf0.001").reconciled.collect()
+    assert asked[0] == "gold" and {row.layer for row in rows} == {"bronze", "silver", "gold"}
+    assert all(row.agrees for row in rows)
+
+
+def test_files_keep_differences(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), "files_")
+    warehouse.create_databases()
+    rows = spark.range(5000).selectExpr("id * 7919 as id", "concat('key-', id) as name")
+    assert same(warehouse.replace("silver", "t", rows), rows)
+    file = next(tmp_path.glob("files_silver/t/*/part-*.parquet"))
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    assert "DELTA_BINARY_PACKED" in group.column(0).encodings and group.column(0).compression == "ZSTD"
