@@ -68,3 +68,16 @@ def test_many_rows_in_a_small_file_are_not_broadcast(spark, tmp_path):
 
     assert "BroadcastHashJoin" not in plan(many.withColumnRenamed("kind", "other"))
     assert "BroadcastHashJoin" in plan(few.withColumnRenamed("kind", "other"))
+
+
+def test_shuffled_rows_of_megabytes_are_not_broadcast(spark):
+    def final_plan(rows):
+        # Grouped, so that sizes are only known once the rows are shuffled.
+        many = spark.range(1_500_000).selectExpr("id % 700001 as key", "id").groupBy("key").agg(F.max("id").alias("a"))
+        other = spark.range(rows).selectExpr("xxhash64(id) as key", "id").groupBy("key").agg(F.max("id").alias("b"))
+        joined = many.join(other, "key", "left")
+        joined.collect()
+        return joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    assert "BroadcastHashJoin" not in final_plan(200_000)  # 3 to 10 MB as compressed
+    assert "BroadcastHashJoin" in final_plan(1_000)
